@@ -113,12 +113,21 @@ def _latest(days: DataFrame, ref: Column, grouped: bool) -> DataFrame:
     return last.select(*cols)
 
 
+def _known(value: Column) -> Column:
+    """The null user meets no other row by its id, so what others look up is null there."""
+    return F.when(F.col("user_id").isNotNull(), value)
+
+
 def survival_base(days: DataFrame, as_of: date | str, grouped: bool = False, latest: bool = False) -> DataFrame:
-    """One row per user with at least one gap.  The reference day is as_of + 1."""
+    """One row per user with at least one gap.  The reference day is as_of + 1.
+
+    The null user keeps its term, but nothing that is looked up by user id.
+    """
     ref = F.date_add(day(as_of), 1)
     current, prev = F.col("current_trailing_term"), F.col("prev_trailing_term")
     return (
         cycle_stats(purchase_intervals(days), latest)
+        .withColumns({c: _known(F.col(c)) for c in ("prev_trailing_term", "cycle_stddev")})
         .join(_latest(days, ref, grouped), "user_id", "left")
         .withColumns(
             {
@@ -221,11 +230,6 @@ def _week(days: Column) -> Column:
     return (F.floor(days / WEEK) * WEEK).cast("bigint")
 
 
-def _known(flag: Column) -> Column:
-    """The null user meets no other row by its id, so its flag is not carried over."""
-    return F.when(F.col("user_id").isNotNull(), flag)
-
-
 def survival_buckets(flagged: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Users and churned users per week since the last purchase."""
     return flagged.groupBy(_week(F.col("days_since_last_purchase")).alias("time_point"), *(by or [])).agg(

@@ -453,14 +453,19 @@ def churn_flag(spark, d):
     return present(_analysis(spark, d).flagged.select("user_id", "current_trailing_term", "churn_flag"))
 
 
+def _rates(a):
+    # A mean of values with one decimal can lie halfway between two sixth decimals.
+    return a.rates.withColumn("avg_group_term", sc.round_half_up(F.col("avg_group_term"), 6))
+
+
 @query
 def churn_rate(spark, d):
-    return present(_analysis(spark, d).rates)
+    return present(_rates(_analysis(spark, d)))
 
 
 @query
 def churn_rate_by_group(spark, d):
-    return present(_mall_analysis(spark, d).rates)
+    return present(_rates(_mall_analysis(spark, d)))
 
 
 @query
@@ -533,7 +538,7 @@ def merged_affiliate(spark, d):
 
 @query
 def merged_mall(spark, d):
-    return present(_snapshot(spark, d).merged("mall"), places=4, m_total=2)
+    return present(_snapshot(spark, d).merged("mall"), places=4)
 
 
 def _score(name: str) -> Query:
