@@ -22,6 +22,22 @@ def entry_label(action: Column) -> Column:
     return out
 
 
+_GRAIN = [
+    "event_dt", "event_dttm", "user_id", "airbridge_device_id", "transaction_id",
+    "platform", "event_category", "event_label", "event_action",
+]
+
+
+def _per_second(events: DataFrame, share: float, by_name: bool) -> DataFrame:
+    """The share rounded per event second; cancels count negative."""
+    sign = F.when(F.col("event_category") == labels.ORDER_CANCEL, -1).otherwise(1)
+    return (
+        events.groupBy(*_GRAIN, *(["name"] if by_name else []))
+        .agg((F.round(F.sum("price") * share)).alias("revenue"))
+        .withColumns({"revenue": F.col("revenue") * sign, "event_label": entry_label(F.col("event_action"))})
+    )
+
+
 def revenue_rollup(
     events: DataFrame,
     category: str,
@@ -31,28 +47,19 @@ def revenue_rollup(
     """Revenue per (day, user, transaction, entry, action).
 
     The share is rounded per event second first and summed after, so the inner
-    grain matters; `by_name` adds the product name to it.  Cancels count negative.
+    grain matters; `by_name` adds the product name to it.
     """
-    sign = -1 if category == labels.ORDER_CANCEL else 1
-    grain = [
-        "event_dt", "event_dttm", "user_id", "airbridge_device_id", "transaction_id",
-        "platform", "event_category", "event_label", "event_action",
-    ] + (["name"] if by_name else [])
-    per_second = (
-        events.where(F.col("event_category") == category)
-        .groupBy(*grain)
-        .agg((F.round(F.sum("price") * share) * sign).alias("revenue"))
-    )
-    out = per_second.withColumn("event_label", entry_label(F.col("event_action"))).groupBy(
-        "event_dt", "user_id", "transaction_id", "event_label", "event_action"
-    )
     named = [F.min("name").alias("name")] if by_name else []
-    return out.agg(
-        F.min("airbridge_device_id").alias("airbridge_device_id"),
-        F.min("platform").alias("platform"),
-        *named,
-        F.min("event_category").alias("event_category"),
-        F.sum("revenue").alias("revenue"),
+    return (
+        _per_second(events.where(F.col("event_category") == category), share, by_name)
+        .groupBy("event_dt", "user_id", "transaction_id", "event_label", "event_action")
+        .agg(
+            F.min("airbridge_device_id").alias("airbridge_device_id"),
+            F.min("platform").alias("platform"),
+            *named,
+            F.min("event_category").alias("event_category"),
+            F.sum("revenue").alias("revenue"),
+        )
     )
 
 
@@ -78,6 +85,39 @@ def net_orders(orders: DataFrame, refunds: DataFrame, floor: bool = True, sum_re
     )
 
 
+def net_purchases(
+    events: DataFrame, floor: bool = True, by_name: bool = False, share: float = labels.COMMISSION_SHARE
+) -> DataFrame:
+    """The purchase columns of net_orders(rollup of orders, rollup of refunds) in one scan.
+
+    Orders and refunds are rolled up together and meet inside their (user,
+    transaction) group.  After the roll-up such a group holds at most one row per
+    day, action and kind, whatever the number of events.
+    """
+    is_order = F.col("event_category") == labels.ORDER_COMPLETE
+    both = events.where(F.col("event_category").isin(labels.ORDER_COMPLETE, labels.ORDER_CANCEL))
+    if by_name:
+        # Refunds are rounded without regard to the name.
+        both = both.withColumn("name", F.when(is_order, F.col("name")))
+    rolled = _per_second(both, share, by_name).groupBy(
+        "event_dt", "user_id", "transaction_id", "event_label", "event_action", "event_category"
+    )
+    named = [F.min("name").alias("name")] if by_name else []
+    rolled = rolled.agg(*named, F.sum("revenue").alias("revenue"))
+    kept = ["event_dt", "event_category", "event_label", "revenue"] + (["name"] if by_name else [])
+    # A null transaction matches nothing.
+    refund = F.when(~is_order & F.col("transaction_id").isNotNull(), F.col("revenue"))
+    met = rolled.groupBy("user_id", "transaction_id").agg(
+        F.collect_list(F.when(is_order, F.struct(*kept))).alias("orders"), F.collect_list(refund).alias("refunds")
+    )
+    return (
+        met.select("user_id", "refunds", F.explode("orders").alias("o"))
+        .select("user_id", "o.*", F.explode_outer("refunds").alias("refund"))
+        .withColumn("revenue", _net(F.col("revenue"), F.col("refund"), floor))
+        .drop("refund")
+    )
+
+
 def partner_daily(orders: DataFrame, start: date | str, as_of: date | str) -> DataFrame:
     """Commission per (day, user) with the least product name of the day."""
     return (
@@ -123,12 +163,7 @@ def affiliate_purchases(
     by_name: bool = False,
 ) -> DataFrame:
     """Net purchases of both affiliate feeds up to `as_of`."""
-    events = order_window(src.affiliate_events, start, as_of)
-    direct = net_orders(
-        revenue_rollup(events, labels.ORDER_COMPLETE, by_name=by_name),
-        revenue_rollup(events, labels.ORDER_CANCEL),
-        floor,
-    )
+    direct = net_purchases(order_window(src.affiliate_events, start, as_of), floor, by_name)
     since = partner_start or start
     partner = net_partner(
         partner_daily(src.partner_orders, since, as_of),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, timedelta
 
@@ -76,8 +77,17 @@ class Snapshot:
             days = affiliate_days(self.src, w.affiliate_start, w.as_of, w.partner_churn_start)
         return self._kept(f"survival_{track}", lambda: SurvivalAnalysis(days, w.as_of, grouped=track == "mall").table)
 
+    def prepare(self) -> None:
+        """Build the six tables the merge reads.  They do not depend on each other, and
+        each is a chain of short jobs, so they are submitted side by side."""
+        parts = (self.survival, self.category_power, self.rfm)
+        with ThreadPoolExecutor(len(parts) * len(TRACKS)) as pool:
+            for done in [pool.submit(f, track) for f in parts for track in TRACKS]:
+                done.result()
+
     def merged(self, track: str) -> DataFrame:
         def build() -> DataFrame:
+            self.prepare()
             base = track_base(self.rfm("mall"), self.rfm("affiliate"), track)
             profile = user_profile(
                 base,
