@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from patronage.functions.joins import left_join_nullable
 from patronage.functions.scalars import clean_label, day, has_label, nested_label, round_half_up, safe_divide
 from patronage.operators.revenue import purchase_names
 from patronage.sources.schemas import Sources
@@ -111,7 +112,7 @@ def category_by_code(categories: DataFrame) -> DataFrame:
 
 def category_or_join(orders: DataFrame, categories: DataFrame) -> DataFrame:
     """Orders with every category row their code matches; unmatched orders stay."""
-    return orders.join(category_by_code(categories), "category_no", "left")
+    return left_join_nullable(orders, category_by_code(categories), "category_no")
 
 
 def mall_category_days(src: Sources, start: date | str, as_of: date | str) -> DataFrame:
@@ -131,7 +132,7 @@ def mall_category_days(src: Sources, start: date | str, as_of: date | str) -> Da
         clean_label(F.col("depth1_category_name")).alias("depth1"),
         clean_label(F.col("depth2_category_name")).alias("depth2"),
     ).distinct()
-    return bought.join(names, "category_no", "left").drop("category_no").distinct()
+    return left_join_nullable(bought, names, "category_no").drop("category_no").distinct()
 
 
 def mall_depth1(days: DataFrame) -> DataFrame:

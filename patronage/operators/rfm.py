@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, Window, functions as F
 
 from patronage.functions import labels
+from patronage.functions.joins import left_join_nullable
 from patronage.functions.scalars import day, first_of, round_half_up, safe_divide
 from patronage.operators.revenue import affiliate_purchases
 from patronage.sources.readers import mall_orders_in
@@ -110,9 +111,9 @@ def rfm_mall(
 ) -> DataFrame:
     """Mall RFM per member.
 
-    With `fan_out` every order counts once per refund of its member (the join the
-    reference runs), which inflates purchases and money; without it every order
-    counts once.  Both are computed from per-day counts.
+    With `fan_out` every order counts once per refund of its member, as a plain join
+    of orders and refunds has it, which inflates purchases and money; without it every
+    order counts once.  Both are computed from per-day counts.
     """
     orders = mall_orders_in(src.mall_orders, valid, start, as_of)
     refunds = mall_orders_in(src.mall_orders, refunded)
@@ -143,9 +144,9 @@ def rfm_mall(
     )
     people = src.mall_members.select("member_no", F.col("wk_id").alias("user_id"), "gender", "birth_year")
     apps = src.app_members.select("user_id", "platform", "join_dt", "total_accumulate_cash", "current_cash")
+    known = per_member.join(people, "member_no", "left")
     return (
-        per_member.join(people, "member_no", "left")
-        .join(apps, "user_id", "left")
+        left_join_nullable(known, apps, "user_id", ["member_no"])
         .select(
             "member_no",
             "user_id",

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from patronage.functions import labels
 from patronage.functions import scalars as sc
+from patronage.functions.joins import left_join_nullable
 from patronage.functions.stages import cut
 from patronage.operators import category, history, profile, revenue, rfm, scoring, segments, study, survival
 from patronage.plans.snapshot import Snapshot, Window
@@ -94,7 +95,7 @@ def mall_valid_orders(spark, d):
     people = src.mall_members.select("member_no", F.col("wk_id").alias("user_id"), "gender", "birth_year")
     apps = src.app_members.select("user_id", "join_dt", "platform", "total_accumulate_cash", "current_cash")
     first = F.col("product_option")
-    out = orders.join(people, "member_no", "left").join(apps, "user_id", "left")
+    out = left_join_nullable(orders.join(people, "member_no", "left"), apps, "user_id", ["order_no"])
     return present(
         out.select(
             "order_no", "order_dt", "member_no", "user_id", "join_dt", "platform", "total_accumulate_cash",
