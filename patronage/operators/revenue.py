@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from patronage.functions import labels
 from patronage.functions.scalars import day, floor_at_zero
@@ -107,12 +107,11 @@ def net_purchases(
     kept = ["event_dt", "event_category", "event_label", "revenue"] + (["name"] if by_name else [])
     # A null transaction matches nothing.
     refund = F.when(~is_order & F.col("transaction_id").isNotNull(), F.col("revenue"))
-    met = rolled.groupBy("user_id", "transaction_id").agg(
-        F.collect_list(F.when(is_order, F.struct(*kept))).alias("orders"), F.collect_list(refund).alias("refunds")
-    )
+    refunds = F.collect_list(refund).over(Window.partitionBy("user_id", "transaction_id"))
     return (
-        met.select("user_id", "refunds", F.explode("orders").alias("o"))
-        .select("user_id", "o.*", F.explode_outer("refunds").alias("refund"))
+        rolled.withColumn("refunds", refunds)
+        .where(is_order)
+        .select("user_id", *kept, F.explode_outer("refunds").alias("refund"))
         .withColumn("revenue", _net(F.col("revenue"), F.col("refund"), floor))
         .drop("refund")
     )
