@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import re
 
+from patronage.functions import labels
+
 START, AS_OF, EARLIER = "1995-01-01", "2001-08-01", "2001-06-30"
 PARTNER_CHURN_START = "1996-01-01"
 
@@ -24,6 +26,18 @@ def to_long(x: str) -> str:
     return f"CAST(round(CAST({x} AS DECIMAL(24,6))) AS BIGINT)"
 
 
+def listed(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+def upto(value: str, steps, last: str) -> str:
+    return "CASE " + " ".join(f"WHEN {value} <= {bound} THEN '{name}'" for bound, name in steps) + f" ELSE '{last}' END"
+
+
+def above(value: str, cuts) -> str:
+    return "CASE " + " ".join(f"WHEN {value} > {cut} THEN '{name}'" for cut, name in cuts) + f" ELSE '{labels.GRADE_LOWEST}' END"
+
+
 def build(select: str) -> str:
     """Prefix a SELECT with the CTEs it needs, in definition order."""
     needed: set[str] = set()
@@ -116,9 +130,7 @@ FROM events GROUP BY 1"""
 # --- affiliate revenue -------------------------------------------------------------
 
 _GRAIN = "event_dt, event_dttm, user_id, airbridge_device_id, transaction_id, platform, event_category, event_label, event_action"
-_ENTRY = """CASE WHEN event_action IN ('balso1sa1','balso1sr1','balso2sr1','balso2sa2') THEN '바로가기'
-  WHEN event_action = 'balso1sr2' THEN '퀴즈쿠팡' WHEN event_action = 'balso2sa1' THEN '챌린지인증쿠팡' END"""
-ROLLUP_COLS = "CAST(event_dt AS VARCHAR) AS event_dt, user_id, transaction_id, event_label, event_action, airbridge_device_id, platform, event_category, revenue"
+_ENTRY = "CASE event_action " + " ".join(f"WHEN '{code}' THEN '{name}'" for code, name in labels.ENTRY_LABELS.items()) + " END"
 
 
 def _rollup(window: str, category: str, sign: int, by_name: bool = False) -> str:
@@ -186,12 +198,12 @@ def mall_rfm_ctes(p: str, as_of: str) -> None:
 SELECT o.order_no, o.order_dt, o.member_no, m.wk_id AS user_id, a.join_dt, a.total_accumulate_cash, a.current_cash, a.platform,
   m.gender, m.birth_year, o.commission_rate, o.first_pay_amt, o.order_status_type
 FROM src_mall_orders o LEFT JOIN src_mall_members m ON o.member_no = m.member_no LEFT JOIN src_app_members a ON m.wk_id = a.user_id
-WHERE o.order_status_type IN ('DELIVERY_DONE','DELIVERY_PREPARE','DELIVERY_ING','BUY_CONFIRM','PAY_DONE','EXCHANGE_DONE','PRODUCT_PREPARE')
+WHERE o.order_status_type IN ({listed(labels.MALL_VALID_STATUSES)})
   AND o.order_dt BETWEEN DATE '{START}' AND DATE '{as_of}'"""
     CTES[f"{p}_checked"] = f"""
-SELECT v.*, r.order_no AS refund_no, coalesce(r.order_status_type IN ('CANCEL DONE','RETURN_DONE')
-  AND date_diff('day', v.order_dt, r.order_dt) <= 90 AND r.order_dt <= DATE '{as_of}', FALSE) AS is_refunded
-FROM {p}_valid v LEFT JOIN (SELECT * FROM src_mall_orders WHERE order_status_type IN ('CANCEL DONE','RETURN_DONE')) r
+SELECT v.*, r.order_no AS refund_no,
+  coalesce(r.order_dt <= least(v.order_dt + {labels.REFUND_WINDOW_DAYS}, DATE '{as_of}'), FALSE) AS is_refunded
+FROM {p}_valid v LEFT JOIN (SELECT * FROM src_mall_orders WHERE order_status_type IN ({listed(labels.MALL_REFUND_STATUSES)})) r
   ON v.member_no = r.member_no"""
     CTES[f"{p}_once"] = f"""
 SELECT * EXCLUDE (is_refunded, refund_no), bool_or(is_refunded) AS is_refunded FROM {p}_checked GROUP BY ALL"""
@@ -333,8 +345,7 @@ FROM {s}_base b, {s}_tstats t, {s}_median m, {s}_mad d WHERE b.current_trailing_
     keep = ", b.age_group, b.gender" if grouped else ""
     CTES[f"{s}_churn"] = f"""
 SELECT r.user_id, r.current_trailing_term{keep},
-  CASE WHEN abs(r.modified_zscore) > 3.5 THEN CASE WHEN r.days_since_last_purchase > r.pop_mean * 2 THEN 1 ELSE 0 END
-    ELSE CASE WHEN r.days_since_last_purchase > r.current_trailing_term * 2 THEN 1 ELSE 0 END END AS churn_flag
+  CAST(coalesce(r.days_since_last_purchase > 2 * if(coalesce(abs(r.modified_zscore), 0) > 3.5, r.pop_mean, r.current_trailing_term), FALSE) AS INTEGER) AS churn_flag
 FROM {s}_robust r {f"LEFT JOIN {s}_base b ON r.user_id = b.user_id" if grouped else ""}"""
     by = "age_group, gender," if grouped else ""
     CTES[f"{s}_rates"] = f"""
@@ -387,7 +398,7 @@ FROM {s}_base b LEFT JOIN {s}_churn c ON b.user_id = c.user_id LEFT JOIN {s}_rob
   {rates} {joins}"""
     CTES[f"{s}_new"] = f"""
 SELECT r.* FROM {s}_recent r WHERE NOT EXISTS (SELECT 1 FROM {s}_gaps p WHERE p.user_id = r.user_id AND p.purchase_rank > 1)"""
-    risk = "CASE WHEN survival_prob <= 0.2 THEN 'High-Risk' WHEN survival_prob <= 0.5 THEN 'Medium-Risk' WHEN survival_prob <= 0.8 THEN 'Low-Risk' ELSE 'Safe' END"
+    risk = upto("survival_prob", labels.RISK_CLASSES, labels.RISK_NONE)
     new_own = "exp(-b.days_since_last_purchase / t.pop_mean)"
     new_mixed = f"0.7 * {new_own} + 0.3 * coalesce(k.cumulative_survival_prob, m.least)"
     gk = "age_group, gender," if grouped else ""
@@ -396,7 +407,7 @@ SELECT r.* FROM {s}_recent r WHERE NOT EXISTS (SELECT 1 FROM {s}_gaps p WHERE p.
     CTES[f"{s}_table"] = f"""
 SELECT user_id, days_since_last_purchase, {gk} CAST(NULL AS DOUBLE) AS current_trailing_term, CAST(NULL AS DOUBLE) AS prev_trailing_term,
   CAST(NULL AS DOUBLE) AS cycle_stddev, CAST(NULL AS DOUBLE) AS modified_zscore, CAST(NULL AS DOUBLE) AS demographic_churn_rate,
-  CAST(NULL AS INTEGER) AS churn_flag, survival_prob, predicted_survival_time, '신규' AS cycle_length, {risk} AS risk_level, {ref} AS cur
+  CAST(NULL AS INTEGER) AS churn_flag, survival_prob, predicted_survival_time, '{labels.CYCLE_NEW}' AS cycle_length, {risk} AS risk_level, {ref} AS cur
 FROM (SELECT b.*, {f"CASE WHEN b.gender IS NOT NULL THEN {new_mixed} ELSE {new_own} END" if grouped else new_mixed} AS survival_prob,
     CASE WHEN ({left}) IS NOT NULL THEN greatest({left}, 0) END AS predicted_survival_time
   FROM {s}_new b CROSS JOIN {s}_tstats t {joins})
@@ -404,7 +415,7 @@ UNION ALL
 SELECT b.user_id, b.days_since_last_purchase, {gk.replace("age_group", "b.age_group").replace(" gender", " b.gender")} b.current_trailing_term, b.prev_trailing_term, round(b.cycle_stddev), i.modified_zscore,
   i.avg_churn_rate, i.churn_flag, {half_up("i.survival_prob", 2)},
   CASE WHEN b.days_since_last_purchase IS NOT NULL THEN greatest(round(-(CASE WHEN abs(i.modified_zscore) > 3.5 THEN r.pop_mean ELSE b.current_trailing_term END) * ln(0.5) - b.days_since_last_purchase), 0) END,
-  CASE WHEN b.current_trailing_term <= 7 THEN '초단기' WHEN b.current_trailing_term <= 28 THEN '단기' WHEN b.current_trailing_term <= 60 THEN '중기' ELSE '장기' END,
+  {upto("b.current_trailing_term", labels.CYCLE_CLASSES, labels.CYCLE_LONGEST)},
   {risk.replace("survival_prob", "i.survival_prob")}, {ref}
 FROM {s}_base b LEFT JOIN {s}_indiv i ON b.user_id = i.user_id LEFT JOIN {s}_robust r ON b.user_id = r.user_id"""
 
@@ -420,9 +431,9 @@ _SURVIVAL = {
 
 def merged_ctes(p: str, as_of: str) -> None:
     CTES[f"{p}_balance"] = f"""
-SELECT b.wk_id AS user_id, CAST(sum(CASE WHEN a.accumulation_status IN ('취소로 인한 지급','지급') THEN a.amt END) AS BIGINT) AS accumulate_shoji,
-  CAST(coalesce(sum(CASE WHEN a.accumulation_status IN ('취소로 인한 지급','지급') THEN a.amt END)
-    - sum(CASE WHEN a.accumulation_status IN ('차감') THEN a.amt END), 0) AS BIGINT) AS current_shoji
+SELECT b.wk_id AS user_id, CAST(sum(a.amt) FILTER (a.accumulation_status IN ({listed(labels.LEDGER_CREDITS)})) AS BIGINT) AS accumulate_shoji,
+  CAST(coalesce(sum(a.amt) FILTER (a.accumulation_status IN ({listed(labels.LEDGER_CREDITS)}))
+    - sum(a.amt) FILTER (a.accumulation_status IN ({listed(labels.LEDGER_DEBITS)})), 0) AS BIGINT) AS current_shoji
 FROM src_ledger a LEFT JOIN src_mall_members b ON a.member_no = b.member_no WHERE CAST(a.register_dttm AS DATE) <= DATE '{as_of}' GROUP BY 1"""
     CTES[f"{p}_member"] = """
 SELECT a.user_id, a.join_dt, a.platform, a.current_cash, a.total_accumulate_cash, a.terms_agree_yn, b.gender, b.birth_year
@@ -464,20 +475,27 @@ FROM {p}_joined_{track} GROUP BY user_id)"""
         sfx, cat = ("shop", "sp") if mall else ("byshop", "bs")
         term, prev = f"current_trailing_term_{sfx}", f"prev_trailing_term_{sfx}"
 
-        def tile(k: int, key: str, where: str = "") -> str:
-            part = f"PARTITION BY CASE WHEN {where} THEN 1 END " if where else ""
-            return f"ntile({k}) OVER ({part}ORDER BY {key}, user_id NULLS FIRST)"
-
+        # One tiling per score over the rows it covers, joined back; uncovered rows score 1.
+        tilings = {
+            "r_score": (10, 0, f"r_{sfx} DESC NULLS LAST", "TRUE"),
+            "f_score": (9, 1, f"f_{sfx}", f"f_{sfx} > 1"),
+            "m_score": (10, 0, f"m_{sfx}", "TRUE"),
+            "term_score": (9, 1, f"{term} DESC", f"{term} IS NOT NULL"),
+            "term_diff_score": (9, 1, f"({term} - {prev}) DESC", f"{prev} IS NOT NULL"),
+            "volatility_score": (9, 1, f"cycle_stddev_{sfx} DESC NULLS LAST", f"{term} IS NOT NULL"),
+        }
+        for score, (k, shift, key, covered) in tilings.items():
+            CTES[f"{p}_{score}_{track}"] = f"""
+SELECT user_id, ntile({k}) OVER (ORDER BY {key}, user_id NULLS FIRST) + {shift} AS tile
+FROM {p}_merged_{track} WHERE f_{sfx} > 0 AND {covered}"""
+        shown = [
+            f"if(m.{prev} IS NULL, 1, {n}.tile) AS {n}" if n == "volatility_score" else f"coalesce({n}.tile, 1) AS {n}" for n in tilings
+        ]
         CTES[f"{p}_tiles_{track}"] = f"""
-SELECT *, {tile(10, f"r_{sfx} DESC NULLS LAST")} AS r_score,
-  CASE WHEN f_{sfx} = 1 THEN 1 ELSE {tile(9, f"ln(f_{sfx})", f"f_{sfx} > 1")} + 1 END AS f_score,
-  {tile(10, f"m_{sfx} NULLS FIRST")} AS m_score,
-  CASE WHEN {term} IS NULL THEN 1 ELSE {tile(9, f"{term} DESC NULLS LAST", f"{term} IS NOT NULL")} + 1 END AS term_score,
-  CASE WHEN {prev} IS NULL THEN 1 ELSE {tile(9, f"({term} - {prev}) DESC NULLS LAST", f"({term} - {prev}) IS NOT NULL")} + 1 END AS term_diff_score,
-  CASE WHEN {prev} IS NULL THEN 1 ELSE {tile(9, f"cycle_stddev_{sfx} DESC NULLS LAST", f"{term} IS NOT NULL")} + 1 END AS volatility_score
-FROM {p}_merged_{track} WHERE f_{sfx} > 0"""
+SELECT m.*, {", ".join(shown)} FROM {p}_merged_{track} m
+{" ".join(f"LEFT JOIN {p}_{n}_{track} {n} ON m.user_id IS NOT DISTINCT FROM {n}.user_id" for n in tilings)} WHERE m.f_{sfx} > 0"""
         CTES[f"{p}_total_{track}"] = f"""
-SELECT *, CAST(round(r_score * 0.22 + f_score * 0.427 + m_score * 0.35, 2) AS DOUBLE) AS total_score FROM {p}_tiles_{track}"""
+SELECT *, CAST(round({" + ".join(f"{n} * {w}" for n, w in zip(labels.SCORE_NAMES, labels.SCORE_WEIGHTS) if w)}, 2) AS DOUBLE) AS total_score FROM {p}_tiles_{track}"""
         CTES[f"{p}_cuts_{track}"] = f"""
 SELECT quantile_cont(total_score, 0.4) AS cut1, quantile_cont(total_score, 0.7) AS cut2, quantile_cont(total_score, 0.9) AS cut3 FROM {p}_total_{track}"""
         CTES[f"{p}_scored_{track}"] = f"""
@@ -487,7 +505,7 @@ SELECT tgt, user_id, gender, strftime(join_dt, '%y-%m') AS join_group, {age("bir
   cycle_stddev_{sfx}, r_score, f_score, m_score, term_score, term_diff_score, volatility_score, total_score, cycle_length_{sfx}, risk_level_{sfx},
   round(suvival_prob_{sfx}, 2) AS suvival_prob_{sfx}, round(predicted_survival_time_{sfx}) AS predicted_survival_time_{sfx},
   {", ".join(f"{k}_{cat} AS {k}" for k in RANKING_COLUMNS)}, DATE '{as_of}' AS snapshot_dt, cut1, cut2, cut3,
-  CASE WHEN total_score > cut3 THEN 'VIP' WHEN total_score > cut2 THEN 'GOLD' WHEN total_score > cut1 THEN 'SILVER' ELSE 'IRON' END AS grade
+  {above("total_score", [(f"cut{3 - i}", g) for i, (_, g) in enumerate(labels.GRADE_PERCENTILES)])} AS grade
 FROM {p}_total_{track}, {p}_cuts_{track}"""
     CTES[f"{p}_records"] = f"""
 SELECT user_id, gender, age_group, join_group, platform, terms_agree_yn, first_order_dt, snapshot_dt, total_score, cut1, cut2, cut3, grade,
@@ -689,13 +707,10 @@ oracle("rfm_scores_mall", show("c_scored_mall", "snapshot_dt first_order_dt", 4,
 oracle("grade_cuts", show("c_cuts_affiliate", rounded="cut1 cut2 cut3"))
 oracle(
     "grade_assign",
-    """SELECT user_id, total_score, CASE WHEN total_score > q[3] THEN 'VIP' WHEN total_score > q[2] THEN 'GOLD' WHEN total_score > q[1] THEN 'SILVER' ELSE 'IRON' END AS grade
+    f"""SELECT user_id, total_score, {above("total_score", [(f"q[{3 - i}]", g) for i, (_, g) in enumerate(labels.GRADE_PERCENTILES)])} AS grade
 FROM c_records, (SELECT quantile_cont(total_score, [0.4, 0.7, 0.9]) AS q FROM c_records)""",
 )
-oracle(
-    "grade_fixed",
-    """SELECT user_id, total_score, CASE WHEN total_score > 7.15 THEN 'VIP' WHEN total_score > 4.504 THEN 'GOLD' WHEN total_score > 3.15 THEN 'SILVER' ELSE 'IRON' END AS grade FROM c_records""",
-)
+oracle("grade_fixed", f"SELECT user_id, total_score, {above('total_score', labels.GRADE_THRESHOLDS)} AS grade FROM c_records")
 
 _RECORD_COLS = """snapshot_dt total_score cut1 cut2 cut3 grade risk_level cycle_length r_score f_score m_score term_score term_diff_score
  volatility_score r_data f_data m_data ar_data current_trailing_term prev_trailing_term term_diff cycle_stddev refund_rate survival_prob
@@ -734,9 +749,9 @@ oracle("history_long_cycle", "SELECT user_id, cycle_length, r_score, f_score, m_
 
 # --- weight study ----------------------------------------------------------------------------
 
-_SCORES = ["r_score", "f_score", "m_score", "term_score", "term_diff_score", "volatility_score"]
-_IMPORTANCE = [0.2, 0.3, 0.2, 0.15, 0.1, 0.05]
-_START_W = [0.1, 0.35, 0.35, 0.01, 0.05, 0.05]
+_SCORES = list(labels.SCORE_NAMES)
+_IMPORTANCE = labels.STUDY_IMPORTANCE
+_START_W = labels.STUDY_START_WEIGHTS
 _LOW_UNITS = [0, 64, 112, 0, 0, 0]
 _MEDIANS = ["current_trailing_term", "m_data", "predicted_survival_time"]
 
@@ -864,11 +879,7 @@ UNION ALL SELECT user_id, current_cash, 'exchange' AS funnel FROM src_app_member
   {_EVENT_USERS.format("2024-01-10", "event_type = 'purchase'")}
   UNION ALL {_EVENT_USERS.format("2024-01-20", "event_type = 'view'")})""",
 )
-_BANDS = [
-    (0, 1000, "1 ~  1,000"), (1000, 1500, "1,000 ~ 1,500"), (1500, 2000, "1,500 ~ 2,000"), (2000, 5000, "2,000 ~ 5,000"),
-    (5000, 10000, "5,000 ~  10,000"), (10000, 15000, "10,000 ~ 15,000"), (15000, 20000, "15,000 ~ 20,000"),
-    (20000, 30000, "20,000 ~ 30,000"), (30000, 50000, "30,000 ~ 50,000"), (50000, 100000, "50,000 ~ 100,000"), (100000, 1e18, "100,000 ~"),
-]
+_BANDS = [(lo, 1e18 if hi is None else hi, label) for lo, hi, label in labels.CASH_BANDS]
 oracle(
     "cash_band_profile",
     f"""SELECT b.band, count(m.user_id) AS users, CAST(coalesce(sum(m.current_cash), 0) AS DOUBLE) AS total_cash
