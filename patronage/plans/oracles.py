@@ -345,7 +345,7 @@ FROM {s}_base b, {s}_tstats t, {s}_median m, {s}_mad d WHERE b.current_trailing_
     keep = ", b.age_group, b.gender" if grouped else ""
     CTES[f"{s}_churn"] = f"""
 SELECT r.user_id, r.current_trailing_term{keep},
-  CAST(coalesce(r.days_since_last_purchase > 2 * if(coalesce(abs(r.modified_zscore), 0) > 3.5, r.pop_mean, r.current_trailing_term), FALSE) AS INTEGER) AS churn_flag
+  CAST(coalesce(r.days_since_last_purchase > 2 * if(coalesce(abs(r.modified_zscore), 0) > 3.5, r.pop_mean, r.current_trailing_term), FALSE) AS BIGINT) AS churn_flag
 FROM {s}_robust r {f"LEFT JOIN {s}_base b ON r.user_id = b.user_id" if grouped else ""}"""
     by = "age_group, gender," if grouped else ""
     CTES[f"{s}_rates"] = f"""
@@ -407,7 +407,7 @@ SELECT r.* FROM {s}_recent r WHERE NOT EXISTS (SELECT 1 FROM {s}_gaps p WHERE p.
     CTES[f"{s}_table"] = f"""
 SELECT user_id, days_since_last_purchase, {gk} CAST(NULL AS DOUBLE) AS current_trailing_term, CAST(NULL AS DOUBLE) AS prev_trailing_term,
   CAST(NULL AS DOUBLE) AS cycle_stddev, CAST(NULL AS DOUBLE) AS modified_zscore, CAST(NULL AS DOUBLE) AS demographic_churn_rate,
-  CAST(NULL AS INTEGER) AS churn_flag, survival_prob, predicted_survival_time, '{labels.CYCLE_NEW}' AS cycle_length, {risk} AS risk_level, {ref} AS cur
+  CAST(NULL AS BIGINT) AS churn_flag, survival_prob, predicted_survival_time, '{labels.CYCLE_NEW}' AS cycle_length, {risk} AS risk_level, {ref} AS cur
 FROM (SELECT b.*, {f"CASE WHEN b.gender IS NOT NULL THEN {new_mixed} ELSE {new_own} END" if grouped else new_mixed} AS survival_prob,
     CASE WHEN ({left}) IS NOT NULL THEN greatest({left}, 0) END AS predicted_survival_time
   FROM {s}_new b CROSS JOIN {s}_tstats t {joins})
@@ -570,7 +570,7 @@ oracle(
 )
 oracle(
     "scalar_null",
-    """SELECT c_custkey, CASE WHEN c_nationkey = 13 THEN -1 ELSE c_nationkey END AS nation_or_default,
+    """SELECT c_custkey, CAST(CASE WHEN c_nationkey = 13 THEN -1 ELSE c_nationkey END AS BIGINT) AS nation_or_default,
   nullif(c_mktsegment, 'MACHINERY') AS segment_or_null,
   round(CASE WHEN c_nationkey <> 0 THEN c_acctbal / c_nationkey END, 6) AS ratio,
   CASE WHEN c_nationkey <> 7 THEN CAST(greatest(c_nationkey, 5) AS DOUBLE) END AS greatest_or_null,
@@ -632,7 +632,7 @@ oracle("rfm_mall", show("c_rfm", _MALL_DATES, rounded="monetary avg_commission_r
 oracle("rfm_mall_orders_once", show("c_rfm_once", _MALL_DATES, rounded="monetary avg_commission_rate refund_rate", monetary=2))
 oracle(
     "mall_refund_flag",
-    """SELECT order_no, member_no, CAST(order_dt AS VARCHAR) AS order_dt, count_if(is_refunded) AS hits, count(refund_no) AS refunds,
+    """SELECT order_no, member_no, CAST(order_dt AS VARCHAR) AS order_dt, CAST(count_if(is_refunded) AS BIGINT) AS hits, count(refund_no) AS refunds,
   bool_or(is_refunded) AS is_refunded FROM c_checked GROUP BY order_no, member_no, order_dt""",
 )
 oracle("reward_balance", "SELECT * FROM c_balance")
@@ -889,7 +889,7 @@ LEFT JOIN src_app_members m ON m.current_cash > b.lo AND m.current_cash <= b.hi
 oracle(
     "balance_summary",
     """SELECT CAST(sum(current_cash) AS DOUBLE) AS total_cash, CAST(max(current_cash) AS DOUBLE) AS max_cash, count(*) - count(current_cash) AS missing,
-  count_if(current_cash > 0) AS positive_users, round(sum(current_cash) / count_if(current_cash > 0), 6) AS cash_per_positive_user FROM src_app_members""",
+  CAST(count_if(current_cash > 0) AS BIGINT) AS positive_users, round(sum(current_cash) / count_if(current_cash > 0), 6) AS cash_per_positive_user FROM src_app_members""",
 )
 _MEANS = [
     "total_score", "cut1", "cut2", "cut3", "r_data", "f_data", "term_score", "term_diff_score", "volatility_score", "refund_rate",
@@ -918,8 +918,8 @@ def _passed(c: str, q: str) -> str:
 
 
 CTES["periods"] = f"""
-SELECT user_id, recency, frequency, monetary, 5 - ({_passed("recency", "qr")}) AS r_score, 1 + ({_passed("frequency", "qf")}) AS f_score,
-  1 + ({_passed("monetary", "qm")}) AS m_score, period
+SELECT user_id, recency, frequency, monetary, CAST(5 - ({_passed("recency", "qr")}) AS BIGINT) AS r_score,
+  CAST(1 + ({_passed("frequency", "qf")}) AS BIGINT) AS f_score, CAST(1 + ({_passed("monetary", "qm")}) AS BIGINT) AS m_score, period
 FROM (SELECT *, 'past' AS period FROM e_arfm UNION ALL SELECT *, 'current' AS period FROM c_arfm), quintiles"""
 CTES["vips"] = "SELECT * FROM periods WHERE r_score >= 4 AND f_score >= 4 AND m_score >= 4"
 oracle(
@@ -929,8 +929,8 @@ oracle(
 oracle("period_scores", show("periods", "", 4, "monetary"))
 oracle(
     "vip_movement",
-    """SELECT count_if(period = 'past') AS past_vips, count_if(period = 'current') AS current_vips,
-  count_if(period = 'current') - count_if(period = 'past') AS net_change FROM vips""",
+    """SELECT count(*) FILTER (period = 'past') AS past_vips, count(*) FILTER (period = 'current') AS current_vips,
+  count(*) FILTER (period = 'current') - count(*) FILTER (period = 'past') AS net_change FROM vips""",
 )
 for _name, _have, _lack in (("vip_new", "current", "past"), ("vip_churned", "past", "current")):
     oracle(

@@ -44,6 +44,16 @@ def rows(columns, values):
     return [columns[i] for i in order], sorted(out, key=repr)
 
 
+TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+def type_difference(spark_df, con, sql) -> str | None:
+    got = {n: TYPES.get(t, t) for n, t in spark_df.dtypes}
+    want = {r[0]: r[1] for r in con.execute("DESCRIBE " + sql).fetchall()}
+    bad = {n: (got[n], want[n]) for n in got if n in want and got[n] != want[n]}
+    return f"types differ: {bad}" if bad else None
+
+
 def difference(spark_df, con, sql) -> str | None:
     """None when both results hold the same rows, else a description."""
     got = [tuple(r) for r in spark_df.collect()]
@@ -60,7 +70,7 @@ def difference(spark_df, con, sql) -> str | None:
         g, w = bad[0]
         cells = [(c, x, y) for c, x, y in zip(got_cols, g, w) if x != y]
         return f"{len(bad)} of {len(got_rows)} rows differ, first in (column, Spark, SQL): {cells[:6]} of {g[:3]}"
-    return None
+    return type_difference(spark_df, con, sql)
 
 
 def main() -> int:
