@@ -12,7 +12,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from patronage.functions.scalars import day
-from patronage.sources.schemas import CATEGORY_SNAPSHOT, history_schema, score_snapshot, slow_columns
+from patronage.sources.schemas import CATEGORY_SNAPSHOT, score_snapshot, slow_columns
 
 _SUFFIX = {"affiliate": "byshop", "mall": "shop"}
 

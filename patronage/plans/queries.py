@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -15,7 +14,7 @@ from patronage.operators import category, history, profile, revenue, rfm, scorin
 from patronage.plans.snapshot import Snapshot, Window
 from patronage.sources import readers
 from patronage.sources.schemas import history_schema
-from patronage.sources.star_schema import EVENTS_AS_OF, ORDERS_AS_OF, ORDERS_START, StarSchema
+from patronage.sources.star_schema import ORDERS_AS_OF, ORDERS_START, StarSchema
 
 # The partner feed enters the churn input later than the revenue.
 PARTNER_CHURN_START = "1996-01-01"
