@@ -10,7 +10,8 @@ def build(app: str = "patronage", master: str | None = None, **conf: str) -> Spa
 
     Shuffle partitions are left to the cluster: set spark.sql.shuffle.partitions to a
     few times its cores (adaptive execution merges small ones), and
-    spark.checkpoint.dir to a folder all executors share.
+    spark.checkpoint.dir to a folder all executors share (stages are stored there;
+    functions.stages.drop_stages removes them at the end of a run).
     """
     b = SparkSession.builder.appName(app)
     if master:
