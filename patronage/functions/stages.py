@@ -31,7 +31,7 @@ def cut(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write the rows as Parquet to the shared folder and continue from there."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
