@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from patronage.llm import chat, mixing, packing, sharding
+from patronage.llm import chat, mixing, packing, quality, sharding
+from patronage.llm.features import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -121,3 +122,19 @@ def op1_curve_packing(spark, d):
     """All documents packed along the curve into sequences of at most 1024 tokens."""
     pieces = packing.pack(table(spark, d, "documents"), tokenizer_file(), 1024)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op4_quality_classifier(spark, d):
+    """Quality scores of all documents, learned from four folds of the labels."""
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    model = quality.train_classifier(docs, labels, quality.train_fold(F.col("doc_id")))
+    scored = quality.score_quality(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op9_quality_rules(spark, d):
+    """Base counts and the calibrated verdict on all documents."""
+    docs = table(spark, d, "documents")
+    return quality.apply_rules(docs.select("doc_id", "text"), quality.train_rules(docs, table(spark, d, "labels"))).drop("text")
