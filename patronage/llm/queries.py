@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from patronage.llm import chat, mixing, packing, quality, sharding
+from patronage.llm import chat, language, mixing, packing, quality, sharding
 from patronage.llm.features import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,12 @@ def op9_quality_rules(spark, d):
     """Base counts and the calibrated verdict on all documents."""
     docs = table(spark, d, "documents")
     return quality.apply_rules(docs.select("doc_id", "text"), quality.train_rules(docs, table(spark, d, "labels"))).drop("text")
+
+
+@query
+def op6_language_id(spark, d):
+    """Languages of all documents, learned from three folds of them."""
+    docs = table(spark, d, "documents")
+    network = language.learn(docs, language.train_fold(F.col("doc_id")))
+    named = language.identify(docs.select("doc_id", "text"), network)
+    return named.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
