@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from patronage.llm import chat, language, mixing, packing, quality, sharding
+from patronage.llm import chat, embedding, language, mixing, packing, quality, sharding
 from patronage.llm.features import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +147,9 @@ def op6_language_id(spark, d):
     network = language.learn(docs, language.train_fold(F.col("doc_id")))
     named = language.identify(docs.select("doc_id", "text"), network)
     return named.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op10_embedding_dedup(spark, d):
+    """Links and components of all vectors of one label with a cosine of 0.93 or more."""
+    return embedding.near_duplicates(table(spark, d, "embeddings"), 0.93)
