@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from patronage.llm import chat, embedding, language, mixing, packing, quality, sharding
+from patronage.llm import chat, embedding, jaccard, language, mixing, packing, quality, sharding
 from patronage.llm.features import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,3 +153,28 @@ def op6_language_id(spark, d):
 def op10_embedding_dedup(spark, d):
     """Links and components of all vectors of one label with a cosine of 0.93 or more."""
     return embedding.near_duplicates(table(spark, d, "embeddings"), 0.93)
+
+
+@query
+def op8_jaccard_join(spark, d):
+    """All documents with the class and the number of their links of a Jaccard similarity of 0.8 or more on five-word shingles."""
+    return jaccard.similar_documents(table(spark, d, "documents"), 0.8)
+
+
+ORACLES["op8_jaccard_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]) END AS s FROM w
+),
+e AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+pair AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*)) - 1e-9
+),
+reach(id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.id, pair.b FROM reach JOIN pair ON pair.a = reach.other)
+SELECT d.doc_id, min(r.other) AS class_id, (SELECT count(*) FROM pair p WHERE p.a = d.doc_id) AS n_links
+FROM documents d JOIN reach r ON r.id = d.doc_id GROUP BY d.doc_id
+"""
