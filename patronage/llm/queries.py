@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from patronage.llm import chat, embedding, jaccard, language, mixing, packing, quality, sharding
+from patronage.llm import chat, embedding, jaccard, language, mixing, packing, quality, sharding, substring
 from patronage.llm.features import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -178,3 +178,28 @@ reach(id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.id,
 SELECT d.doc_id, min(r.other) AS class_id, (SELECT count(*) FROM pair p WHERE p.a = d.doc_id) AS n_links
 FROM documents d JOIN reach r ON r.id = d.doc_id GROUP BY d.doc_id
 """
+
+
+@query
+def op7_substring_dedup(spark, d):
+    """All documents without the words of 20-word windows that lie earlier too."""
+    out = substring.remove_repeats(table(spark, d, "documents").select("doc_id", "text"))
+    kept = F.array_join(F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != ""), " ")
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce(kept, F.lit("")), 256).alias("kept_sha256"))
+
+
+ORACLES["op7_substring_dedup"] = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+),
+win AS (SELECT doc_id, s, array_to_string(w[s:s + 19], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM w WHERE len(w) >= 20)),
+later AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY g ORDER BY doc_id, s) AS k FROM win) WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, s + i AS p FROM later, range(0, 20) x(i)),
+word AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS x FROM w),
+kept AS (
+  SELECT word.doc_id, string_agg(x, ' ' ORDER BY word.p) AS t, count(*) AS n
+  FROM word ANTI JOIN gone ON gone.doc_id = word.doc_id AND gone.p = word.p GROUP BY word.doc_id
+)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(len(w.w) - coalesce(kept.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
+"""
