@@ -218,9 +218,9 @@ def _passages(docs: DataFrame, runs: DataFrame) -> DataFrame:
                 if len(row):
                     order = np.lexsort((start, block, row))
                     row, start, n, block, copies = (x[order] for x in (row, start, n, block, copies))
-                    new = np.ones(len(row), bool)
-                    new[1:] = (row[1:] != row[:-1]) | (block[1:] != block[:-1]) | (start[1:] > start[:-1] + 1)
-                    # Runs that start right after each other overlap; a run that starts later begins a passage of its own.
+                    group = np.cumsum(np.append(0, (row[1:] != row[:-1]) | (block[1:] != block[:-1]))) << 40
+                    reach = np.maximum.accumulate(group + start + n)  # windows asked for up to here
+                    new = np.append(True, (group + start)[1:] > reach[:-1])
                     at = np.flatnonzero(new)
                     end = np.maximum.reduceat(start + n, at) + WIDTH - 1
                     texts += emit(0, row[at], start[at], end, doc[row[at]], block[at], copies[at])
