@@ -36,7 +36,7 @@ from patronage.llm.words import grams, least_of_windows, signed, slices, starts_
 
 WIDTH, GRAM = 20, 8
 BITS = 1 << 26
-HOT = 4096
+HOT = 1 << 16  # occurrences of one anchor that a task takes whole: some 7 MB of window hashes
 SHARD = 1 << 15
 VISITORS = 4096  # passages streamed through one copy of an automaton
 
