@@ -28,7 +28,7 @@ from patronage.llm.words import mix, slices
 DIMS, BITS = 3, 16
 BUCKETS = 4096  # of the hashed bag of tokens
 CLOSING_ID = 0
-_BATCH_BYTES = 4 << 20
+_BATCH_BYTES = 1 << 20
 _PROJECTION = np.random.default_rng(7).standard_normal((BUCKETS, DIMS)).astype(np.float32)
 
 

@@ -17,7 +17,7 @@ from patronage.llm.words import SPACE, range_hashes
 
 # The pattern of the byte-level vocabulary; a fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-KEPT_PIECES, KEPT_BYTES = 1_000_000, 64
+KEPT_PIECES, KEPT_BYTES = 300_000, 64
 
 
 def byte_letters() -> dict[str, int]:
