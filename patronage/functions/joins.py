@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 _SPREAD = 4096
 
 
-def left_join_nullable(left: DataFrame, right: DataFrame, key: str, spread_by: list[str] | None = None) -> DataFrame:
-    """Left join on `key` that keeps rows with a null key out of one another's way.
+def left_join_nullable(left: DataFrame, right: DataFrame, key: str, spread_by: list[str] | None = None, also: tuple[str, ...] = ()) -> DataFrame:
+    """Left join on `key` (and the columns of `also`) that keeps rows with a null key out of one another's way.
 
     Null keys match nothing, yet a shuffled join sends all of them to one task.  A
     second key, 0 wherever the key is known and a hash of the row where it is not,
@@ -19,6 +19,6 @@ def left_join_nullable(left: DataFrame, right: DataFrame, key: str, spread_by: l
     spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*other), F.lit(_SPREAD))).otherwise(F.lit(0))
     return (
         left.withColumn("_spread", spread.cast("bigint"))
-        .join(right.withColumn("_spread", F.pmod(F.xxhash64(key), F.lit(1)).cast("bigint")), [key, "_spread"], "left")
+        .join(right.withColumn("_spread", F.pmod(F.xxhash64(key), F.lit(1)).cast("bigint")), [key, *also, "_spread"], "left")
         .drop("_spread")
     )

@@ -85,7 +85,8 @@ def member_profile(src: Sources) -> DataFrame:
     people = _one_row_per_user(
         src.mall_members.select(F.col("wk_id").alias("user_id"), "gender", "birth_year"), ["gender", "birth_year"]
     )
-    return src.app_members.join(people, "user_id", "left").selectExpr(
+    app = ["platform", "join_dt", "total_accumulate_cash", "current_cash", "terms_agree_yn"]
+    return _one_row_per_user(src.app_members, app).join(people, "user_id", "left").selectExpr(
         "user_id",
         *[f"{c} as {c}_member" for c in ("platform", "join_dt", "total_accumulate_cash", "gender", "birth_year")],
         "current_cash",
@@ -104,16 +105,15 @@ def user_profile(
 ) -> DataFrame:
     """Attach everything known about a user to the channel rows in `base`.
 
-    All sides hold at most one row per user and are keyed by it, so the joins share
+    All sides are reduced to one row per user and keyed by it, so the joins share
     one partitioning and never multiply rows.
     """
     out = base
     for side in (
-        src.offerwall_rfm.select(
-            "user_id",
-            F.col("recency").alias("recency_wall"),
-            F.col("frequency").alias("frequency_wall"),
-            F.col("monetary").alias("monetary_wall"),
+        src.offerwall_rfm.where("user_id IS NOT NULL").groupBy("user_id").agg(
+            F.min("recency").alias("recency_wall"),
+            F.max("frequency").alias("frequency_wall"),
+            F.max("monetary").alias("monetary_wall"),
         ),
         member_profile(src),
         balance.where(F.col("user_id").isNotNull()),

@@ -136,8 +136,9 @@ def partner_daily(orders: DataFrame, start: date | str, as_of: date | str) -> Da
 def partner_cancel_daily(cancels: DataFrame, start: date | str, as_of: date | str) -> DataFrame:
     """Commission taken back per (cancel day, order day, user); cancel days are yyyymmdd text."""
     cancel_dt = F.to_date("date", "yyyyMMdd")
+    text = [F.date_format(day(d), "yyyyMMdd") for d in (start, as_of)]  # sorts as the days do, and reaches the scan
     return (
-        cancels.where(cancel_dt.between(day(start), day(as_of)) & F.col("subParam").isNotNull())
+        cancels.where(F.col("date").between(*text) & cancel_dt.between(day(start), day(as_of)) & F.col("subParam").isNotNull())
         .groupBy(cancel_dt.alias("event_dt"), F.col("orderDate").alias("order_date"), F.col("subParam").alias("user_id"))
         .agg(F.sum("commission").alias("revenue"))
     )

@@ -69,10 +69,10 @@ def _refund_counts(orders: DataFrame, refunds: DataFrame, as_of: date | str, wit
     time before) and not after `as_of`.  Order days, moved to their deadline, and
     refund days are put on one time line per member and the refunds are summed up
     along it, so no order x refund pairs are formed.  Both sides hold one row per
-    calendar day and member.
+    calendar day and member.  Orders without a member meet no refund and are left out.
     """
-    order_days = orders.groupBy("member_no", "order_dt").agg(F.count(F.lit(1)).alias("orders"))
-    refund_days = refunds.groupBy("member_no", F.col("order_dt").alias("at")).agg(F.count(F.lit(1)).alias("refunds"))
+    order_days = orders.where("member_no IS NOT NULL").groupBy("member_no", "order_dt").agg(F.count(F.lit(1)).alias("orders"))
+    refund_days = refunds.where("member_no IS NOT NULL").groupBy("member_no", F.col("order_dt").alias("at")).agg(F.count(F.lit(1)).alias("refunds"))
     deadline = F.least(F.date_add("order_dt", within_days), day(as_of))
     marks = order_days.select("member_no", deadline.alias("at"), "order_dt", F.lit(0).cast("bigint").alias("refunds")).unionByName(
         refund_days.select("member_no", "at", F.lit(None).cast("date").alias("order_dt"), "refunds")
@@ -97,7 +97,9 @@ def refund_flags(
 ) -> DataFrame:
     """Orders with the number of refunds that hit them and whether any does."""
     counts = _refund_counts(orders, refunds, as_of, within_days)
-    return orders.join(counts, ["member_no", "order_dt"], "left").withColumn("is_refunded", F.col("hits") > 0)
+    met = left_join_nullable(orders, counts, "member_no", ["order_no"], also=("order_dt",))
+    none = F.lit(0).cast("bigint")
+    return met.withColumns({"hits": F.coalesce("hits", none), "refunds": F.coalesce("refunds", none)}).withColumn("is_refunded", F.col("hits") > 0)
 
 
 def rfm_mall(
@@ -131,7 +133,8 @@ def rfm_mall(
     else:
         copies = F.lit(1)
         lost = F.when(F.col("hits") > 0, 1).otherwise(0)
-    days = per_day.join(counts, ["member_no", "order_dt"]).withColumns({"copies": copies, "lost": lost})
+    met = left_join_nullable(per_day, counts, "member_no", ["order_dt"], also=("order_dt",)).fillna(0, ["hits", "refunds"])
+    days = met.withColumns({"copies": copies, "lost": lost})
     kept = F.col("copies") - F.col("lost")
     per_member = days.groupBy("member_no").agg(
         F.max(F.when(kept > 0, F.col("order_dt"))).alias("last_order_dt"),
@@ -144,7 +147,7 @@ def rfm_mall(
     )
     people = src.mall_members.select("member_no", F.col("wk_id").alias("user_id"), "gender", "birth_year")
     apps = src.app_members.select("user_id", "platform", "join_dt", "total_accumulate_cash", "current_cash")
-    known = per_member.join(people, "member_no", "left")
+    known = left_join_nullable(per_member, people, "member_no")
     return (
         left_join_nullable(known, apps, "user_id", ["member_no"])
         .select(

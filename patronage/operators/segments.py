@@ -26,8 +26,8 @@ def group_profile(
     out = records.groupBy(by).agg(*[F.avg(c).alias(f"{c}_mean") for c in means], F.count(F.lit(1)).alias("n"))
     if medians:
         mid = percentiles(records, {c: F.col(c) for c in medians}, [0.5], id_col, by)
-        mid = mid.select(by, *[F.col(c)[0].alias(f"{c}_median") for c in medians])
-        out = out.join(F.broadcast(mid), by, "left")  # one row per group
+        mid = mid.select(F.col(by).alias("_by"), *[F.col(c)[0].alias(f"{c}_median") for c in medians])
+        out = out.join(mid, F.col(by).eqNullSafe(F.col("_by")), "left").drop("_by")
     return out
 
 

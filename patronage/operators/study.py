@@ -61,7 +61,7 @@ def adjusted_ltv(records: DataFrame, by: str | None = None, id_col: str = "user_
     quality = F.when(again, safe_divide(m, f) * F.log1p(f)).otherwise(m * 0.7)
     rows = records.withColumn("_quality", quality)
     scale = percentiles(rows, {"_q": F.col("_quality")}, [0.5, 0.95], id_col, by)
-    rows = rows.join(F.broadcast(scale), by) if by else rows.crossJoin(F.broadcast(scale))
+    rows = rows.join(scale, by) if by else rows.crossJoin(F.broadcast(scale))
     median, p95 = F.col("_q")[0], F.col("_q")[1]
     norm = F.least(F.greatest(safe_divide(F.col("_quality"), median), F.lit(0.0)), safe_divide(p95, median))
     cycle_weight = F.when(again, 1.0).otherwise(0.3) / F.sqrt(nonzero(0.1))
@@ -72,7 +72,7 @@ def adjusted_ltv(records: DataFrame, by: str | None = None, id_col: str = "user_
     raw = per_cycle * survival * (1 + frequency_factor) * norm * multiplier
     rows = rows.withColumn("_ltv", raw).drop("_quality", "_q")
     caps = percentiles(rows, {"_cap": F.col("_ltv")}, [0.97, 0.95], id_col, by)
-    rows = rows.join(F.broadcast(caps), by) if by else rows.crossJoin(F.broadcast(caps))
+    rows = rows.join(caps, by) if by else rows.crossJoin(F.broadcast(caps))
     cap = F.when(again, F.col("_cap")[0]).otherwise(F.col("_cap")[1])
     return rows.withColumn("adjusted_ltv", F.least(F.greatest(F.col("_ltv"), F.lit(0.0)), cap)).drop("_ltv", "_cap")
 

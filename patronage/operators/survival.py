@@ -64,16 +64,21 @@ def purchase_ranks(days: DataFrame) -> DataFrame:
     )
 
 
-def purchase_intervals(days: DataFrame, first: int = FIRST_PURCHASES) -> DataFrame:
-    """Gaps between the first purchase days of each user.
+def purchase_intervals(days: DataFrame, first: int = FIRST_PURCHASES, latest: bool = False) -> DataFrame:
+    """Gaps between the first (or, with `latest`, the last) `first` purchase days of each user.
 
     The rank limit is applied before the shuffle, so a user id with very many rows
-    sends only `first` rows per task.
+    sends only `first` rows per task.  With `latest` the ranks count up to -1, the last day.
     """
     by_date = Window.partitionBy("user_id").orderBy("order_dt")
-    early = days.select("user_id", "order_dt").withColumn("purchase_rank", F.row_number().over(by_date)).where(
-        F.col("purchase_rank") <= first
-    )
+    if latest:
+        back = F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("order_dt")))
+        early = days.select("user_id", "order_dt").withColumn("purchase_rank", back).where(F.col("purchase_rank") <= first)
+        early = early.withColumn("purchase_rank", -F.col("purchase_rank"))
+    else:
+        early = days.select("user_id", "order_dt").withColumn("purchase_rank", F.row_number().over(by_date)).where(
+            F.col("purchase_rank") <= first
+        )
     following = F.lead("order_dt").over(by_date)
     return early.withColumns(
         {"next_order_date": following, "days_between_orders": F.datediff(following, F.col("order_dt"))}
@@ -84,7 +89,8 @@ def cycle_stats(intervals: DataFrame, latest: bool = False) -> DataFrame:
     """Mean gap now and before, and the spread of the gaps, per user.
 
     "Now" is the mean of gaps 1-3, "before" that of gaps 2-4, counted from the
-    first purchase; `latest` counts them from the last gap instead.
+    first purchase; `latest` counts them from the last gap instead, and its spread is that
+    of the gaps between the last FIRST_PURCHASES days (take `latest` intervals for it).
     """
     gap = F.col("days_between_orders")
     rank = F.col("purchase_rank")
@@ -126,7 +132,7 @@ def survival_base(days: DataFrame, as_of: date | str, grouped: bool = False, lat
     ref = F.date_add(day(as_of), 1)
     current, prev = F.col("current_trailing_term"), F.col("prev_trailing_term")
     return (
-        cycle_stats(purchase_intervals(days), latest)
+        cycle_stats(purchase_intervals(days, latest=latest), latest)
         .withColumns({c: _known(F.col(c)) for c in ("prev_trailing_term", "cycle_stddev")})
         .join(_latest(days, ref, grouped), "user_id", "left")
         .withColumns(

@@ -652,12 +652,16 @@ FROM src_mall_orders o LEFT JOIN src_mall_categories b ON b.depth4_category_no =
 oracle("purchase_ranks", show("c_sa_base_data", "order_dt"))
 oracle("purchase_intervals", show("c_sa_gaps", "order_dt next_order_date"))
 _CYCLE = """SELECT c.user_id, c.current_trailing_term, p.prev_trailing_term, round(s.cycle_stddev, 6) AS cycle_stddev
-FROM {c} c LEFT JOIN {p} p ON c.user_id = p.user_id LEFT JOIN c_sa_spread s ON c.user_id = s.user_id"""
-oracle("cycle_stats", _CYCLE.format(c="c_sa_current", p="c_sa_prev"))
+FROM {c} c LEFT JOIN {p} p ON c.user_id = p.user_id LEFT JOIN {s} s ON c.user_id = s.user_id"""
+oracle("cycle_stats", _CYCLE.format(c="c_sa_current", p="c_sa_prev", s="c_sa_spread"))
+CTES["late_gaps"] = """
+SELECT user_id, date_diff('day', order_dt, lead(order_dt) OVER (PARTITION BY user_id ORDER BY order_dt)) AS days_between_orders, recency_rank
+FROM c_sa_base_data WHERE recency_rank <= 15"""
 _LATE = f"""(SELECT user_id, {half_up("avg(days_between_orders)", 1)} AS {{k}}_trailing_term FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY purchase_rank DESC) AS back FROM c_sa_gaps WHERE days_between_orders IS NOT NULL)
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY recency_rank) AS back FROM late_gaps WHERE days_between_orders IS NOT NULL)
   WHERE back BETWEEN {{r}} GROUP BY user_id)"""
-oracle("cycle_stats_latest", _CYCLE.format(c=_LATE.format(k="current", r="1 AND 3"), p=_LATE.format(k="prev", r="2 AND 4")))
+oracle("cycle_stats_latest", _CYCLE.format(c=_LATE.format(k="current", r="1 AND 3"), p=_LATE.format(k="prev", r="2 AND 4"),
+       s="(SELECT user_id, stddev_samp(days_between_orders) AS cycle_stddev FROM late_gaps WHERE days_between_orders IS NOT NULL GROUP BY user_id)"))
 _BASE = "current_trailing_term prev_trailing_term cycle_stddev cycle_change_rate cycle_variation_rate"
 oracle("survival_base", show("c_sa_base", rounded=_BASE))
 oracle("survival_base_grouped", show("c_sm_base", rounded=_BASE))

@@ -410,7 +410,7 @@ def cycle_stats(spark, d):
 
 @query
 def cycle_stats_latest(spark, d):
-    return present(survival.cycle_stats(survival.purchase_intervals(_days(spark, d)), latest=True))
+    return present(survival.cycle_stats(survival.purchase_intervals(_days(spark, d), latest=True), latest=True))
 
 
 @query

@@ -61,10 +61,17 @@ def test_cycles_use_the_first_gaps_and_fifteen_days(spark):
     assert (got["a"].current_trailing_term, got["a"].prev_trailing_term) == (2.3, 5.3)
     assert (got["b"].current_trailing_term, got["b"].prev_trailing_term, got["b"].cycle_stddev) == (5.0, None, None)
     assert "c" not in got and got["d"].cycle_stddev == 0.0
-    late = {r.user_id: r for r in survival.cycle_stats(survival.purchase_intervals(days), latest=True).collect()}
+    late = {r.user_id: r for r in survival.cycle_stats(survival.purchase_intervals(days, latest=True), latest=True).collect()}
     assert (late["a"].current_trailing_term, late["a"].prev_trailing_term) == (5.3, 2.3)
 
 
+def test_latest_terms_see_the_last_of_many_days(spark):
+    """30 purchase days with gaps 1, 3, 5, ... 57: the last three are 53, 55, 57."""
+    days = days_of(spark, {"a": [2 * k + 1 for k in range(29)]})
+    late = survival.cycle_stats(survival.purchase_intervals(days, latest=True), latest=True).first()
+    assert (late.current_trailing_term, late.prev_trailing_term) == (55.0, 53.0)
+
+
 def test_rank_limit_is_applied_before_the_shuffle(spark):
     plan = survival.purchase_intervals(days_of(spark, {"a": [1]}))._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan

@@ -149,3 +149,12 @@ def test_mall_refunds_by_counts_equal_the_fan_out_join(spark):
     assert got[2].user_id is None and got[3].refund_rate == 0.0
     once = {r.member_no: r for r in rfm.rfm_mall(src, "2025-01-01", as_of, fan_out=False).collect()}
     assert (once[1].total_purchases, once[1].total_refunds, once[1].monetary, once[1].recency) == (3, 3, 0.0, None)
+
+
+def test_orders_without_a_member_are_kept_unrefunded(spark):
+    from patronage.operators import rfm
+
+    orders = spark.sql("SELECT 1 AS order_no, CAST(NULL AS BIGINT) AS member_no, DATE '2001-01-01' AS order_dt UNION ALL SELECT 2, 7, DATE '2001-01-01'")
+    refunds = spark.sql("SELECT CAST(NULL AS BIGINT) AS member_no, DATE '2001-01-02' AS order_dt UNION ALL SELECT 7, DATE '2001-01-02'")
+    got = {r.order_no: (r.hits, r.refunds, r.is_refunded) for r in rfm.refund_flags(orders, refunds, "2001-02-01").collect()}
+    assert got == {1: (0, 0, False), 2: (1, 1, True)}
