@@ -5,7 +5,9 @@ Vectors of one label are dealt to cells around centres fitted on a bounded sampl
 the next VISITS.  In a cell, the residual of each vector from the centre is rotated at
 random and kept as sign bits with the length and the correction factor that make its
 inner products unbiased.  A pair whose upper confidence bound reaches the threshold
-is recomputed from the original components in double precision.
+is recomputed from the original components in double precision.  Rows of one label with
+the same vector form a class first, of which one stands for all and counts with its
+copies, so a large group of copies is never compared with itself.
 
 Defined cases: vectors that are null, zero or hold null or non-finite components, and
 rows with a null label or id, link with nothing and stand for themselves; vectors of
@@ -40,6 +42,17 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.where(F.col("label").isNotNull() & F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(finite & nonzero).distinct()
 
 
+def copy_classes(good: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The usable vectors, and their classes of copies (label, embedding, own, vec_id, weight) with the least id and the number of ids.
+
+    An id with several vectors is in no class with others (own is its id, else null).
+    """
+    several = good.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("vec_id", F.col("vec_id").alias("own"))
+    rows = cut(good.join(several, "vec_id", "left"), "vectors")
+    classes = rows.groupBy("label", "embedding", "own").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("weight"))
+    return rows, cut(classes, "classes")
+
+
 def unit(rows: list) -> np.ndarray:
     """Vectors divided by their length, scaled first so that no square overflows."""
     x = np.asarray(rows, np.float64)
@@ -72,7 +85,7 @@ def fit_centres(vectors: DataFrame) -> dict[tuple, np.ndarray]:
 
 
 def deal(vectors: DataFrame, centres: dict[tuple, np.ndarray]) -> DataFrame:
-    """vec_id, cell, home, cells, embedding: one row per vector and cell it is in; cells is text of label, length and number."""
+    """vec_id, weight, cell, home, cells, raw: one row per vector and cell it is in; cells is text of label, length and number."""
     shared = vectors.sparkSession.sparkContext.broadcast(centres)  # MOST_CELLS vectors and one per further label of the sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,11 +106,11 @@ def deal(vectors: DataFrame, centres: dict[tuple, np.ndarray]) -> DataFrame:
                     cells.append(names)
                     raw.append(np.asarray(rows[k], np.float64).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch["vec_id"].take(pa.array(ids, pa.int64())), pa.array(homes, pa.string()), pa.array(cells, pa.list_(pa.string())), pa.array(raw, pa.binary())],
-                ["vec_id", "home", "cells", "raw"],
+                [batch["vec_id"].take(pa.array(ids, pa.int64())), batch["weight"].take(pa.array(ids, pa.int64())), pa.array(homes, pa.string()), pa.array(cells, pa.list_(pa.string())), pa.array(raw, pa.binary())],
+                ["vec_id", "weight", "home", "cells", "raw"],
             )
 
-    dealt = vectors.mapInArrow(run, "vec_id bigint, home string, cells array<string>, raw binary")
+    dealt = vectors.select("vec_id", "weight", "label", "embedding").mapInArrow(run, "vec_id bigint, weight bigint, home string, cells array<string>, raw binary")
     return dealt.withColumn("cell", F.explode("cells"))
 
 
@@ -125,10 +138,10 @@ def likely_pairs(x: np.ndarray, centre: np.ndarray, a: np.ndarray, b: np.ndarray
 
 def near_duplicates(vectors: DataFrame, least: float = 0.93) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per input row."""
-    good = usable(vectors)
-    centres = fit_centres(good)
+    rows, classes = copy_classes(usable(vectors))
+    centres = fit_centres(classes)
     shared = vectors.sparkSession.sparkContext.broadcast(centres)
-    dealt = deal(good, centres)
+    dealt = deal(classes, centres)
     # As many rows as there are cells: MOST_CELLS and one per label and length the sample missed.
     sizes = dealt.groupBy("cell").agg(F.count(F.lit(1)).alias("size"))
     work = block_pairs(dealt.join(sizes, "cell"), F.col("size"), F.col("vec_id"), BLOCK)
@@ -136,7 +149,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93) -> DataFrame:
     def compare(group: pa.Table) -> pa.Table:
         cell, same = group["cell"][0].as_py(), group["i"][0].as_py() == group["j"][0].as_py()
         group = group.sort_by("vec_id")
-        ids, blk = group["vec_id"].to_numpy(), group["blk"].to_numpy()
+        ids, blk, weight = (group[c].to_numpy() for c in ("vec_id", "blk", "weight"))
         homes, cells = group["home"].to_pylist(), group["cells"].to_pylist()
         x = unit(np.frombuffer(b"".join(group["raw"].to_pylist()), np.float64).reshape(len(ids), -1))
         label, d, k = cell.rsplit("/", 2)
@@ -153,24 +166,35 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93) -> DataFrame:
         a, b = a[first], b[first]
         exact = np.einsum("pd,pd->p", x[a], x[b]) >= least
         a, b = a[exact], b[exact]
-        links = np.bincount(a, minlength=len(ids)) + np.bincount(b, minlength=len(ids))
+        links = np.bincount(a, weight[b], len(ids)) + np.bincount(b, weight[a], len(ids))
         found = np.flatnonzero(links)
         root = star(len(ids), a, b)
         return pa.table({"vec_id": ids[found], "links": links[found].astype(np.int64), "root": ids[root[found]]})
 
-    found = work.select("cell", "i", "j", "blk", "vec_id", "home", "cells", "raw").groupBy("cell", "i", "j").applyInArrow(compare, "vec_id bigint, links bigint, root bigint")
+    found = work.select("cell", "i", "j", "blk", "vec_id", "weight", "home", "cells", "raw").groupBy("cell", "i", "j").applyInArrow(compare, "vec_id bigint, links bigint, root bigint")
     found = cut(found, "links")
-    counts = found.groupBy("vec_id").agg(F.sum("links").alias("n_links"))
+    counts = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
     reach = components(found, "vec_id", "root").withColumnRenamed("id", "vec_id")
+    known = (
+        classes.join(counts, "vec_id", "left")
+        .join(reach, "vec_id", "left")
+        .select(
+            *(F.col(c).alias(f"_{c}") for c in ("label", "embedding", "own")),
+            (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+            F.coalesce("component", "vec_id").alias("component_id"),
+        )
+    )
+    same = (F.col("label") == F.col("_label")) & (F.col("embedding") == F.col("_embedding")) & F.col("own").eqNullSafe(F.col("_own"))
+    members = rows.join(known, same).select("vec_id", "n_links", "component_id").distinct()
+    component = F.coalesce("component_id", "vec_id")
     return (
         vectors.select("vec_id")
-        .join(counts, "vec_id", "left")
-        .join(reach, "vec_id", "left")
+        .join(members, "vec_id", "left")
         .select(
             "vec_id",
             F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
-            F.coalesce("component", "vec_id").alias("component_id"),
-            F.coalesce(F.coalesce("component", "vec_id") == F.col("vec_id"), F.lit(True)).alias("kept"),
+            component.alias("component_id"),
+            F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"),
         )
     )
 

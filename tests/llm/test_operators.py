@@ -288,6 +288,18 @@ def test_language_gradient_and_labels(spark, docs, nothing):
     assert language.identify(docs, language.learn(nothing, F.lit(True))).where("lang_pred != 'und'").count() == 0
 
 
+def test_embeddings_of_a_large_group_of_copies(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=8)
+    near = x + rng.normal(size=8) * 0.01
+    rows = [(k, x.tolist(), 1) for k in range(10, 4010)] + [(5, near.tolist(), 1), (6, (-x).tolist(), 1), (7, x.tolist(), 2), (8, x.tolist(), 3), (8, near.tolist(), 3)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = {tuple(r) for r in embedding.near_duplicates(frame).collect()}
+    assert got == {(k, 4000, 5, k == 5) for k in (5, *range(10, 4010))} | {(k, 0, k, True) for k in (6, 7, 8)}
+    _, classes = embedding.copy_classes(embedding.usable(frame))
+    assert classes.count() == 6
+
+
 def test_embeddings_against_brute_force(spark):
     rng = np.random.default_rng(8)
     centres = rng.normal(size=(12, 16))
