@@ -54,9 +54,10 @@ def pack_snapshot(scored: DataFrame, track: str) -> DataFrame:
 def upsert_history(history: DataFrame, scored: DataFrame, track: str) -> DataFrame:
     """History with the snapshot added.
 
-    Known users get their slow attributes overwritten and a record appended to both
-    arrays, new users are inserted, others stay.  A record of the same date is
-    replaced, so running a day again changes nothing.
+    Known users get a record put in date order into both arrays, and their slow
+    attributes overwritten unless a later date is there already; new users are
+    inserted, others stay.  A record of the same date is replaced, so running a day
+    again changes nothing.
     """
     slow = [n for n, _ in slow_columns(track)]
     snap = pack_snapshot(scored, track).select(
@@ -69,11 +70,15 @@ def upsert_history(history: DataFrame, scored: DataFrame, track: str) -> DataFra
         kept = F.filter(
             F.coalesce(F.col(array), empty), lambda r: ~r["snapshot_dt"].eqNullSafe(F.col(record)["snapshot_dt"])
         )
-        return F.when(seen, F.concat(kept, F.array(record))).otherwise(F.col(array)).alias(array)
+        dated = F.array_sort(F.concat(kept, F.array(record)), lambda a, b: F.coalesce(F.datediff(a["snapshot_dt"], b["snapshot_dt"]), F.lit(0)))
+        return F.when(seen, dated).otherwise(F.col(array)).alias(array)
+
+    last = F.array_max(F.transform("score_history", lambda r: r["snapshot_dt"]))
+    newest = seen & (last.isNull() | (F.col("score")["snapshot_dt"] >= last))
 
     return history.join(snap, "user_id", "full").select(
         "user_id",
-        *[F.when(seen, F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) for c in slow],
+        *[F.when(newest, F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) for c in slow],
         extended("score_history", "score", score_snapshot(track)),
         extended("category_history", "category", CATEGORY_SNAPSHOT),
     )

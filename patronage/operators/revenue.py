@@ -85,10 +85,8 @@ def net_orders(orders: DataFrame, refunds: DataFrame, floor: bool = True, sum_re
     )
 
 
-def net_purchases(
-    events: DataFrame, floor: bool = True, by_name: bool = False, share: float = labels.COMMISSION_SHARE
-) -> DataFrame:
-    """The purchase columns of net_orders(rollup of orders, rollup of refunds) in one scan.
+def _matched_refunds(events: DataFrame, by_name: bool, share: float) -> DataFrame:
+    """The rolled-up orders with `refunds`, the (day, revenue) of the cancels of the same user and transaction.
 
     Orders and refunds are rolled up together and meet inside their (user,
     transaction) group.  After the roll-up such a group holds at most one row per
@@ -104,19 +102,62 @@ def net_purchases(
     )
     named = [F.min("name").alias("name")] if by_name else []
     rolled = rolled.agg(*named, F.sum("revenue").alias("revenue"))
-    kept = ["event_dt", "event_category", "event_label", "revenue"] + (["name"] if by_name else [])
     # A null transaction matches nothing.
-    refund = F.when(~is_order & F.col("transaction_id").isNotNull(), F.col("revenue"))
+    refund = F.when(~is_order & F.col("transaction_id").isNotNull(), F.struct("event_dt", "revenue"))
     refunds = F.collect_list(refund).over(Window.partitionBy("user_id", "transaction_id"))
+    return rolled.withColumn("refunds", refunds).where(is_order)
+
+
+def net_purchases(
+    events: DataFrame, floor: bool = True, by_name: bool = False, share: float = labels.COMMISSION_SHARE
+) -> DataFrame:
+    """The purchase columns of net_orders(rollup of orders, rollup of refunds) in one scan."""
+    kept = ["event_dt", "event_category", "event_label", "revenue"] + (["name"] if by_name else [])
     return (
-        rolled.withColumn("refunds", refunds)
-        .where(is_order)
-        .select("user_id", *kept, F.explode_outer("refunds").alias("refund"))
+        _matched_refunds(events, by_name, share)
+        .select("user_id", *kept, F.explode_outer("refunds.revenue").alias("refund"))
         .withColumn("revenue", _net(F.col("revenue"), F.col("refund"), floor))
         .drop("refund")
     )
 
 
+def _changes(orders: DataFrame, floor: bool) -> DataFrame:
+    """(user_id, at, amount, is_order): how each order's net revenue builds up day by day.
+
+    An order counts in full on its day.  Its first refund row, effective on the later of
+    both days, puts the net amount in its place; each further one repeats the order net
+    of itself, as net_orders does.
+    """
+    day_of, own = F.col("event_dt"), F.coalesce(F.col("revenue"), F.lit(0.0)).cast("double")
+    back = F.array_sort(
+        F.transform(
+            F.coalesce(F.col("refunds"), F.array()),
+            lambda r: F.struct(F.greatest(r["event_dt"], day_of).alias("at"), F.coalesce(_net(own, r["revenue"], floor), F.lit(0.0)).alias("net")),
+        )
+    )
+    later = F.transform(
+        back, lambda r, i: F.struct(r["at"].alias("at"), (r["net"] - F.when(i == 0, own).otherwise(0.0)).alias("amount"), F.lit(False).alias("is_order"))
+    )
+    first = F.struct(day_of.alias("at"), own.alias("amount"), F.lit(True).alias("is_order"))
+    return orders.select("user_id", F.inline(F.concat(F.array(first), later)))
+
+
+def purchase_changes(
+    src: Sources, start: date | str, last: date | str, partner_start: date | str | None = None, floor: bool = True
+) -> DataFrame:
+    """Changes of net revenue by day: up to any day D they sum to `affiliate_purchases` as of D."""
+    since = partner_start or start
+    direct = _matched_refunds(order_window(src.affiliate_events, start, last), False, labels.COMMISSION_SHARE)
+    cancels = (
+        partner_cancel_daily(src.partner_cancels, since, last)
+        .groupBy("user_id", F.col("order_date").alias("event_dt"))
+        .agg(F.collect_list(F.struct("event_dt", "revenue")).alias("refunds"))  # one a cancel day
+    )
+    partner = partner_daily(src.partner_orders, since, last).join(cancels, ["user_id", "event_dt"], "left")
+    cols = ["user_id", "event_dt", "revenue", "refunds"]
+    return _changes(direct.select(*cols), floor).unionByName(_changes(partner.select(*cols), floor))
+
+
 def partner_daily(orders: DataFrame, start: date | str, as_of: date | str) -> DataFrame:
     """Commission per (day, user) with the least product name of the day."""
     return (

@@ -164,35 +164,39 @@ def vip_movement(past: DataFrame, current: DataFrame) -> DataFrame:
 # --- dated series ----------------------------------------------------------------
 
 
-def rfm_series(user_days: DataFrame, first: date | str, last: date | str) -> DataFrame:
-    """RFM of every user on every date from `first` to `last` in one plan.
+def rfm_series(changes: DataFrame, first: date | str, last: date | str) -> DataFrame:
+    """RFM of every user on every date from `first` to `last` in one plan, each as if run on that date.
 
-    user_days(user_id, event_dt, revenue) has one row per user and day.  Running
-    totals are taken along each user's days, and each total is spread over the dates
-    until the next purchase: the work grows with the result, not with the dates
-    times the purchases.
+    changes(user_id, at, amount, is_order) are those of `purchase_changes`: a refund
+    counts from its own day on, never before.  Running totals are taken along each
+    user's days, and each total is spread over the dates until the next change: the work
+    grows with the result, not with the dates times the purchases.
     """
     upto = day(last)
-    along = Window.partitionBy("user_id").orderBy("event_dt")
+    along = Window.partitionBy("user_id").orderBy("at")
     so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    states = user_days.where(F.col("event_dt") <= upto).select(
+    days = changes.where(F.col("at") <= upto).groupBy("user_id", "at").agg(
+        F.sum("amount").alias("amount"), F.max("is_order").cast("int").alias("bought")
+    )
+    states = days.select(
         "user_id",
-        "event_dt",
-        F.row_number().over(along).alias("frequency"),
-        F.sum("revenue").over(so_far).alias("monetary"),
-        F.lead("event_dt").over(along).alias("next_dt"),
+        "at",
+        F.sum("bought").over(so_far).alias("frequency"),
+        # Amounts taken back leave no rest of a rounding.
+        F.round(F.sum("amount").over(so_far), 6).alias("monetary"),
+        F.max(F.when(F.col("bought") == 1, F.col("at"))).over(so_far).alias("last_dt"),
+        F.lead("at").over(along).alias("next_at"),
     )
-    begin = F.greatest(F.col("event_dt"), day(first))
-    end = F.coalesce(F.date_sub("next_dt", 1), upto)
+    begin = F.greatest(F.col("at"), day(first))
+    end = F.coalesce(F.date_sub("next_at", 1), upto)
     return (
-        states.where(begin <= end)
+        states.where((begin <= end) & (F.col("monetary") > 0))
         .withColumn("snapshot_dt", F.explode(F.sequence(begin, end)))
         .select(
             "user_id",
             "snapshot_dt",
-            F.datediff("snapshot_dt", "event_dt").alias("recency"),
+            F.datediff("snapshot_dt", "last_dt").alias("recency"),
             "frequency",
             "monetary",
         )
-        .where(F.col("monetary") > 0)
     )

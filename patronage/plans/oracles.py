@@ -942,10 +942,16 @@ for _name, _have, _lack in (("vip_new", "current", "past"), ("vip_churned", "pas
         f"""SELECT * EXCLUDE (period) REPLACE (round(monetary, 4) AS monetary) FROM vips
 WHERE period = '{_have}' AND user_id NOT IN (SELECT user_id FROM vips WHERE period = '{_lack}')""",
     )
+# The rule of a single date, applied to each date by itself.
+_DATES = [f"2001-07-{d}" for d in range(26, 32)] + ["2001-08-01"]
+for _i, _dt in enumerate(_DATES):
+    affiliate_ctes(f"s{_i}", START, _dt, START, True)
+    activity_cte(f"s{_i}", f"s{_i}_all", _dt)
 oracle(
     "snapshot_series",
-    """SELECT c.user_id, CAST(d.dt AS VARCHAR) AS snapshot_dt, date_diff('day', max(c.event_dt), d.dt) AS recency, count(DISTINCT c.event_dt) AS frequency,
-  round(sum(coalesce(c.revenue, 0)), 4) AS monetary
-FROM c_fl_all c JOIN (SELECT CAST(range AS DATE) AS dt FROM range(DATE '2001-07-26', DATE '2001-08-02', INTERVAL 1 DAY)) d ON c.event_dt <= d.dt
-GROUP BY c.user_id, d.dt HAVING sum(coalesce(c.revenue, 0)) > 0""",
+    " UNION ALL ".join(
+        f"""SELECT user_id, CAST(snapshot_dt AS VARCHAR) AS snapshot_dt, recency, frequency, round(monetary, 4) AS monetary
+FROM s{i}_activity WHERE round(monetary, 6) > 0"""
+        for i in range(len(_DATES))
+    ),
 )

@@ -823,5 +823,7 @@ def vip_churned(spark, d):
 @query
 def snapshot_series(spark, d):
     first, last = SERIES
-    days = rfm.user_days(revenue.affiliate_purchases(_src(spark, d), ORDERS_START, last))
-    return present(segments.rfm_series(days, first, last), places=4)
+    src = _src(spark, d)
+    members = src.app_members.select("user_id")
+    changes = revenue.purchase_changes(src, ORDERS_START, last)
+    return present(segments.rfm_series(changes.join(members, "user_id", "left_semi"), first, last), places=4)

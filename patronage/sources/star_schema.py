@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from patronage.functions import labels
 
@@ -124,34 +124,36 @@ class StarSchema:
 
     @cached_property
     def mall_orders(self) -> DataFrame:
-        # Only the first line is ever read, so the array holds that line.
-        first = (
+        lines = (
             self.table("lineitem")
             .groupBy("l_orderkey")
             .agg(
-                F.min(
-                    F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_discount", "l_returnflag", "l_linestatus")
-                ).alias("line")
+                F.array_sort(
+                    F.collect_list(
+                        F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_discount", "l_returnflag", "l_linestatus")
+                    )
+                ).alias("lines")
             )
         )
-        status = (
-            F.when(F.col("o_orderstatus") == "F", "BUY_CONFIRM")
-            .when(F.col("o_orderstatus") == "O", "DELIVERY_ING")
-            .when(F.col("line.l_returnflag") == "R", "RETURN_DONE")
-            .when(F.col("line.l_returnflag") == "A", "CANCEL DONE")
-            .otherwise("PAY_WAIT")
-        )
-        option = F.struct(
-            (F.col("line.l_discount") * 100).alias("commission_rate"), status.alias("order_status_type")
-        )
-        joined = self.table("orders").join(first, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+
+        def option(line: Column) -> Column:
+            status = (
+                F.when(F.col("o_orderstatus") == "F", "BUY_CONFIRM")
+                .when(F.col("o_orderstatus") == "O", "DELIVERY_ING")
+                .when(line["l_returnflag"] == "R", "RETURN_DONE")
+                .when(line["l_returnflag"] == "A", "CANCEL DONE")
+                .otherwise("PAY_WAIT")
+            )
+            return F.struct((line["l_discount"] * 100).alias("commission_rate"), status.alias("order_status_type"))
+
+        joined = self.table("orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         return joined.select(
             F.to_date("o_orderdate").alias("order_dt"),
             F.col("o_orderkey").alias("order_no"),
             F.col("o_custkey").alias("member_no"),
-            F.col("line.l_partkey").alias("category_no"),
+            F.try_element_at("lines", F.lit(1))["l_partkey"].alias("category_no"),
             F.col("o_totalprice").alias("first_pay_amt"),
-            F.filter(F.array(F.when(F.col("line").isNotNull(), option)), lambda x: x.isNotNull()).alias("product_option"),
+            F.transform(F.coalesce("lines", F.array()), option).alias("product_option"),
         )
 
     @cached_property

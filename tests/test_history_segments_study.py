@@ -46,11 +46,11 @@ def test_stored_history_and_dated_form_agree(spark, tmp_path):
     two = scored(spark, [("a", 3.0, "VIP", "p2")], "2025-01-02")
     path, dated = str(tmp_path / "h"), str(tmp_path / "d")
     readers.ensure_history(spark, path, "affiliate")
-    for snap, on in ((one, "2025-01-01"), (two, "2025-01-02"), (two, "2025-01-02")):
+    for snap, on in ((one, "2025-01-01"), (two, "2025-01-02"), (two, "2025-01-02"), (one, "2025-01-01")):
         readers.ensure_history(spark, path, "affiliate")
         readers.write_history(history.upsert_history(readers.read_history(spark, path, "affiliate"), snap, "affiliate"), path)
         history.append_snapshot(snap, dated, "affiliate", on)
-    assert readers.history_versions(spark, path) == [0, 1, 2, 3]
+    assert readers.history_versions(spark, path) == [0, 1, 2, 3, 4]
     arrays = readers.read_history(spark, path, "affiliate")
     assembled = history.assemble_history(history.read_snapshots(spark, dated), "affiliate")
     assert sorted(map(repr, arrays.collect())) == sorted(map(repr, assembled.select(*arrays.columns).collect()))

@@ -24,6 +24,35 @@ def test_matches_oracle(spark, sf, name):
     assert difference(queries()[name](spark, sf), connect(sf), oracle_sql()[name]) is None
 
 
+def test_series_equals_the_run_of_each_date(spark, sf):
+    """No date knows of refunds that come after it."""
+    from pyspark.sql import functions as F
+
+    from patronage.operators import revenue, rfm, segments
+    from patronage.sources.star_schema import StarSchema
+
+    src, columns = StarSchema(spark, sf), ["user_id", "recency", "frequency", F.round("monetary", 4).alias("monetary")]
+    first, last = "2001-07-26", "2001-08-01"
+    series = segments.rfm_series(revenue.purchase_changes(src, "1995-01-01", last), first, last)
+    rows = {tuple(r) for r in series.select(F.col("snapshot_dt").cast("string"), *columns).collect()}
+    for k in range(7):
+        at = f"2001-07-{26 + k}" if k < 6 else last
+        want = {(at, *r) for r in rfm.rfm_affiliate(src, "1995-01-01", at).select(*columns).collect()}
+        assert {r for r in rows if r[0] == at} == want and want
+        rows -= want
+    assert not rows
+
+
+def test_mall_orders_hold_all_their_lines(spark, sf):
+    from pyspark.sql import functions as F
+
+    from patronage.sources.star_schema import StarSchema
+
+    orders = StarSchema(spark, sf).mall_orders.select(F.size("product_option").alias("n"))
+    n_lines = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    assert orders.agg(F.sum("n"), F.max("n") > 1).first() == (n_lines, True)
+
+
 def test_series_into_dated_history(spark, sf, tmp_path):
     """The day loop over two dates: dated records equal the scored snapshots."""
     from datetime import date
