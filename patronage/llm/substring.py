@@ -288,15 +288,17 @@ def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     cold = _runs_by_anchor(_candidates(named, marks, False))
     runs = cut(cold.unionByName(_runs_by_window(_candidates(named, marks, True))), "runs")
     ranges = _decided(_passages(named, runs))
-    cuts = ranges.groupBy("doc_id").agg(F.collect_list(F.struct("version", "a", "b")).alias("_cuts"))
-    judged = rows.where("doc_id IS NOT NULL").join(cuts.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left").drop("_id")
+    taken = {c.lower() for c in rows.columns}
+    ident, cuts_name, version = (next(n for k in range(len(taken) + 1) if (n := f"_{x}{'_' * k}") not in taken) for x in ("id", "cuts", "version"))
+    cuts = ranges.groupBy(F.col("doc_id").alias(ident)).agg(F.collect_list(F.struct("version", "a", "b")).alias(cuts_name))
+    judged = rows.where("doc_id IS NOT NULL").join(cuts, F.col("doc_id") == F.col(ident), "left").drop(ident)
     whole = judged.unionByName(rows.where("doc_id IS NULL"), allowMissingColumns=True)
-    return _apply(whole.withColumn("_version", F.xxhash64("text")))
+    return _apply(whole.withColumn(version, F.xxhash64("text")), cuts_name, version)
 
 
-def _apply(rows: DataFrame) -> DataFrame:
-    schema = rows.drop("_cuts", "_version").withColumns({"n_words": F.lit(0).cast("bigint"), "n_removed": F.lit(0).cast("bigint")}).schema
-    names = [c for c in rows.columns if c not in ("_cuts", "_version")]
+def _apply(rows: DataFrame, cuts: str, version_name: str) -> DataFrame:
+    schema = rows.drop(cuts, version_name).withColumns({"n_words": F.lit(0).cast("bigint"), "n_removed": F.lit(0).cast("bigint")}).schema
+    names = [c for c in rows.columns if c not in (cuts, version_name)]
     text_name = next(c for c in names if c.lower() == "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,8 +306,8 @@ def _apply(rows: DataFrame) -> DataFrame:
             for lo, to, data, starts in slices(whole[text_name]):
                 batch = whole.slice(lo, to - lo)
                 words = words_of(data, starts)
-                row, (version, a, b) = _lists(batch, "_cuts", ("version", "a", "b"))
-                own = version == batch["_version"].to_numpy()[row]
+                row, (version, a, b) = _lists(batch, cuts, ("version", "a", "b"))
+                own = version == batch[version_name].to_numpy()[row]
                 row, a, b = row[own], a[own], b[own]
                 gone = np.zeros(len(words.hashes) + 1, np.int32)
                 np.add.at(gone, words.first[row] + a, 1)

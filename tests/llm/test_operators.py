@@ -70,7 +70,9 @@ def test_automaton_finds_first_places():
 
 @pytest.mark.parametrize("hot", [substring.HOT, 3])
 def test_substring_dedup_against_brute_force(docs, corpus, nothing, hot):
-    got = {r["doc_id"]: r for r in substring.remove_repeats(docs.select("doc_id", "text"), hot).collect()}
+    clashing = docs.select("doc_id", "text", *(F.lit(7).alias(c) for c in ("_id", "_cuts", "_VERSION", "version", "anchor", "N_words")))
+    got = {r["doc_id"]: r for r in substring.remove_repeats(clashing, hot).collect()}
+    assert all((r["_id"], r["_cuts"], r["_VERSION"]) == (7, 7, 7) for r in got.values())
     seen, rows = {}, {r[0]: r[1] for r in corpus if r[0] is not None}
     for doc in sorted(rows):
         words = split(rows[doc])
