@@ -74,6 +74,21 @@ STUDY_START_WEIGHTS = (0.1, 0.35, 0.35, 0.01, 0.05, 0.05)
 STUDY_MIN_WEIGHTS = (0.0, 0.20, 0.35, 0.0, 0.0, 0.0)
 STUDY_IMPORTANCE = (0.2, 0.3, 0.2, 0.15, 0.1, 0.05)
 
+# Adjusted lifetime value, a pair (repurchasers, single buyers) where both differ: weight of
+# the cycle, its least length, share of the money that counts as quality, frequency factor
+# (exponent, constant), money per cycle, gain of the logarithm of the frequency in the
+# survival and in the whole, whole of single buyers; percentiles that scale and cap.
+LTV_CYCLE_WEIGHT = (1.0, 0.3)
+LTV_LEAST_CYCLE = 0.1
+LTV_SINGLE_QUALITY = 0.7
+LTV_FREQUENCY = (1.5, 0.5)
+LTV_PER_CYCLE = (1.3, 0.7)
+LTV_SURVIVAL_GAIN = 0.2
+LTV_GAIN = 0.3
+LTV_SINGLE = 0.6
+LTV_SCALE_PERCENTILES = (0.5, 0.95)
+LTV_CAP_PERCENTILES = (0.97, 0.95)
+
 # Balance bands (exclusive lower bound, inclusive upper bound, label).
 CASH_BANDS = (
     (0, 1000, "1 ~  1,000"),

@@ -60,13 +60,14 @@ def _power(depth1: DataFrame, depth2: DataFrame, user: str, as_of: date | str) -
 # --- affiliate -------------------------------------------------------------
 
 
-def affiliate_category_days(src: Sources, start: date | str, as_of: date | str) -> DataFrame:
+def affiliate_category_days(src: Sources, start: date | str, as_of: date | str, names: DataFrame | None = None) -> DataFrame:
     """Distinct (user, day, category1, category2) of affiliate purchases with a category.
 
     Only purchase days matter further on, so names are deduplicated on both sides
-    before they meet.
+    before they meet.  `names` are the (user_id, event_dt, name) of the window where they
+    are stored already.
     """
-    bought = purchase_names(src, start, as_of).distinct()
+    bought = (purchase_names(src, start, as_of) if names is None else names.select("user_id", "event_dt", "name")).distinct()
     keywords = src.product_keywords.where(has_label(F.col("category1"))).select("name", "category1", "category2").distinct()
     return bought.join(keywords, "name").select(
         "user_id",
@@ -92,8 +93,8 @@ def affiliate_depth2(days: DataFrame) -> DataFrame:
     return stats.select("user_id", label.alias("label"), "latest_dt", "order_count")
 
 
-def category_power_affiliate(src: Sources, start: date | str, as_of: date | str) -> DataFrame:
-    days = affiliate_category_days(src, start, as_of)
+def category_power_affiliate(src: Sources, start: date | str, as_of: date | str, names: DataFrame | None = None) -> DataFrame:
+    days = affiliate_category_days(src, start, as_of, names)
     return _power(affiliate_depth1(days), affiliate_depth2(days), "user_id", as_of)
 
 

@@ -12,6 +12,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from patronage.functions.scalars import day
+from patronage.sources.readers import folders, history_versions, write_version
 from patronage.sources.schemas import CATEGORY_SNAPSHOT, score_snapshot, slow_columns
 
 _SUFFIX = {"affiliate": "byshop", "mall": "shop"}
@@ -94,14 +95,20 @@ def history_at(history: DataFrame, on: date | str, array: str = "score_history")
 
 
 def append_snapshot(scored: DataFrame, path: str, track: str, snapshot_dt: date | str) -> None:
-    """Write the records of one date; that date's partition is replaced, no other is read."""
+    """Write the records of one date; that date's partition is replaced, no other is read.
+
+    The partition gets a new version, and the one before stays for those who read it.
+    """
     packed = pack_snapshot(scored, track).where(F.col("score.snapshot_dt") == day(snapshot_dt))
-    packed.write.mode("overwrite").parquet(f"{path}/snapshot_dt={snapshot_dt}")
+    write_version(packed, f"{path}/snapshot_dt={snapshot_dt}", keep=2)
 
 
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """All dated records; a filter on snapshot_dt prunes to its partition."""
-    return spark.read.option("basePath", path).parquet(path)
+    """All dated records, each date's last complete version; a filter on snapshot_dt prunes to its partition."""
+    latest = []
+    for on in folders(spark, path, "snapshot_dt"):
+        latest += [f"{path}/snapshot_dt={on}/version={v}" for v in history_versions(spark, f"{path}/snapshot_dt={on}")[-1:]]
+    return spark.read.option("basePath", path).parquet(*latest).drop("version")
 
 
 def assemble_history(snapshots: DataFrame, track: str) -> DataFrame:

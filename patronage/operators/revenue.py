@@ -28,12 +28,13 @@ _GRAIN = [
 ]
 
 
-def _per_second(events: DataFrame, share: float, by_name: bool) -> DataFrame:
-    """The share rounded per event second; cancels count negative."""
+def _per_second(events: DataFrame, share: float, by_name: bool, with_name: bool = False) -> DataFrame:
+    """The share rounded per event second (and name, if by_name); cancels count negative."""
     sign = F.when(F.col("event_category") == labels.ORDER_CANCEL, -1).otherwise(1)
+    named = [F.min("name").alias("name")] if with_name else []
     return (
         events.groupBy(*_GRAIN, *(["name"] if by_name else []))
-        .agg((F.round(F.sum("price") * share)).alias("revenue"))
+        .agg((F.round(F.sum("price") * share)).alias("revenue"), *named)
         .withColumns({"revenue": F.col("revenue") * sign, "event_label": entry_label(F.col("event_action"))})
     )
 
@@ -85,7 +86,7 @@ def net_orders(orders: DataFrame, refunds: DataFrame, floor: bool = True, sum_re
     )
 
 
-def _matched_refunds(events: DataFrame, by_name: bool, share: float) -> DataFrame:
+def _matched_refunds(events: DataFrame, by_name: bool, share: float, with_name: bool = False) -> DataFrame:
     """The rolled-up orders with `refunds`, the (day, revenue) of the cancels of the same user and transaction.
 
     Orders and refunds are rolled up together and meet inside their (user,
@@ -97,10 +98,10 @@ def _matched_refunds(events: DataFrame, by_name: bool, share: float) -> DataFram
     if by_name:
         # Refunds are rounded without regard to the name.
         both = both.withColumn("name", F.when(is_order, F.col("name")))
-    rolled = _per_second(both, share, by_name).groupBy(
+    rolled = _per_second(both, share, by_name, with_name).groupBy(
         "event_dt", "user_id", "transaction_id", "event_label", "event_action", "event_category"
     )
-    named = [F.min("name").alias("name")] if by_name else []
+    named = [F.min("name").alias("name")] if by_name or with_name else []
     rolled = rolled.agg(*named, F.sum("revenue").alias("revenue"))
     # A null transaction matches nothing.
     refund = F.when(~is_order & F.col("transaction_id").isNotNull(), F.struct("event_dt", "revenue"))
@@ -109,12 +110,15 @@ def _matched_refunds(events: DataFrame, by_name: bool, share: float) -> DataFram
 
 
 def net_purchases(
-    events: DataFrame, floor: bool = True, by_name: bool = False, share: float = labels.COMMISSION_SHARE
+    events: DataFrame, floor: bool = True, by_name: bool = False, share: float = labels.COMMISSION_SHARE, with_name: bool = False
 ) -> DataFrame:
-    """The purchase columns of net_orders(rollup of orders, rollup of refunds) in one scan."""
-    kept = ["event_dt", "event_category", "event_label", "revenue"] + (["name"] if by_name else [])
+    """The purchase columns of net_orders(rollup of orders, rollup of refunds) in one scan.
+
+    `by_name` rounds per name as well; `with_name` only carries the least name along.
+    """
+    kept = ["event_dt", "event_category", "event_label", "revenue"] + (["name"] if by_name or with_name else [])
     return (
-        _matched_refunds(events, by_name, share)
+        _matched_refunds(events, by_name, share, with_name)
         .select("user_id", *kept, F.explode_outer("refunds.revenue").alias("refund"))
         .withColumn("revenue", _net(F.col("revenue"), F.col("refund"), floor))
         .drop("refund")
@@ -215,6 +219,17 @@ def affiliate_purchases(
     return direct.select(*cols).unionByName(partner.select(*cols))
 
 
+def purchase_facts(src: Sources, start: date | str, as_of: date | str) -> DataFrame:
+    """(user_id, event_dt, revenue, name, is_partner): what RFM, categories and cycles read of the affiliate purchases.
+
+    The revenue is that of `affiliate_purchases`, the name that of `purchase_names`.
+    """
+    direct = net_purchases(order_window(src.affiliate_events, start, as_of), with_name=True)
+    partner = net_partner(partner_daily(src.partner_orders, start, as_of), partner_cancel_daily(src.partner_cancels, start, as_of))
+    cols = ["user_id", "event_dt", "revenue", "name"]
+    return direct.select(*cols, F.lit(False).alias("is_partner")).unionByName(partner.select(*cols, F.lit(True).alias("is_partner")))
+
+
 def purchase_names(
     src: Sources, start: date | str, as_of: date | str, partner_start: date | str | None = None
 ) -> DataFrame:

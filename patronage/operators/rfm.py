@@ -56,9 +56,10 @@ def member_activity(members: DataFrame, purchases: DataFrame, as_of: date | str)
     )
 
 
-def rfm_affiliate(src: Sources, start: date | str, as_of: date | str) -> DataFrame:
-    """Affiliate RFM of the members with revenue."""
-    purchases = affiliate_purchases(src, start, as_of)
+def rfm_affiliate(src: Sources, start: date | str, as_of: date | str, purchases: DataFrame | None = None) -> DataFrame:
+    """Affiliate RFM of the members with revenue; `purchases` are those of the window where they are stored already."""
+    if purchases is None:
+        purchases = affiliate_purchases(src, start, as_of)
     return member_activity(src.app_members, purchases, as_of).where(F.col("monetary") > 0)
 
 

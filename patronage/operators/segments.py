@@ -164,8 +164,8 @@ def vip_movement(past: DataFrame, current: DataFrame) -> DataFrame:
 # --- dated series ----------------------------------------------------------------
 
 
-def rfm_series(changes: DataFrame, first: date | str, last: date | str) -> DataFrame:
-    """RFM of every user on every date from `first` to `last` in one plan, each as if run on that date.
+def rfm_series(changes: DataFrame, first: date | str, last: date | str, every: bool = True) -> DataFrame:
+    """RFM of every user on every date from `first` to `last` (or only on these two) in one plan, each as if run on that date.
 
     changes(user_id, at, amount, is_order) are those of `purchase_changes`: a refund
     counts from its own day on, never before.  Running totals are taken along each
@@ -189,9 +189,10 @@ def rfm_series(changes: DataFrame, first: date | str, last: date | str) -> DataF
     )
     begin = F.greatest(F.col("at"), day(first))
     end = F.coalesce(F.date_sub("next_at", 1), upto)
+    dates = F.sequence(begin, end) if every else F.filter(F.array_distinct(F.array(day(first), upto)), lambda d: d.between(begin, end))
     return (
         states.where((begin <= end) & (F.col("monetary") > 0))
-        .withColumn("snapshot_dt", F.explode(F.sequence(begin, end)))
+        .withColumn("snapshot_dt", F.explode(dates))
         .select(
             "user_id",
             "snapshot_dt",

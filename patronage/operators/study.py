@@ -20,6 +20,7 @@ _MEDIAN_FILLED = ["current_trailing_term", "m_data", "predicted_survival_time"]
 _UNITS = 320
 _STEPS = (16, 4, 1)
 _HASH_PRIME = 2_147_483_647
+DRAW_GROUPS = 1024
 
 
 def preprocess_fill(records: DataFrame, id_col: str = "user_id") -> DataFrame:
@@ -58,20 +59,25 @@ def adjusted_ltv(records: DataFrame, by: str | None = None, id_col: str = "user_
     def nonzero(stand_in: float) -> Column:
         return F.when(term == 0, stand_in).otherwise(term)
 
-    quality = F.when(again, safe_divide(m, f) * F.log1p(f)).otherwise(m * 0.7)
+    quality = F.when(again, safe_divide(m, f) * F.log1p(f)).otherwise(m * labels.LTV_SINGLE_QUALITY)
     rows = records.withColumn("_quality", quality)
-    scale = percentiles(rows, {"_q": F.col("_quality")}, [0.5, 0.95], id_col, by)
+    scale = percentiles(rows, {"_q": F.col("_quality")}, list(labels.LTV_SCALE_PERCENTILES), id_col, by)
     rows = rows.join(scale, by) if by else rows.crossJoin(F.broadcast(scale))
     median, p95 = F.col("_q")[0], F.col("_q")[1]
     norm = F.least(F.greatest(safe_divide(F.col("_quality"), median), F.lit(0.0)), safe_divide(p95, median))
-    cycle_weight = F.when(again, 1.0).otherwise(0.3) / F.sqrt(nonzero(0.1))
-    frequency_factor = F.when(again, F.pow(f, F.lit(1.5))).otherwise(0.5)
-    per_cycle = safe_divide(m, nonzero(1.0)) * F.when(again, 1.3).otherwise(0.7)
-    survival = F.col("predicted_survival_time") * cycle_weight * F.when(again, 1 + F.log1p(f) * 0.2).otherwise(1.0)
-    multiplier = F.when(again, 1 + F.log1p(f) * 0.3).otherwise(0.6)
+
+    def either(repeated, single) -> Column:
+        return F.when(again, repeated).otherwise(single)
+
+    cycle_weight = either(*labels.LTV_CYCLE_WEIGHT) / F.sqrt(nonzero(labels.LTV_LEAST_CYCLE))
+    exponent, constant = labels.LTV_FREQUENCY
+    frequency_factor = either(F.pow(f, F.lit(exponent)), constant)
+    per_cycle = safe_divide(m, nonzero(1.0)) * either(*labels.LTV_PER_CYCLE)
+    survival = F.col("predicted_survival_time") * cycle_weight * either(1 + F.log1p(f) * labels.LTV_SURVIVAL_GAIN, 1.0)
+    multiplier = either(1 + F.log1p(f) * labels.LTV_GAIN, labels.LTV_SINGLE)
     raw = per_cycle * survival * (1 + frequency_factor) * norm * multiplier
     rows = rows.withColumn("_ltv", raw).drop("_quality", "_q")
-    caps = percentiles(rows, {"_cap": F.col("_ltv")}, [0.97, 0.95], id_col, by)
+    caps = percentiles(rows, {"_cap": F.col("_ltv")}, list(labels.LTV_CAP_PERCENTILES), id_col, by)
     rows = rows.join(caps, by) if by else rows.crossJoin(F.broadcast(caps))
     cap = F.when(again, F.col("_cap")[0]).otherwise(F.col("_cap")[1])
     return rows.withColumn("adjusted_ltv", F.least(F.greatest(F.col("_ltv"), F.lit(0.0)), cap)).drop("_ltv", "_cap")
@@ -191,29 +197,42 @@ def bootstrap_corr(
 ) -> DataFrame:
     """95 % interval of both correlations over random subsets, and the mean gain; one row.
 
-    Every row takes part in a replicate with probability `keep`, decided by
-    (a + b x replicate) mod p with a and b from a hash of the id: pairwise
-    independent over the replicates and the same on every run and retry.  Each task
-    adds its rows up per replicate, so only replicates x tasks rows are shuffled.
+    A hash of the id deals the rows into DRAW_GROUPS groups, whose sums are taken in one
+    pass; a group takes part in a replicate with probability `keep`, decided by
+    (a + b x replicate) mod p with a and b from a hash of the group: pairwise
+    independent over the replicates and the same on every run and retry.  The draws cost
+    groups x replicates rows, whatever the number of rows.
     """
-    digest = F.md5(F.col(id_col))
 
-    def part(at: int) -> Column:
-        return F.conv(F.substring(digest, at, 8), 16, 10).cast("bigint") % _HASH_PRIME
+    def part(text: Column, at: int) -> Column:
+        return F.conv(F.substring(F.md5(text), at, 8), 16, 10).cast("bigint") % _HASH_PRIME
 
-    narrow = valued.crossJoin(F.broadcast(found)).select(
-        part(1).alias("a"),
-        part(9).alias("b"),
-        F.col("adjusted_ltv").alias("ltv"),
-        weighted_score(start).alias("original"),
-        weighted_score([F.col(f"w{i}") for i in range(len(SCORES))]).alias("optimized"),
-    )
-    drawn = narrow.withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(replicates)))).where(
-        (F.col("a") + F.col("b") * F.col("rep")) % _HASH_PRIME < int(keep * _HASH_PRIME)
+    pairs = {"original": weighted_score(start), "optimized": weighted_score([F.col(f"w{i}") for i in range(len(SCORES))])}
+    scored = valued.crossJoin(F.broadcast(found)).select(
+        (part(F.col(id_col), 1) % DRAW_GROUPS).alias("g"), F.col("adjusted_ltv").alias("y"), *[c.alias(k) for k, c in pairs.items()]
     )
-    per_rep = drawn.groupBy("rep").agg(
-        F.corr("original", "ltv").alias("original"), F.corr("optimized", "ltv").alias("optimized")
+    mean = scored.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(f"mean_{c}") for c in ("y", *pairs)])
+    # Sums of squares are taken around the means of all rows, so that large values leave digits to them.
+    centred = scored.crossJoin(F.broadcast(mean)).select("g", *[(F.col(c) - F.col(f"mean_{c}")).alias(c) for c in ("y", *pairs)])
+    complete = F.col("y").isNotNull()
+    sums = {}
+    for k in pairs:
+        known = complete & F.col(k).isNotNull()
+        x, y = F.col(k), F.col("y")
+        for name, value in {"n": F.lit(1.0), "x": x, "y": y, "xx": x * x, "yy": y * y, "xy": x * y}.items():
+            sums[f"{k}_{name}"] = F.sum(F.when(known, value))
+    groups = centred.groupBy("g").agg(*[c.alias(k) for k, c in sums.items()])
+    text, rep = F.col("g").cast("string"), F.col("rep")
+    drawn = groups.withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(replicates)))).where(
+        (part(text, 1) + part(text, 9) * rep) % _HASH_PRIME < int(keep * _HASH_PRIME)
     )
+    totals = drawn.groupBy("rep").agg(*[F.sum(k).alias(k) for k in sums])
+
+    def corr(k: str) -> Column:
+        n, x, y, xx, yy, xy = (F.col(f"{k}_{s}") for s in ("n", "x", "y", "xx", "yy", "xy"))
+        return safe_divide(xy - x * y / n, F.sqrt((xx - x * x / n) * (yy - y * y / n)))
+
+    per_rep = totals.select("rep", *[corr(k).alias(k) for k in pairs])
     ends = [0.025, 0.975]
     return per_rep.agg(
         F.percentile("original", ends).alias("o"),

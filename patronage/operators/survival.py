@@ -36,10 +36,13 @@ LEAST_STEP = 0.0001
 
 
 def affiliate_days(
-    src: Sources, start: date | str, as_of: date | str, partner_start: date | str | None = None
+    src: Sources, start: date | str, as_of: date | str, partner_start: date | str | None = None, names: DataFrame | None = None
 ) -> DataFrame:
-    """Distinct (user_id, order_dt) of the affiliate purchases; refunds do not matter here."""
-    bought = purchase_names(src, start, as_of, partner_start)
+    """Distinct (user_id, order_dt) of the affiliate purchases; refunds do not matter here.
+
+    `names` are the purchases of the window where they are stored already.
+    """
+    bought = purchase_names(src, start, as_of, partner_start) if names is None else names
     return bought.select("user_id", F.col("event_dt").alias("order_dt")).distinct()
 
 
@@ -388,8 +391,8 @@ def new_buyers(buyers: DataFrame, pop: DataFrame, curve: DataFrame, as_of: date
 class SurvivalAnalysis:
     """The steps of one channel over its purchase days, each a DataFrame.
 
-    The per-user base, the population row and the curve are read by several later
-    steps and therefore cut.
+    The per-user base, the population row, the rates and the curve are read by several
+    later steps and therefore cut.
     """
 
     def __init__(self, days: DataFrame, as_of: date | str, grouped: bool = False, latest: bool = False):
@@ -410,7 +413,8 @@ class SurvivalAnalysis:
 
     @cached_property
     def rates(self) -> DataFrame:
-        return churn_rate(self.flagged, ["age_group", "gender"] if self.by else None)
+        # Stored, so that its true size is known and no user row is shuffled to meet it.
+        return cut(churn_rate(self.flagged, ["age_group", "gender"] if self.by else None))
 
     @cached_property
     def buckets(self) -> DataFrame:

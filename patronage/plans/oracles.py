@@ -507,6 +507,14 @@ SELECT tgt, user_id, gender, strftime(join_dt, '%y-%m') AS join_group, {age("bir
   {", ".join(f"{k}_{cat} AS {k}" for k in RANKING_COLUMNS)}, DATE '{as_of}' AS snapshot_dt, cut1, cut2, cut3,
   {above("total_score", [(f"cut{3 - i}", g) for i, (_, g) in enumerate(labels.GRADE_PERCENTILES)])} AS grade
 FROM {p}_total_{track}, {p}_cuts_{track}"""
+    CTES[f"{p}_arecords"] = f"""
+SELECT user_id, gender, age_group, join_group, platform, terms_agree_yn, snapshot_dt, tgt, total_score, cut1, cut2, cut3, grade,
+  risk_level_byshop AS risk_level, cycle_length_byshop AS cycle_length, r_score, f_score, m_score, term_score, term_diff_score, volatility_score,
+  r_byshop AS r_data, f_byshop AS f_data, m_byshop AS m_data, ar_byshop AS ar_data, current_trailing_term_byshop AS current_trailing_term,
+  prev_trailing_term_byshop AS prev_trailing_term, term_diff_byshop AS term_diff, cycle_stddev_byshop AS cycle_stddev,
+  suvival_prob_byshop AS survival_prob, predicted_survival_time_byshop AS predicted_survival_time, total_accumulate_cash,
+  total_accumulate_shoji, current_cash, current_shoji
+FROM {p}_scored_affiliate WHERE user_id IS NOT NULL"""
     CTES[f"{p}_records"] = f"""
 SELECT user_id, gender, age_group, join_group, platform, terms_agree_yn, first_order_dt, snapshot_dt, total_score, cut1, cut2, cut3, grade,
   risk_level_shop AS risk_level, cycle_length_shop AS cycle_length, r_score, f_score, m_score, term_score, term_diff_score, volatility_score,
@@ -535,7 +543,9 @@ LEFT JOIN src_mall_members m ON a.member_no = m.member_no"""
     merged_ctes(p, as_of)
 
 
+DAY_BEFORE = "2001-07-31"
 chain("c", AS_OF)
+chain("d", DAY_BEFORE)
 chain("e", EARLIER)
 affiliate_ctes("y", "2001-01-01", AS_OF, "2001-01-01", True)
 activity_cte("y", "y_all", "2001-03-31")
@@ -736,6 +746,32 @@ oracle(
   CAST(b.snapshot_dt AS VARCHAR) AS snapshot_dt, b.total_score, b.grade, b.r_data, b.f_data, b.m_data
 FROM both_dates b JOIN latest_slow s ON b.user_id = s.user_id""",
 )
+oracle(
+    "history_pack_affiliate",
+    show(
+        "c_arecords", "snapshot_dt", 4, _RECORD_ROUND.replace(" refund_rate", ""),
+        cols=f"user_id gender age_group join_group tgt {_RECORD_COLS.replace(' refund_rate', '')}",
+    ),
+)
+
+
+def _two_dates(old: str, new: str) -> str:
+    """The records of two dates, beside the age group of the user's latest."""
+    return f"""SELECT b.user_id,
+  last_value(b.age_group) OVER (PARTITION BY b.user_id ORDER BY b.snapshot_dt ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS age_group,
+  count(*) OVER user_rows AS records, count(*) OVER user_rows AS category_records,
+  CAST(b.snapshot_dt AS VARCHAR) AS snapshot_dt, b.total_score, b.grade, b.r_data, b.f_data, b.m_data
+FROM (SELECT user_id, age_group, snapshot_dt, total_score, grade, r_data, f_data, m_data FROM {old}
+  UNION ALL SELECT user_id, age_group, snapshot_dt, total_score, grade, r_data, f_data, m_data FROM {new}) b
+WINDOW user_rows AS (PARTITION BY b.user_id)"""
+
+
+oracle("history_upsert_affiliate", _two_dates("e_arecords", "c_arecords"))
+oracle(
+    "series_history",
+    f"""SELECT *, 'affiliate' AS track FROM ({_two_dates("d_arecords", "c_arecords")})
+UNION ALL SELECT *, 'mall' AS track FROM ({_two_dates("d_records", "c_records")})""",
+)
 _SLOW = "user_id gender age_group join_group platform terms_agree_yn first_order_dt"
 oracle(
     "history_at",
@@ -865,8 +901,9 @@ oracle(
   round(quantile_cont(p, 0.025), 6) AS optimized_low, round(quantile_cont(p, 0.975), 6) AS optimized_high, round(avg(p) - avg(o), 6) AS improvement
 FROM (SELECT rep, corr(a_score, adjusted_ltv) AS o, corr(b_score, adjusted_ltv) AS p
   FROM (SELECT adjusted_ltv, {dot(_START_W)} AS a_score, {dot(_FOUND)} AS b_score,
-      CAST('0x' || substr(md5(user_id), 1, 8) AS BIGINT) % {_P} AS a, CAST('0x' || substr(md5(user_id), 9, 8) AS BIGINT) % {_P} AS b
-    FROM parts_valued, found_weights WHERE split = 'test'), range(1, 1001) r(rep)
+      CAST('0x' || substr(md5(g), 1, 8) AS BIGINT) % {_P} AS a, CAST('0x' || substr(md5(g), 9, 8) AS BIGINT) % {_P} AS b
+    FROM (SELECT *, CAST(CAST('0x' || substr(md5(user_id), 1, 8) AS BIGINT) % {_P} % 1024 AS VARCHAR) AS g FROM parts_valued WHERE split = 'test'), found_weights),
+    range(1, 1001) r(rep)
   WHERE (a + b * rep) % {_P} < {int(0.8 * _P)} GROUP BY rep)""",
 )
 

@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import fields
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from patronage.functions import labels
 from patronage.functions import scalars as sc
 from patronage.functions.joins import left_join_nullable
-from patronage.functions.stages import cut
+from patronage.functions.stages import cut, new_path, shared_folder
 from patronage.operators import category, history, profile, revenue, rfm, scoring, segments, study, survival
-from patronage.plans.snapshot import Snapshot, Window
+from patronage.plans.snapshot import TRACKS, Snapshot, Window, run_series
 from patronage.sources import readers
-from patronage.sources.schemas import history_schema
+from patronage.sources.schemas import Sources, history_schema
 from patronage.sources.star_schema import ORDERS_AS_OF, ORDERS_START, StarSchema
 
 # The partner feed enters the churn input later than the revenue.
@@ -50,23 +52,13 @@ def _src(spark: SparkSession, d: str) -> StarSchema:
     return StarSchema(spark, d)
 
 
-# Stage tables already stored in this session, as a daily run has them: later stages
-# read what earlier ones wrote.
-_SNAPSHOTS: dict[tuple[str, str, str], Snapshot] = {}
-
-
-def forget_stages() -> None:
-    """Build every stage anew from here on (benchmarks)."""
-    _SNAPSHOTS.clear()
-    _RECORDS.clear()
-
-
 def _snapshot(spark: SparkSession, d: str, as_of: str = ORDERS_AS_OF) -> Snapshot:
-    key = (spark.sparkContext.applicationId, d, as_of)
-    if key not in _SNAPSHOTS:
-        window = Window(ORDERS_START, ORDERS_START, as_of, PARTNER_CHURN_START)
-        _SNAPSHOTS[key] = Snapshot(_src(spark, d), window)
-    return _SNAPSHOTS[key]
+    """The chain of a date, whose stages are stored as a daily run stores them: later queries
+    read what earlier ones wrote.  The place is named by the files of the tables, so stages
+    of changed tables are never read."""
+    src = _src(spark, d)
+    store = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/tables-{src.state()}/{as_of}"
+    return Snapshot(src, Window(ORDERS_START, ORDERS_START, as_of, PARTNER_CHURN_START), store, reuse=True)
 
 
 # --- scans and filters --------------------------------------------------------
@@ -573,7 +565,8 @@ def rfm_scores_mall(spark, d):
 
 @query
 def grade_cuts(spark, d):
-    return present(_snapshot(spark, d).scored("affiliate").select("cut1", "cut2", "cut3").distinct())
+    users = _snapshot(spark, d).scored("affiliate").select("total_score")
+    return present(scoring.score_cuts(users))
 
 
 @query
@@ -591,23 +584,19 @@ def grade_fixed(spark, d):
 # --- history -------------------------------------------------------------------------
 
 
-def _mall_history(spark, d, *dates: str) -> DataFrame:
-    """Mall history built up over the given dates."""
-    out = spark.createDataFrame([], history_schema("mall"))
+def _history(spark, d, track: str, *dates: str) -> DataFrame:
+    """A channel's history built up over the given dates."""
+    out = spark.createDataFrame([], history_schema(track))
     for as_of in dates:
-        out = history.upsert_history(out, _snapshot(spark, d, as_of).scored("mall"), "mall")
+        out = history.upsert_history(out, _snapshot(spark, d, as_of).scored(track), track)
     return out
 
 
-_RECORDS: dict[tuple[str, str], DataFrame] = {}
-
-
 def _mall_records(spark, d) -> DataFrame:
-    """The latest records read back out of the history, cut because studies read them often."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _RECORDS:
-        _RECORDS[key] = cut(history.history_at(_mall_history(spark, d, ORDERS_AS_OF), ORDERS_AS_OF))
-    return _RECORDS[key]
+    """The latest records read back out of the history, stored because studies read them often."""
+    return _snapshot(spark, d).stage(
+        "records_mall", lambda: history.history_at(_history(spark, d, "mall", ORDERS_AS_OF), ORDERS_AS_OF)
+    )
 
 
 @query
@@ -616,35 +605,67 @@ def history_pack(spark, d):
     return present(packed.select("user_id", "gender", "age_group", "join_group", "first_order_dt", "score.*"), places=4)
 
 
+@query
+def history_pack_affiliate(spark, d):
+    packed = history.pack_snapshot(_snapshot(spark, d).scored("affiliate"), "affiliate")
+    return present(packed.select("user_id", "gender", "age_group", "join_group", "score.*"), places=4)
+
+
+def _records_of(hist: DataFrame) -> DataFrame:
+    """One row per user and record of the array form."""
+    return hist.select(
+        "user_id",
+        "age_group",
+        F.size("score_history").alias("records"),
+        F.size("category_history").alias("category_records"),
+        F.inline("score_history"),
+    ).select("user_id", "age_group", "records", "category_records", "snapshot_dt", "total_score", "grade", "r_data", "f_data", "m_data")
+
+
 @query
 def history_upsert(spark, d):
-    hist = _mall_history(spark, d, EARLIER, ORDERS_AS_OF, ORDERS_AS_OF)
-    return present(
-        hist.select(
-            "user_id",
-            "age_group",
-            F.size("score_history").alias("records"),
-            F.size("category_history").alias("category_records"),
-            F.inline("score_history"),
-        ).select("user_id", "age_group", "records", "category_records", "snapshot_dt", "total_score", "grade", "r_data", "f_data", "m_data")
+    return present(_records_of(_history(spark, d, "mall", EARLIER, ORDERS_AS_OF, ORDERS_AS_OF)))
+
+
+@query
+def history_upsert_affiliate(spark, d):
+    """With the earlier date run again at the end."""
+    return present(_records_of(_history(spark, d, "affiliate", EARLIER, ORDERS_AS_OF, EARLIER)))
+
+
+@query
+def series_history(spark, d):
+    """Stored sources, the day loop over two dates and both channels, and the assembled histories."""
+    base, star = new_path(spark, "series"), _src(spark, d)
+    for f in fields(Sources):
+        readers.write_stage(getattr(star, f.name), f"{base}/sources", f.name)
+    last = date.fromisoformat(ORDERS_AS_OF)
+    run_series(
+        readers.read_sources(spark, f"{base}/sources"), date.fromisoformat(ORDERS_START), last - timedelta(days=1), last,
+        f"{base}/history", f"{base}/stages", partner_churn_start=PARTNER_CHURN_START,
     )
+    parts = [
+        _records_of(history.assemble_history(history.read_snapshots(spark, f"{base}/history/{track}"), track)).withColumn("track", F.lit(track))
+        for track in TRACKS
+    ]
+    return present(parts[0].unionByName(parts[1]))
 
 
 @query
 def history_at(spark, d):
-    hist = _mall_history(spark, d, EARLIER, ORDERS_AS_OF)
+    hist = _history(spark, d, "mall", EARLIER, ORDERS_AS_OF)
     return present(history.history_at(hist, EARLIER), places=4)
 
 
 @query
 def history_categories_at(spark, d):
-    hist = _mall_history(spark, d, EARLIER, ORDERS_AS_OF)
+    hist = _history(spark, d, "mall", EARLIER, ORDERS_AS_OF)
     return present(history.history_at(hist, ORDERS_AS_OF, "category_history").drop("age_group", "join_group"), places=4)
 
 
 @query
 def history_long_cycle(spark, d):
-    records = history.history_at(_mall_history(spark, d, ORDERS_AS_OF), ORDERS_AS_OF)
+    records = history.history_at(_history(spark, d, "mall", ORDERS_AS_OF), ORDERS_AS_OF)
     return present(
         records.where(F.col("cycle_length") == labels.CYCLE_LONGEST).select("user_id", "cycle_length", "r_score", "f_score", "m_score")
     )
@@ -774,10 +795,16 @@ def score_histogram(spark, d):
 
 
 def _two_periods(spark, d):
-    """Affiliate RFM of two dates, scored against the earlier one's quintiles."""
+    """Affiliate RFM of two dates from one roll-up, scored against the earlier one's quintiles."""
     src = _src(spark, d)
-    past = cut(rfm.rfm_affiliate(src, ORDERS_START, EARLIER).select("user_id", "recency", "frequency", "monetary"))
-    now = cut(rfm.rfm_affiliate(src, ORDERS_START, ORDERS_AS_OF).select("user_id", "recency", "frequency", "monetary"))
+
+    def build() -> DataFrame:
+        members = src.app_members.select("user_id")
+        changes = revenue.purchase_changes(src, ORDERS_START, ORDERS_AS_OF).join(members, "user_id", "left_semi")
+        return segments.rfm_series(changes, EARLIER, ORDERS_AS_OF, every=False)
+
+    both = _snapshot(spark, d).stage("two_periods", build)
+    past, now = (both.where(F.col("snapshot_dt") == sc.day(on)).drop("snapshot_dt") for on in (EARLIER, ORDERS_AS_OF))
     cuts = cut(segments.past_quantiles(past))
     return past, segments.period_scores(past, cuts), segments.period_scores(now, cuts), cuts
 

@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from patronage.functions.scalars import day
 from patronage.functions.stages import cut
 from patronage.operators import history as hist
 from patronage.operators.category import category_power_affiliate, category_power_mall
 from patronage.operators.profile import merged_snapshot, reward_balance, track_base, user_profile
-from patronage.operators.revenue import affiliate_purchases
+from patronage.operators.revenue import affiliate_purchases, purchase_facts
 from patronage.operators.rfm import rfm_affiliate, rfm_mall
 from patronage.operators.scoring import scored_snapshot
 from patronage.operators.survival import SurvivalAnalysis, affiliate_days, mall_days
-from patronage.sources.readers import write_stage
+from patronage.sources.readers import kept_stage, write_stage
 from patronage.sources.schemas import Sources
 
 TRACKS = ("affiliate", "mall")
@@ -36,32 +38,46 @@ class Snapshot:
     """The stages of one date.
 
     Stages are built on first use.  Those that several stages read are stored: under
-    `store` if given (one Parquet table each, replaced on every run), else in the
-    checkpoint folder.
+    `store` if given (one Parquet table each, replaced on every run, or with `reuse` read
+    where it is there), else in the checkpoint folder.
     """
 
-    def __init__(self, src: Sources, window: Window, store: str | None = None):
-        self.src, self.window, self.store = src, window, store
+    def __init__(self, src: Sources, window: Window, store: str | None = None, reuse: bool = False):
+        self.src, self.window, self.store, self.reuse = src, window, store, reuse
         self._stages: dict[str, DataFrame] = {}
 
-    def _kept(self, name: str, build) -> DataFrame:
+    def stage(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._stages:
-            df = build()
-            self._stages[name] = write_stage(df, self.store, name) if self.store else cut(df)
+            if self.store and self.reuse:
+                self._stages[name] = kept_stage(SparkSession.active(), self.store, name, build)
+            else:
+                self._stages[name] = write_stage(build(), self.store, name) if self.store else cut(build())
         return self._stages[name]
 
+    def purchases(self) -> DataFrame:
+        """Affiliate purchases: all that the stages read of that channel's events, in one table."""
+        w = self.window
+        return self.stage("purchases_affiliate", lambda: purchase_facts(self.src, w.affiliate_start, w.as_of))
+
+    def orders(self) -> Sources:
+        """The sources, with those columns of the mall orders (and of their first lines) that the stages read stored in one table."""
+        wanted = ("order_dt", "member_no", "category_no", "first_pay_amt", F.slice("product_option", 1, 1).alias("product_option"))
+        narrow = self.stage("orders_mall", lambda: self.src.mall_orders.select(*wanted))
+        return Sources(**{f.name: narrow if f.name == "mall_orders" else getattr(self.src, f.name) for f in fields(Sources)})
+
     def rfm(self, track: str) -> DataFrame:
         w = self.window
         if track == "mall":
-            return self._kept("rfm_mall", lambda: rfm_mall(self.src, w.mall_start, w.as_of))
-        return self._kept("rfm_affiliate", lambda: rfm_affiliate(self.src, w.affiliate_start, w.as_of))
+            return self.stage("rfm_mall", lambda: rfm_mall(self.orders(), w.mall_start, w.as_of))
+        return self.stage("rfm_affiliate", lambda: rfm_affiliate(self.src, w.affiliate_start, w.as_of, self.purchases()))
 
     def category_power(self, track: str) -> DataFrame:
         w = self.window
         if track == "mall":
-            return self._kept("category_power_mall", lambda: category_power_mall(self.src, w.mall_start, w.as_of))
-        return self._kept(
-            "category_power_affiliate", lambda: category_power_affiliate(self.src, w.affiliate_start, w.as_of)
+            return self.stage("category_power_mall", lambda: category_power_mall(self.orders(), w.mall_start, w.as_of))
+        return self.stage(
+            "category_power_affiliate",
+            lambda: category_power_affiliate(self.src, w.affiliate_start, w.as_of, self.purchases()),
         )
 
     def purchase_log(self) -> DataFrame:
@@ -71,19 +87,26 @@ class Snapshot:
 
     def survival(self, track: str) -> DataFrame:
         w = self.window
-        if track == "mall":
-            days = mall_days(self.src, w.mall_start, w.as_of)
-        else:
-            days = affiliate_days(self.src, w.affiliate_start, w.as_of, w.partner_churn_start)
-        return self._kept(f"survival_{track}", lambda: SurvivalAnalysis(days, w.as_of, grouped=track == "mall").table)
+
+        def build() -> DataFrame:
+            if track == "mall":
+                days = mall_days(self.orders(), w.mall_start, w.as_of)
+            else:
+                late = F.lit(True) if w.partner_churn_start is None else F.col("event_dt") >= day(w.partner_churn_start)
+                days = affiliate_days(self.src, w.affiliate_start, w.as_of, names=self.purchases().where(~F.col("is_partner") | late))
+            return SurvivalAnalysis(days, w.as_of, grouped=track == "mall").table
+
+        return self.stage(f"survival_{track}", build)
 
     def prepare(self) -> None:
-        """Build the six tables the merge reads.  They do not depend on each other, and
-        each is a chain of short jobs, so they are submitted side by side."""
+        """Build the two tables of purchases and then the six the merge reads.  The tables
+        of a group do not depend on each other, and each is a chain of short jobs, so they
+        are submitted side by side."""
         parts = (self.survival, self.category_power, self.rfm)
         with ThreadPoolExecutor(len(parts) * len(TRACKS)) as pool:
-            for done in [pool.submit(f, track) for f in parts for track in TRACKS]:
-                done.result()
+            for jobs in ([(self.purchases,), (self.orders,)], [(f, track) for f in parts for track in TRACKS]):
+                for done in [pool.submit(*job) for job in jobs]:
+                    done.result()
 
     def merged(self, track: str) -> DataFrame:
         def build() -> DataFrame:
@@ -100,10 +123,10 @@ class Snapshot:
             )
             return merged_snapshot(profile, track, self.window.as_of)
 
-        return self._kept(f"merged_{track}", build)
+        return self.stage(f"merged_{track}", build)
 
     def scored(self, track: str) -> DataFrame:
-        return self._kept(f"scored_{track}", lambda: scored_snapshot(self.merged(track), track, self.window.as_of))
+        return self.stage(f"scored_{track}", lambda: scored_snapshot(self.merged(track), track, self.window.as_of))
 
 
 def run_days(first: date, last: date, data_start: date):
@@ -116,20 +139,21 @@ def run_days(first: date, last: date, data_start: date):
 
 
 def run_series(
-    spark: SparkSession,
     src: Sources,
-    track: str,
     data_start: date,
     first: date,
     last: date,
     history_path: str,
     stage_path: str,
+    tracks: Sequence[str] = TRACKS,
+    partner_churn_start: date | str | None = None,
 ) -> None:
-    """Run the chain for each date and write its records into the dated history.
+    """Run the chain for each date and write its records into each channel's dated history, `history_path`/track.
 
     Every date is computed cumulatively from `data_start`; an error stops the run, and
     running a date again replaces its records.
     """
     for as_of in run_days(first, last, data_start):
-        snap = Snapshot(src, Window(data_start, data_start, as_of), store=f"{stage_path}/{as_of}")
-        hist.append_snapshot(snap.scored(track), history_path, track, as_of)
+        snap = Snapshot(src, Window(data_start, data_start, as_of, partner_churn_start), store=f"{stage_path}/{as_of}")
+        for track in tracks:
+            hist.append_snapshot(snap.scored(track), f"{history_path}/{track}", track, as_of)

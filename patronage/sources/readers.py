@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import fields
 from datetime import date
 
@@ -67,8 +68,8 @@ def _fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
-def history_versions(spark: SparkSession, path: str) -> list[int]:
-    """Complete versions of a stored history, oldest first."""
+def folders(spark: SparkSession, path: str, key: str, complete: bool = False) -> list[str]:
+    """The values of the `key=value` folders under a path, or of those a write has completed."""
     fs, root = _fs(spark, path)
     if not fs.exists(root):
         return []
@@ -76,11 +77,39 @@ def history_versions(spark: SparkSession, path: str) -> list[int]:
     for entry in fs.listStatus(root):
         name = entry.getPath().getName()
         done = spark._jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS")
-        if name.startswith("version=") and fs.exists(done):
-            found.append(int(name.split("=")[1]))
+        if name.startswith(f"{key}=") and (not complete or fs.exists(done)):
+            found.append(name.split("=", 1)[1])
     return sorted(found)
 
 
+def history_versions(spark: SparkSession, path: str) -> list[int]:
+    """Complete versions of a stored table, oldest first."""
+    return sorted(map(int, folders(spark, path, "version", complete=True)))
+
+
+def write_version(df: DataFrame, path: str, keep: int | None = None) -> str:
+    """Add a version of a table and return its path; with `keep`, only so many stay.
+
+    Readers and failed runs never see a table half written or gone: the versions before
+    stay until the new one is complete.
+    """
+    spark = df.sparkSession
+    before = history_versions(spark, path)
+    new = f"{path}/version={(before[-1] if before else -1) + 1}"
+    df.write.mode("overwrite").parquet(new)
+    for old in before[: max(0, len(before) + 1 - keep)] if keep else []:
+        fs, place = _fs(spark, f"{path}/version={old}")
+        fs.delete(place, True)
+    return new
+
+
+def kept_stage(spark: SparkSession, store: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The stage table `name` under `store` as it was stored last; built and stored where there is none."""
+    path = f"{store}/{name}"
+    done = history_versions(spark, path)
+    return spark.read.parquet(f"{path}/version={done[-1]}" if done else write_version(build(), path))
+
+
 def ensure_history(spark: SparkSession, path: str, track: str) -> None:
     """Create an empty history (version 0) unless one is there."""
     if not history_versions(spark, path):
@@ -94,5 +123,4 @@ def read_history(spark: SparkSession, path: str, track: str) -> DataFrame:
 
 def write_history(history: DataFrame, path: str) -> None:
     """Add a version.  Readers keep the old one until the new one is complete."""
-    latest = history_versions(history.sparkSession, path)[-1]
-    history.write.mode("overwrite").parquet(f"{path}/version={latest + 1}")
+    write_version(history, path)

@@ -6,6 +6,7 @@ for the catalogue and events for the ledger, the offer wall and the app log.
 
 from __future__ import annotations
 
+import hashlib
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -48,6 +49,15 @@ class StarSchema:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(_TABLES[name]).parquet(f"{self.base}/{name}.parquet")
 
+    def state(self) -> str:
+        """A name for the present files of all tables: another one once a table was written anew."""
+        seen = []
+        for name in sorted(_TABLES):
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}.parquet")
+            root = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).getFileStatus(path)
+            seen.append(f"{name} {root.getModificationTime()} {root.getLen()} {sorted(self.table(name).inputFiles())}")
+        return hashlib.md5("\n".join(seen).encode()).hexdigest()
+
     @cached_property
     def order_lines(self) -> DataFrame:
         return self.table("lineitem").join(

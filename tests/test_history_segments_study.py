@@ -1,5 +1,7 @@
+import hashlib
 from datetime import date
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,6 +127,17 @@ def test_correlation_from_moments_and_search_limits(spark):
     assert f.objective >= start - 1e-9
     boot = study.bootstrap_corr(df, found, replicates=50)
     assert boot.first() == boot.first()
+    rows, digits = df.select("user_id", "adjusted_ltv", study.weighted_score(w).alias("s")).toPandas(), study._HASH_PRIME
+
+    def part(text, at):
+        return int(hashlib.md5(text.encode()).hexdigest()[at : at + 8], 16) % digits
+
+    group = [str(part(u, 0) % study.DRAW_GROUPS) for u in rows.user_id]
+    each = [
+        rows[[(part(g, 0) + part(g, 8) * rep) % digits < int(0.8 * digits) for g in group]] for rep in range(1, 51)
+    ]
+    want = np.quantile([np.corrcoef(part_rows.s, part_rows.adjusted_ltv)[0, 1] for part_rows in each], [0.025, 0.975])
+    assert np.allclose([boot.first().original_low, boot.first().original_high], want, atol=1e-9)
 
 
 def test_run_days_checks_its_range():
