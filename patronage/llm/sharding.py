@@ -3,9 +3,11 @@
 Groups are ordered by the digest of their text.  The smallest capacity with which a
 greedy walk needs at most n_shards shards is found by binary search, and the shards are
 cut where that walk cuts.  The walk sees sums over digest prefixes (at most
-16**PREFIX rows on the driver); only the prefixes in which a cut can fall are split
-further, until each of those holds a single group, so the result is exact however many
-groups there are.  Only DataFrame functions.
+16**PREFIX rows on the driver).  A walk that may cut anywhere in a prefix of several
+groups gives a lower bound of the capacity; the prefixes that it cuts, at most one per
+shard, are split further (at most 16**PREFIX more rows, or 16 per shard) until it cuts
+between groups only, so the bound is reached and the result is exact however many groups
+there are and however large one of them is.  Only DataFrame functions.
 
 Defined cases: a null text counts as the empty text; groups are never split, so a
 group larger than total / n_shards sets the capacity; repeated rows keep a slot each;
@@ -14,7 +16,6 @@ null ids are allowed; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark.sql import Window as W
 
 from patronage.functions.stages import cut
 
-PREFIX, STEP = 4, 3  # hex digits of the first sums and of each further split
+PREFIX = 4  # hex digits of the first sums; no further split of a round gives more rows, but for 16 per split prefix
 SLOT_BUCKETS = 256  # per shard; rows are numbered within a bucket, so this many times n_shards windows share the work
 
 
@@ -61,19 +62,40 @@ def least_capacity(sizes: np.ndarray, n_shards: int) -> int:
     return low
 
 
+def loose_walk(ends: np.ndarray, single: np.ndarray, capacity: int, n_shards: int) -> list[int]:
+    """Sizes up to each shard's end, where pieces of several groups may be cut anywhere; no walk over the groups comes farther."""
+    found, at = [], 0
+    for _ in range(n_shards):
+        at = min(at + capacity, int(ends[-1]))
+        k = int(np.searchsorted(ends, at, side="right"))
+        if k < len(ends) and single[k]:
+            at = int(ends[k - 1]) if k else 0
+        found.append(at)
+    return found
+
+
 def undecided(pieces: list[Piece], n_shards: int, largest: int) -> list[int]:
-    """Pieces of several groups in which a cut of the best walk can fall."""
-    sizes = np.array([p.size for p in pieces])
-    ends = np.cumsum(sizes)
-    low, high = max(largest, -(-int(ends[-1]) // n_shards)), least_capacity(sizes, n_shards)
-    found, floor = set(), 0
-    for i in range(1, n_shards + 1):
-        # No walk with a capacity from low to high ends its i-th shard before `floor` or after i * high.
-        at = bisect_right(ends, floor + low)
-        floor = max(floor, int(ends[at - 1]) if at else 0)
-        last = min(bisect_right(ends, i * high), len(pieces) - 1)
-        found.update(range(at, last + 1))
-    return sorted(k for k in found if pieces[k].groups > 1)
+    """Pieces of several groups that the loose walk of the least capacity cuts, at most n_shards; without any, that walk is the best one."""
+    ends = np.cumsum([p.size for p in pieces])
+    single = np.array([p.groups == 1 for p in pieces])
+    low, high = max(largest, -(-int(ends[-1]) // n_shards)), int(ends[-1])
+    while low < high:
+        mid = (low + high) // 2
+        if loose_walk(ends, single, mid, n_shards)[-1] == ends[-1]:
+            high = mid
+        else:
+            low = mid + 1
+    cut_at = np.array(loose_walk(ends, single, low, n_shards))
+    inside = np.searchsorted(ends, cut_at, side="left")
+    return sorted({int(k) for k, at in zip(inside, cut_at, strict=True) if at < ends[k]})
+
+
+def split_digits(n_open: int) -> int:
+    """Hex digits by which so many prefixes are split in one round."""
+    digits = PREFIX
+    while digits > 1 and n_open * 16**digits > 16**PREFIX:
+        digits -= 1
+    return digits
 
 
 def shard_cuts(groups: DataFrame, n_shards: int) -> tuple[list[str], int]:
@@ -93,9 +115,10 @@ def shard_cuts(groups: DataFrame, n_shards: int) -> tuple[list[str], int]:
         for k in open_:
             by_length.setdefault(len(pieces[k].prefix), []).append(pieces[k].prefix)
         split = {p for names in by_length.values() for p in names}
+        step = split_digits(len(open_))
         pieces = [p for p in pieces if p.prefix not in split]
         for length, names in by_length.items():
-            pieces += sums(length + STEP, names)
+            pieces += sums(length + step, names)
         pieces.sort(key=lambda p: p.prefix)
     sizes = np.array([p.size for p in pieces])
     capacity = least_capacity(sizes, n_shards)
