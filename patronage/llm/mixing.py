@@ -2,15 +2,18 @@
 
 A source with share w of the target has the mean repetition rate w * total / count.
 Each document's repetition is the Poisson quantile of a uniform number seeded by a
-hash of its id, so it does not depend on partitions or reruns.  Documents are exploded
+hash of its id, so it does not depend on partitions or reruns; where the id is null or
+repeated, the seed is the id, a digest of the row and its number among equal rows, so
+that every row has a draw of its own.  Documents are exploded
 by it and the copies dealt out and sorted by a hash, a uniform global order.
 Only DataFrame functions; nothing but one count per named source reaches the driver.
 
 Defined cases: sources without a share of their own, the null source among them, form
 one pool that gets what the named shares leave; a named source without documents gets
-nothing; rows with one doc_id are drawn alike; null ids are drawn as one id; null and
-empty texts are kept as they are; an empty table gives no rows; other columns are
-carried along, except that copy, n_copies and order_key are overwritten.
+nothing; rows without an id or with one that others have too are drawn each on their own,
+fully equal ones included; null and empty texts are kept as they are; an empty table
+gives no rows; other columns are carried along, except that copy, n_copies and order_key
+are overwritten.
 """
 
 from __future__ import annotations
@@ -19,6 +22,9 @@ import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Window as W
+
+from patronage.functions.stages import cut
 
 # Target shares of the production mix; every other source shares the rest.
 SHARES: Mapping[str, float] = {"src0": 0.20, "src1": 0.10, "src2": 0.05}
@@ -72,11 +78,32 @@ def repetitions(u: Column, source: Column, rates: Mapping[str | None, float]) ->
     return out
 
 
+def seeded(docs: DataFrame) -> DataFrame:
+    """The documents with the text that seeds their draw as order_key: the id, and where it is null or repeated more of the row."""
+    id_text = F.col("doc_id").cast("string")
+    unclear = cut(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc_id IS NULL").select("doc_id"), "unclear-ids")
+    if unclear.isEmpty():
+        return docs.withColumn("order_key", id_text)
+    repeated = unclear.where("doc_id IS NOT NULL")
+    plain = docs.where("doc_id IS NOT NULL").join(repeated, "doc_id", "left_anti").select(docs.columns)
+    odd = docs.where("doc_id IS NULL").unionByName(docs.join(repeated, "doc_id", "left_semi").select(docs.columns))
+    # Equal rows are numbered within the partition they were stored by, so a large group of them is not one task's work.
+    rows = cut(odd.select(F.struct("*").alias("row"), F.md5(F.to_json(F.struct("*"))).alias("same"), F.spark_partition_id().alias("part")), "unclear-rows")
+    counts = rows.groupBy("same", "part").agg(F.count(F.lit(1)).alias("n"))
+    before = W.partitionBy("same").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = counts.select("same", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    inside = F.row_number().over(W.partitionBy("same", "part").orderBy("same"))
+    numbered = rows.withColumn("inside", inside).join(offsets, ["same", "part"])
+    own = F.concat_ws(":", F.coalesce(F.col("row.doc_id").cast("string"), F.lit("null")), "same", (F.col("offset") + F.col("inside")).cast("string"))
+    drawn = numbered.select("row", own.alias("order_key")).select("row.*", "order_key")
+    return plain.withColumn("order_key", id_text).unionByName(drawn)
+
+
 def mix(docs: DataFrame, shares: Mapping[str, float] = SHARES, seed: int = SEED) -> DataFrame:
     """The documents with their copies, globally shuffled; adds copy (from 1), n_copies and order_key."""
     rates = repetition_rates(docs, shares)
-    id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    counted = docs.withColumn("n_copies", repetitions(uniform(id_text, F.lit(str(seed))), F.col("source"), rates))
+    docs = docs.drop("copy", "n_copies", "order_key")
+    counted = seeded(docs).withColumn("n_copies", repetitions(uniform("order_key", F.lit(str(seed))), F.col("source"), rates))
     copies = counted.where("n_copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
-    keyed = copies.withColumn("order_key", F.md5(F.concat_ws(":", id_text, F.col("copy").cast("string"), F.lit(f"order{seed}"))))
-    return keyed.repartition("order_key").sortWithinPartitions("order_key", "doc_id")
+    keyed = copies.withColumn("order_key", F.md5(F.concat_ws(":", "order_key", F.col("copy").cast("string"), F.lit(f"order{seed}"))))
+    return keyed.select(*docs.columns, "n_copies", "copy", "order_key").repartition("order_key").sortWithinPartitions("order_key", "doc_id")

@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from patronage.llm import sharding
+from patronage.llm import mixing, sharding
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -28,3 +28,20 @@ def test_sharding_splits_few_prefixes_beside_a_hot_group():
         pieces = sorted([p for k, p in enumerate(pieces) if k not in open_] + finer, key=lambda p: p.prefix)
         rounds += 1
     assert sharding.least_capacity(np.array([p.size for p in pieces]), 16) == exact
+
+
+def test_mixing_draws_rows_without_a_clear_id_one_by_one(spark):
+    rows = spark.range(12000).select(
+        F.when(F.col("id") % 3 == 0, F.col("id")).when(F.col("id") % 3 == 1, F.lit(7)).alias("doc_id"),
+        F.when(F.col("id") % 2 == 0, F.col("id").cast("string")).otherwise("same").alias("text"),
+        F.lit("src9").alias("source"),
+        F.lit(1).alias("row"),
+    )
+    outs = [mixing.mix(rows.repartition(n), {"src0": 0.3, "src1": 0.1}).collect() for n in (3, 7)]
+    assert sorted(map(str, outs[0])) == sorted(map(str, outs[1]))
+    assert len({r["order_key"] for r in outs[0]}) == len(outs[0])
+    for doc, text in ((None, "same"), (7, "same"), (None, None), (7, None)):
+        got = [r for r in outs[0] if r["doc_id"] == doc and (r["text"] == "same") == (text == "same")]
+        # 2,000 draws at 0.6: the mean is 1,200 with a deviation of 35.
+        assert abs(len(got) - 1200) < 175, (doc, text, len(got))
+        assert {r["n_copies"] for r in got} >= {1, 2, 3}
