@@ -2,7 +2,10 @@
 
 Vectors of one label are dealt to cells around centres fitted on a bounded sample
 (SAMPLE_PER_CELL vectors a cell); a vector is at home in its nearest cell and visits
-the next VISITS.  In a cell, the residual of each vector from the centre is rotated at
+every cell whose border with it is near enough: of two linked vectors with different
+homes, one is within half their greatest distance of the plane between the two centres,
+so it visits the other's home, where the pair meets whatever the number of cells.
+In a cell, the residual of each vector from the centre is rotated at
 random and kept as sign bits with the length and the correction factor that make its
 inner products unbiased.  A pair whose upper confidence bound reaches the threshold
 is recomputed from the original components in double precision.  Rows of one label with
@@ -29,7 +32,7 @@ from patronage.llm.blocks import block_pairs, star
 from patronage.llm.graph import components
 
 PER_CELL, SAMPLE_PER_CELL, MOST_CELLS = 256, 32, 8192
-VISITS = 6
+SCORES_AT_ONCE = 1 << 22  # of vectors with centres
 BLOCK = 1024
 CONFIDENCE = 4.0  # standard errors of the estimate that the bound allows
 
@@ -84,34 +87,57 @@ def fit_centres(vectors: DataFrame) -> dict[tuple, np.ndarray]:
     return out
 
 
-def deal(vectors: DataFrame, centres: dict[tuple, np.ndarray]) -> DataFrame:
-    """vec_id, weight, cell, home, cells, raw: one row per vector and cell it is in; cells is text of label, length and number."""
+def visited(x: np.ndarray, centres: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Home of each unit vector, and (vector, cell) of all cells it is in, its home among them."""
+    reach = np.sqrt(max(0.0, 2 - 2 * least)) / 2
+    square = (centres**2).sum(axis=1)
+    homes, rows, cells = [], [], []
+    step = max(1, SCORES_AT_ONCE // len(centres))
+    for lo in range(0, len(x), step):
+        score = x[lo : lo + step] @ centres.T
+        home = score.argmax(axis=1)
+        apart = square[home][:, None] + square[None, :] - 2 * (centres[home] @ centres.T)
+        border = score[np.arange(len(home)), home][:, None] - score
+        near = border <= reach * np.sqrt(np.maximum(apart, 0) + 1e-12) + 1e-9
+        p, q = np.nonzero(near)
+        homes.append(home)
+        rows.append(lo + p)
+        cells.append(q)
+    return np.concatenate(homes), np.concatenate(rows), np.concatenate(cells)
+
+
+def deal(vectors: DataFrame, centres: dict[tuple, np.ndarray], least: float) -> DataFrame:
+    """vec_id, weight, cell, home, raw: one row per vector and cell it is in; a cell is text of label, length and number, home a number."""
     shared = vectors.sparkSession.sparkContext.broadcast(centres)  # MOST_CELLS vectors and one per further label of the sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         for batch in batches:
-            ids, homes, cells, raw = [], [], [], []
             labels, rows = batch["label"].to_pylist(), batch["embedding"].to_pylist()
             groups: dict[tuple, list[int]] = {}
             for k, (label, row) in enumerate(zip(labels, rows, strict=True)):
                 groups.setdefault((label, len(row)), []).append(k)
+            ids, homes, cells, raw = [], [], [], []
             for (label, d), members in groups.items():
                 c = table.get((label, d))
-                near = np.zeros((len(members), 1), np.int64) if c is None else np.argsort(-(unit([rows[k] for k in members]) @ c.T), axis=1)[:, : VISITS + 1]
-                for k, order in zip(members, near.tolist(), strict=True):
-                    names = [f"{label}/{d}/{x}" for x in order]
-                    ids.append(k)
-                    homes.append(names[0])
-                    cells.append(names)
-                    raw.append(np.asarray(rows[k], np.float64).tobytes())
+                found: list[list[str]] = [[] for _ in members]
+                if c is None:
+                    home, found = np.zeros(len(members), np.int64), [[f"{label}/{d}/0"] for _ in members]
+                else:
+                    home, at, cell = visited(unit([rows[k] for k in members]), c, least)
+                    for p, q in zip(at.tolist(), cell.tolist(), strict=True):
+                        found[p].append(f"{label}/{d}/{q}")
+                ids += members
+                homes += home.tolist()
+                cells += found
+                raw += [np.asarray(rows[k], np.float64).tobytes() for k in members]
             yield pa.RecordBatch.from_arrays(
-                [batch["vec_id"].take(pa.array(ids, pa.int64())), batch["weight"].take(pa.array(ids, pa.int64())), pa.array(homes, pa.string()), pa.array(cells, pa.list_(pa.string())), pa.array(raw, pa.binary())],
+                [batch["vec_id"].take(pa.array(ids, pa.int64())), batch["weight"].take(pa.array(ids, pa.int64())), pa.array(homes, pa.int64()), pa.array(cells, pa.list_(pa.string())), pa.array(raw, pa.binary())],
                 ["vec_id", "weight", "home", "cells", "raw"],
             )
 
-    dealt = vectors.select("vec_id", "weight", "label", "embedding").mapInArrow(run, "vec_id bigint, weight bigint, home string, cells array<string>, raw binary")
-    return dealt.withColumn("cell", F.explode("cells"))
+    dealt = vectors.select("vec_id", "weight", "label", "embedding").mapInArrow(run, "vec_id bigint, weight bigint, home bigint, cells array<string>, raw binary")
+    return dealt.select("vec_id", "weight", "home", F.explode("cells").alias("cell"), "raw")
 
 
 def rotation(d: int) -> np.ndarray:
@@ -141,7 +167,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93) -> DataFrame:
     rows, classes = copy_classes(usable(vectors))
     centres = fit_centres(classes)
     shared = vectors.sparkSession.sparkContext.broadcast(centres)
-    dealt = deal(classes, centres)
+    dealt = deal(classes, centres, least)
     # As many rows as there are cells: MOST_CELLS and one per label and length the sample missed.
     sizes = dealt.groupBy("cell").agg(F.count(F.lit(1)).alias("size"))
     work = block_pairs(dealt.join(sizes, "cell"), F.col("size"), F.col("vec_id"), BLOCK)
@@ -150,19 +176,18 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93) -> DataFrame:
         cell, same = group["cell"][0].as_py(), group["i"][0].as_py() == group["j"][0].as_py()
         group = group.sort_by("vec_id")
         ids, blk, weight = (group[c].to_numpy() for c in ("vec_id", "blk", "weight"))
-        homes, cells = group["home"].to_pylist(), group["cells"].to_pylist()
+        homes = group["home"].to_numpy()
         x = unit(np.frombuffer(b"".join(group["raw"].to_pylist()), np.float64).reshape(len(ids), -1))
         label, d, k = cell.rsplit("/", 2)
         table = {f"{a}/{b}": c for (a, b), c in shared.value.items()}
-        centre = table[f"{label}/{d}"][int(k)] if f"{label}/{d}" in table else np.zeros(int(d))
-        home = np.array([h == cell for h in homes])
+        centres = table.get(f"{label}/{d}", np.zeros((1, int(d))))
+        home = homes == int(k)
         low = np.ones(len(ids), bool) if same else blk == blk.min()
         one, two = np.flatnonzero(low), np.flatnonzero(low if same else ~low)
-        a, b = likely_pairs(x, centre, one, two, least)
+        a, b = likely_pairs(x, centres[int(k)], one, two, least)
         keep = (ids[a] != ids[b]) & (home[a] | home[b]) & ((a < b) | (not same))
         a, b = a[keep], b[keep]
-        # A pair that meets in both homes is counted in the first of them.
-        first = np.array([_first_home(homes[p], homes[q], cells[p], cells[q]) == cell for p, q in zip(a.tolist(), b.tolist(), strict=True)], bool)
+        first = _meeting_home(x, homes, a, b, centres) == int(k)
         a, b = a[first], b[first]
         exact = np.einsum("pd,pd->p", x[a], x[b]) >= least
         a, b = a[exact], b[exact]
@@ -171,7 +196,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93) -> DataFrame:
         root = star(len(ids), a, b)
         return pa.table({"vec_id": ids[found], "links": links[found].astype(np.int64), "root": ids[root[found]]})
 
-    found = work.select("cell", "i", "j", "blk", "vec_id", "weight", "home", "cells", "raw").groupBy("cell", "i", "j").applyInArrow(compare, "vec_id bigint, links bigint, root bigint")
+    found = work.select("cell", "i", "j", "blk", "vec_id", "weight", "home", "raw").groupBy("cell", "i", "j").applyInArrow(compare, "vec_id bigint, links bigint, root bigint")
     found = cut(found, "links")
     counts = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
     reach = components(found, "vec_id", "root").withColumnRenamed("id", "vec_id")
@@ -199,6 +224,13 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93) -> DataFrame:
     )
 
 
-def _first_home(home_a: str, home_b: str, cells_a: list[str], cells_b: list[str]) -> str:
-    """Of the homes in which a pair meets, the least."""
-    return min([h for h, visitors in ((home_a, cells_b), (home_b, cells_a)) if h in visitors])
+def _meeting_home(x: np.ndarray, homes: np.ndarray, a: np.ndarray, b: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The home in which a pair is counted: that of the vector farther from the border, which the other visits if they are linked."""
+    out = np.empty(len(a), np.int64)
+    for lo in range(0, len(a), SCORES_AT_ONCE // 256):
+        p, q = a[lo : lo + SCORES_AT_ONCE // 256], b[lo : lo + SCORES_AT_ONCE // 256]
+        low, high = np.minimum(homes[p], homes[q]), np.maximum(homes[p], homes[q])
+        # Both homes see the same number, bit by bit; the margin of the visits is wider than the one here.
+        side = np.einsum("pd,pd->p", x[p] + x[q], centres[low] - centres[high])
+        out[lo : lo + len(p)] = np.where(side < -1e-12, high, low)
+    return out

@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from patronage.llm import mixing, sharding
+from patronage.llm import embedding, mixing, sharding
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -45,3 +45,23 @@ def test_mixing_draws_rows_without_a_clear_id_one_by_one(spark):
         # 2,000 draws at 0.6: the mean is 1,200 with a deviation of 35.
         assert abs(len(got) - 1200) < 175, (doc, text, len(got))
         assert {r["n_copies"] for r in got} >= {1, 2, 3}
+
+
+def test_embeddings_over_many_cells_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(embedding, "PER_CELL", 16)
+    rng = np.random.default_rng(12)
+    base = rng.normal(size=(1800, 6))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    side = rng.normal(size=base.shape)
+    side -= (side * base).sum(axis=1, keepdims=True) * base
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cosine = rng.uniform(0.92, 0.95, 1800)[:, None]
+    x = np.concatenate([base, cosine * base + np.sqrt(1 - cosine**2) * side])
+    rows = [(k, row.tolist(), 1) for k, row in enumerate(x)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    assert len(embedding.fit_centres(embedding.copy_classes(embedding.usable(frame))[1])[1, 6]) >= 200
+    got = {r["vec_id"]: r["n_links"] for r in embedding.near_duplicates(frame).collect()}
+    linked = x @ x.T >= 0.93
+    np.fill_diagonal(linked, False)
+    assert linked.sum() > 2000
+    assert got == dict(enumerate(linked.sum(axis=1).tolist()))
