@@ -65,3 +65,15 @@ def test_embeddings_over_many_cells_against_brute_force(spark, monkeypatch):
     np.fill_diagonal(linked, False)
     assert linked.sum() > 2000
     assert got == dict(enumerate(linked.sum(axis=1).tolist()))
+
+
+def test_pipeline_keeps_every_text_of_an_id_and_compares_null_ids(spark, tmp_path):
+    import corpus_pipeline
+
+    words = [" ".join(f"{name}{k}" for k in range(40)) for name in "abcde"]
+    rows = [(1, words[0]), (2, words[0] + " end"), (2, words[1]), (2, words[1]), (3, words[2]), (None, words[2]), (None, words[3]), (None, words[3]), (4, words[4])]
+    frame = spark.createDataFrame([(k, t, "en", "src0", len(t)) for k, t in rows], SCHEMA)
+    for n in (1, 5):
+        got = corpus_pipeline.near_duplicates(spark, frame.repartition(n), str(tmp_path)).collect()
+        want = {(1, words[0]), (2, words[1]), (3, words[2]), (None, words[3]), (4, words[4])}
+        assert len(got) == len(want) and {(r["doc_id"], r["text"]) for r in got} == want
