@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from patronage.llm import chat, embedding, jaccard, language, mixing, packing, quality, sharding, substring
+from patronage.llm import chat, embedding, jaccard, language, mixing, packing, prefix_bpe, quality, sharding, substring
 from patronage.llm.features import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -203,3 +203,13 @@ kept AS (
 SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(len(w.w) - coalesce(kept.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
 FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
 """
+
+
+@query
+def op13_prefix_bpe(spark, d):
+    """Ids of all documents by prefix tables over the rank file, and the texts that the ids stand for."""
+    import public_tokenizers
+
+    ranks = prefix_bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    out = prefix_bpe.encode_documents(table(spark, d, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
