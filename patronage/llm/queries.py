@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from patronage.llm import chat, embedding, jaccard, language, mixing, packing, prefix_bpe, quality, sharding, substring
+from patronage.llm import chat, embedding, jaccard, language, mixing, packing, prefix_bpe, quality, sharding, substring, whitening
 from patronage.llm.features import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -213,3 +213,10 @@ def op13_prefix_bpe(spark, d):
     ranks = prefix_bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     out = prefix_bpe.encode_documents(table(spark, d, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op12_embedding_whitening(spark, d):
+    """The four leading components of all embeddings, whitened."""
+    vectors = table(spark, d, "embeddings")
+    return whitening.whitened_components(vectors, whitening.fit_whitening(vectors, 4))
