@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from patronage.llm import chat, embedding, jaccard, language, mixing, packing, prefix_bpe, quality, sharding, substring, whitening
+from patronage.llm import chat, divergence, embedding, jaccard, language, mixing, packing, prefix_bpe, quality, sharding, substring, whitening
 from patronage.llm.features import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -220,3 +220,40 @@ def op12_embedding_whitening(spark, d):
     """The four leading components of all embeddings, whitened."""
     vectors = table(spark, d, "embeddings")
     return whitening.whitened_components(vectors, whitening.fit_whitening(vectors, 4))
+
+
+@query
+def op11_source_divergence(spark, d):
+    """Each two sources of a language by how far their words lie apart, and the words that mark each source."""
+    return divergence.audit_sources(table(spark, d, "documents"), 200)
+
+
+ORACLES["op11_source_divergence"] = r"""
+WITH d AS (SELECT row_number() OVER () AS doc, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+t AS (
+  SELECT doc, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM d
+),
+kept AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT doc) >= 3),
+cnt AS (SELECT t.lang, t.source, t.term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+grp AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+size AS (
+  SELECT g.lang, g.source, coalesce((SELECT sum(n) FROM cnt c WHERE c.lang = g.lang AND c.source = g.source), 0) + coalesce(v.v, 0) AS size
+  FROM grp g LEFT JOIN v ON v.lang = g.lang
+),
+p AS (
+  SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // s.size AS p,
+    1 + (1000000000::HUGEINT * (k.n + 1)) // (v.n + v.v) AS q
+  FROM size s JOIN kept k ON k.lang = s.lang JOIN v ON v.lang = s.lang
+  LEFT JOIN cnt c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+),
+term AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR r <= 200
+"""
