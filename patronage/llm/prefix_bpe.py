@@ -23,7 +23,8 @@ result column (whatever their case) are replaced.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+import struct
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,9 @@ from pyspark.sql import DataFrame, types as T
 
 from patronage.llm.words import slices
 
-KEPT_PIECES, KEPT_BYTES, KEPT_PAIRS = 300_000, 64, 500_000  # entries of a task's tables
+KEPT_PIECES, KEPT_PAIRS = 400_000, 500_000  # entries of a task's tables
+_SLICE = 1 << 21  # bytes of text encoded together (or one text, if that is longer)
+KEPT_LETTERS = 64  # longer pieces are not kept
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -46,7 +49,8 @@ class Vocabulary:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.longest = max(map(len, ranks), default=0)
+        self.sizes = {rank: len(token) for token, rank in ranks.items()}
+        self.longest = max(self.sizes.values(), default=0)
         # Every end of a token: its rank where it is a token itself, else -1.
         self._ends = {token[k:]: -1 for token in ranks for k in range(1, len(token))} | ranks
         self._alone: dict[int, bool] = {}
@@ -84,22 +88,27 @@ class Vocabulary:
         known = self._pairs[left << 32 | right] = self.merged(self.tokens[left] + self.tokens[right]) == [left, right]
         return known
 
-    def last_token(self, data: bytes, last: list[int], end: int) -> int:
-        """The valid last token of data[:end], given those of all shorter prefixes."""
+    def extend(self, data: bytes, last: list[int], upto: int) -> None:
+        """Add the valid last tokens of the prefixes of data, from the first that `last` lacks to that of `upto` bytes."""
         ends, pairs = self._ends.get, self._pairs.get
-        for begin in range(end - 1, -1, -1):
-            token = ends(data[begin:end])
-            if token is None:
-                break
-            if token < 0:
-                continue
-            if begin:
-                known = pairs(last[begin - 1] << 32 | token)
-                if self.follows(last[begin - 1], token) if known is None else known:
-                    return token
-            elif self.stands(token):
-                return token
-        raise ValueError(f"no token ends with byte {data[end - 1]}: the vocabulary lacks single bytes")
+        for end in range(len(last) + 1, upto + 1):
+            for begin in range(end - 1, -1, -1):
+                token = ends(data[begin:end])
+                if token is None:
+                    raise ValueError(f"no token ends with byte {data[end - 1]}: the vocabulary lacks single bytes")
+                if token < 0:
+                    continue
+                if begin:
+                    known = pairs(last[begin - 1] << 32 | token)
+                    if known is None:
+                        known = self.follows(last[begin - 1], token)
+                else:
+                    known = self.stands(token)
+                if known:
+                    last.append(token)
+                    break
+            else:
+                raise ValueError(f"no token ends with byte {data[end - 1]}: the vocabulary lacks single bytes")
 
 
 class Prefixes:
@@ -111,9 +120,19 @@ class Prefixes:
 
     def append(self, data: bytes) -> None:
         """Add bytes at the end; no entry changes."""
-        begin, self.data = len(self.data), self.data + data
-        for end in range(begin + 1, len(self.data) + 1):
-            self.last.append(self._vocabulary.last_token(self.data, self.last, end))
+        self.data += data
+        self._vocabulary.extend(self.data, self.last, len(self.data))
+
+    def become(self, data: bytes) -> None:
+        """Hold other bytes; the entries of the prefix they share with the present ones stay."""
+        same = 0
+        for a, b in zip(self.data, data, strict=False):
+            if a != b:
+                break
+            same += 1
+        self.data = data
+        del self.last[same:]
+        self._vocabulary.extend(data, self.last, len(data))
 
     def replace(self, begin: int, end: int, data: bytes) -> int:
         """Put `data` in place of the bytes [begin, end); gives the number of entries computed."""
@@ -122,7 +141,7 @@ class Prefixes:
         self.last, agree, computed = old[:begin], 0, 0
         while len(self.last) < len(self.data) and agree < self._vocabulary.longest:
             at = len(self.last)
-            self.last.append(self._vocabulary.last_token(self.data, self.last, at + 1))
+            self._vocabulary.extend(self.data, self.last, at + 1)
             computed += 1
             # Agreeing tokens must lie behind the edit and follow tokens that agree.
             agree = agree + 1 if at >= begin + len(data) and self.last[at] == old[at - shift] else 0
@@ -130,17 +149,14 @@ class Prefixes:
         return computed
 
     def ids(self) -> list[int]:
-        out, end = [], len(self.data)
+        """The encoding, found by walking back from the end."""
+        out, end, sizes = [], len(self.data), self._vocabulary.sizes
         while end:
-            out.append(self.last[end - 1])
-            end -= len(self._vocabulary.tokens[out[-1]])
+            token = self.last[end - 1]
+            out.append(token)
+            end -= sizes[token]
         return out[::-1]
 
-    def piece_ids(self) -> list[int]:
-        """Ids of the bytes as one piece: a piece in the vocabulary is one token."""
-        whole = self._vocabulary.ranks.get(self.data)
-        return self.ids() if whole is None else [whole]
-
 
 class Encoder:
     """Encodes texts piece by piece; one per task."""
@@ -156,19 +172,34 @@ class Encoder:
     def pieces(self, text: str) -> list[str]:
         return self._pieces(text)
 
-    def encode_piece(self, piece: str) -> bytes:
-        data = piece.encode()
-        ids = np.array(Prefixes(self.vocabulary, data).piece_ids(), "<u4").tobytes()
-        if len(data) <= KEPT_BYTES:
-            if len(self._known) >= KEPT_PIECES:
-                self._known.clear()
-            self._known[piece] = ids
-        return ids
+    def encode_pieces(self, pieces: Iterable[str]) -> dict[str, bytes]:
+        """Ids of pieces, in their order, so that neighbours share the entries of their common prefix.
 
-    def encode(self, text: str) -> bytes:
-        """Ids of a text, little-endian unsigned 32 bits each."""
-        known = self._known.get
-        return b"".join([known(p) or self.encode_piece(p) for p in self._pieces(text)])
+        A piece that is in the vocabulary is one token.
+        """
+        out, table, ranks = {}, Prefixes(self.vocabulary), self.vocabulary.ranks
+        for piece in sorted(pieces):
+            data = piece.encode()
+            whole = ranks.get(data)
+            if whole is None:
+                table.become(data)
+            found = table.ids() if whole is None else [whole]
+            out[piece] = struct.pack(f"<{len(found)}I", *found)
+        return out
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, little-endian unsigned 32 bits each."""
+        pieces = [self._pieces(text) for text in texts]
+        each = set().union(*pieces)
+        new = each.difference(self._known)
+        if len(self._known) + len(new) > KEPT_PIECES:  # begin anew, with those of the present texts
+            self._known, new = {}, each
+        self._known.update(self.encode_pieces(new))
+        ids = self._known.__getitem__
+        out = [b"".join(map(ids, own)) for own in pieces]
+        for piece in [p for p in new if len(p) > KEPT_LETTERS]:
+            del self._known[piece]
+        return out
 
     def decode(self, ids: bytes) -> bytes:
         """Bytes of ids as `encode` gives them."""
@@ -218,7 +249,7 @@ class TextIds:
             if place >= begin - at + len(text) and place in ends:
                 keep = ends[place]
                 break
-            fresh.append((piece, self._encoder.encode_piece(piece)))
+            fresh.append((piece, self._encoder.encode_pieces([piece])[piece]))
             place += len(piece)
         self._parts[first:] = fresh + rest[keep:]
         return len(fresh)
@@ -235,9 +266,9 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value, pattern)
         for batch in batches:
-            for lo, to, data, starts in slices(batch.column(at)):
+            for lo, to, data, starts in slices(batch.column(at), _SLICE):
                 raw, cuts = data.tobytes(), starts.tolist()
-                ids = [encoder.encode(raw[a:b].decode("utf-8", "replace")) for a, b in zip(cuts, cuts[1:], strict=False)]
+                ids = encoder.encode([raw[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:], strict=False)])
                 texts = [encoder.decode(i) for i in ids]
                 columns = [pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(texts, pa.binary())]
                 yield pa.RecordBatch.from_arrays([*batch.slice(lo, to - lo).columns, *columns], names=schema.names)

@@ -37,7 +37,7 @@ def some_text(rng, n):
 def test_texts_equal_the_library(encoder, library):
     rng = random.Random(3)
     for text in ODD + [some_text(rng, rng.randint(1, 60)) for _ in range(400)]:
-        ids = encoder.encode(text)
+        (ids,) = encoder.encode([text])
         assert [int.from_bytes(ids[k : k + 4], "little") for k in range(0, len(ids), 4)] == library.encode_ordinary(text), text
         assert encoder.decode(ids) == text.encode()
 
@@ -51,6 +51,16 @@ def test_prefixes_hold_the_encoding_of_every_prefix(encoder):
         assert table.ids() == v.merged(data[: k + 1])
 
 
+def test_tables_of_texts_are_bounded(encoder, library, monkeypatch):
+    monkeypatch.setattr(prefix_bpe, "KEPT_PIECES", 50)
+    monkeypatch.setattr(prefix_bpe, "KEPT_PAIRS", 20)
+    rng = random.Random(8)
+    for _ in range(20):
+        texts = [some_text(rng, 30) for _ in range(5)] + ["é" * 90]
+        for text, ids in zip(texts, encoder.encode(texts), strict=True):
+            assert [int.from_bytes(ids[k : k + 4], "little") for k in range(0, len(ids), 4)] == library.encode_ordinary(text)
+
+
 def test_edits_of_a_piece_compute_few_entries(encoder):
     rng, v = random.Random(5), encoder.vocabulary
     table = prefix_bpe.Prefixes(v, bytes(rng.choice(b"abcdetion") for _ in range(3000)))
@@ -91,7 +101,7 @@ def test_a_vocabulary_with_unreachable_tokens():
     encoder = prefix_bpe.Encoder(ranks, public.PATTERN)
     rng = random.Random(7)
     for text in ["xyz", "xyza", "abcd", "bcd"] + ["".join(rng.choice("abcdxyz ") for _ in range(30)) for _ in range(300)]:
-        ids = encoder.encode(text)
+        (ids,) = encoder.encode([text])
         assert [int.from_bytes(ids[k : k + 4], "little") for k in range(0, len(ids), 4)] == library.encode_ordinary(text), text
 
 
