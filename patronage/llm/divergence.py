@@ -42,20 +42,20 @@ WHOLE = 1_000_000_000  # the sum of a group's shares, about
 _DIGITS = 1000  # WHOLE = _DIGITS ** 3: shares are divided out in three steps, none of which overflows
 _NO_TERM = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 SALTS = 64  # parts of a group whose skybands are merged first
-PART_CELLS = 1 << 21  # terms times sources of a language that a task compares
+PART_CELLS = 1 << 18  # terms times sources of a language that a task compares
 _SLICE = 1 << 21  # bytes of text whose terms are found at once (or one text, if that is longer)
-_KEPT_ROWS = 1 << 17  # combined counts a task holds before it passes them on
+_KEPT_ROWS = 1 << 19  # combined counts a task holds before it passes them on
 _CELLS = 1 << 18  # terms times sources compared at once
 _BLOCK = 512  # terms tested against a skyband at once
 
 
-def _terms(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+def _terms(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     """The terms of every text end to end, and the text each lies in."""
     clean = pc.ascii_lower(pc.replace_substring_regex(texts, _NO_TERM, " "))
     lists = pc.split_pattern(clean, " ")
     flat, owner = lists.flatten(), pc.list_parent_indices(lists)
     some = pc.greater(pc.binary_length(flat), 0)
-    return flat.filter(some), owner.filter(some).to_numpy()
+    return flat.filter(some).dictionary_encode(), owner.filter(some).to_numpy()
 
 
 def _combined(parts: list[pa.Table]) -> pa.Table:
@@ -71,9 +71,10 @@ def term_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for lo, to, data, starts in slices(batch["text"], _SLICE):
                 terms, owner = _terms(pa.LargeStringArray.from_buffers(to - lo, pa.py_buffer(starts.tobytes()), pa.py_buffer(data.tobytes())))
-                in_docs = pa.table({"doc": owner, "term": terms}).group_by(["doc", "term"]).aggregate([([], "count_all")])
+                in_docs = pa.table({"doc": owner, "term": terms.indices}).group_by(["doc", "term"]).aggregate([([], "count_all")])
                 place = pc.add(in_docs["doc"].cast(pa.int64()), lo)
-                rows = {"lang": batch["lang"].take(place), "source": batch["source"].take(place), "term": in_docs["term"].cast(pa.string())}
+                names = terms.dictionary.cast(pa.string()).take(in_docs["term"])
+                rows = {"lang": batch["lang"].take(place), "source": batch["source"].take(place), "term": names}
                 held.append(_combined([pa.table(rows | {"n": in_docs["count_all"], "docs": pa.array(np.ones(len(place), np.int64))})]))
                 if sum(t.num_rows for t in held) > _KEPT_ROWS:
                     held = [_combined(held)]
