@@ -44,7 +44,7 @@ def rows(columns, values):
     return [columns[i] for i in order], sorted(out, key=repr)
 
 
-TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 def type_difference(spark_df, con, sql) -> str | None:
