@@ -51,7 +51,7 @@ def pivot_top(ranked: DataFrame, user: str, depth: int, top: int) -> DataFrame:
     return ranked.groupBy(user).agg(*slots)
 
 
-def _power(depth1: DataFrame, depth2: DataFrame, user: str, as_of: date | str) -> DataFrame:
+def category_power(depth1: DataFrame, depth2: DataFrame, user: str, as_of: date | str) -> DataFrame:
     top3 = pivot_top(rank_interest(interest_shares(depth1, user, as_of), user, 3), user, 1, 3)
     top6 = pivot_top(rank_interest(interest_shares(depth2, user, as_of), user, 6), user, 2, 6)
     return top3.join(top6, user, "left")
@@ -88,6 +88,11 @@ def affiliate_depth2(days: DataFrame) -> DataFrame:
     stats = days.groupBy("user_id", "depth1", "depth2").agg(
         F.max("event_dt").alias("latest_dt"), F.countDistinct("event_dt").alias("order_count")
     )
+    return affiliate_labels(stats)
+
+
+def affiliate_labels(stats: DataFrame) -> DataFrame:
+    """stats by (user_id, depth1, depth2) with their label."""
     # Trimmed here, as the affiliate rule trims the sub-category itself.
     label = nested_label(F.col("depth1"), F.trim("depth2"))
     return stats.select("user_id", label.alias("label"), "latest_dt", "order_count")
@@ -95,7 +100,7 @@ def affiliate_depth2(days: DataFrame) -> DataFrame:
 
 def category_power_affiliate(src: Sources, start: date | str, as_of: date | str, names: DataFrame | None = None) -> DataFrame:
     days = affiliate_category_days(src, start, as_of, names)
-    return _power(affiliate_depth1(days), affiliate_depth2(days), "user_id", as_of)
+    return category_power(affiliate_depth1(days), affiliate_depth2(days), "user_id", as_of)
 
 
 # --- mall --------------------------------------------------------------------
@@ -122,11 +127,12 @@ def mall_category_days(src: Sources, start: date | str, as_of: date | str) -> Da
     Only days and names are aggregated further on, so both sides are reduced to
     distinct rows first.
     """
-    bought = (
-        src.mall_orders.where(F.col("order_dt").between(day(start), day(as_of)))
-        .select("member_no", "order_dt", "category_no")
-        .distinct()
-    )
+    return category_days_of(src, src.mall_orders.where(F.col("order_dt").between(day(start), day(as_of))))
+
+
+def category_days_of(src: Sources, orders: DataFrame) -> DataFrame:
+    """`mall_category_days` of the given orders."""
+    bought = orders.select("member_no", "order_dt", "category_no").distinct()
     names = category_by_code(src.mall_categories).select(
         "category_no",
         "depth1_category_no",
@@ -149,13 +155,23 @@ def mall_depth2(days: DataFrame) -> DataFrame:
     stats = days.where(has_label(F.col("depth1"))).groupBy("member_no", "depth1", "depth2").agg(
         F.max("order_dt").alias("latest_dt"), F.countDistinct("order_dt").alias("order_count")
     )
+    return mall_labels(stats)
+
+
+def mall_labels(stats: DataFrame) -> DataFrame:
+    """stats by (member_no, depth1, depth2) with their label."""
     label = nested_label(F.col("depth1"), F.col("depth2"))
     return stats.select("member_no", label.alias("label"), "latest_dt", "order_count")
 
 
 def category_power_mall(src: Sources, start: date | str, as_of: date | str) -> DataFrame:
     days = mall_category_days(src, start, as_of)
-    power = _power(mall_depth1(days), mall_depth2(days), "member_no", as_of)
+    return mall_power(src, mall_depth1(days), mall_depth2(days), as_of)
+
+
+def mall_power(src: Sources, depth1: DataFrame, depth2: DataFrame, as_of: date | str) -> DataFrame:
+    """Category power of the members' users from both levels' statistics by member."""
+    power = category_power(depth1, depth2, "member_no", as_of)
     people = src.mall_members.select("member_no", F.col("wk_id").alias("user_id"))
     cols = [c for c in power.columns if c != "member_no"]
     return power.join(people, "member_no", "left").select("user_id", *cols)

@@ -86,6 +86,20 @@ def net_orders(orders: DataFrame, refunds: DataFrame, floor: bool = True, sum_re
     )
 
 
+def rolled_events(events: DataFrame, by_name: bool = False, share: float = labels.COMMISSION_SHARE, with_name: bool = False) -> DataFrame:
+    """Revenue of orders and refunds per (day, user, transaction, entry, action, kind), in one scan."""
+    both = events.where(F.col("event_category").isin(labels.ORDER_COMPLETE, labels.ORDER_CANCEL))
+    if by_name:
+        # Refunds are rounded without regard to the name.
+        both = both.withColumn("name", F.when(F.col("event_category") == labels.ORDER_COMPLETE, F.col("name")))
+    named = [F.min("name").alias("name")] if by_name or with_name else []
+    return (
+        _per_second(both, share, by_name, with_name)
+        .groupBy("event_dt", "user_id", "transaction_id", "event_label", "event_action", "event_category")
+        .agg(*named, F.sum("revenue").alias("revenue"))
+    )
+
+
 def _matched_refunds(events: DataFrame, by_name: bool, share: float, with_name: bool = False) -> DataFrame:
     """The rolled-up orders with `refunds`, the (day, revenue) of the cancels of the same user and transaction.
 
@@ -94,15 +108,7 @@ def _matched_refunds(events: DataFrame, by_name: bool, share: float, with_name:
     day, action and kind, whatever the number of events.
     """
     is_order = F.col("event_category") == labels.ORDER_COMPLETE
-    both = events.where(F.col("event_category").isin(labels.ORDER_COMPLETE, labels.ORDER_CANCEL))
-    if by_name:
-        # Refunds are rounded without regard to the name.
-        both = both.withColumn("name", F.when(is_order, F.col("name")))
-    rolled = _per_second(both, share, by_name, with_name).groupBy(
-        "event_dt", "user_id", "transaction_id", "event_label", "event_action", "event_category"
-    )
-    named = [F.min("name").alias("name")] if by_name or with_name else []
-    rolled = rolled.agg(*named, F.sum("revenue").alias("revenue"))
+    rolled = rolled_events(events, by_name, share, with_name)
     # A null transaction matches nothing.
     refund = F.when(~is_order & F.col("transaction_id").isNotNull(), F.struct("event_dt", "revenue"))
     refunds = F.collect_list(refund).over(Window.partitionBy("user_id", "transaction_id"))

@@ -38,6 +38,11 @@ def member_activity(members: DataFrame, purchases: DataFrame, as_of: date | str)
             F.lit(True).alias("bought"),
         )
     )
+    return members_with_activity(members, activity, as_of)
+
+
+def members_with_activity(members: DataFrame, activity: DataFrame, as_of: date | str) -> DataFrame:
+    """Members beside activity(user_id, last_dt, frequency, monetary, bought) as of a date."""
     return (
         members.join(activity, "user_id", "left")
         .where(F.col("bought").isNull() | (F.col("frequency") > 0))
@@ -63,20 +68,23 @@ def rfm_affiliate(src: Sources, start: date | str, as_of: date | str, purchases:
     return member_activity(src.app_members, purchases, as_of).where(F.col("monetary") > 0)
 
 
-def _refund_counts(orders: DataFrame, refunds: DataFrame, as_of: date | str, within_days: int) -> DataFrame:
+def _days_of(orders: DataFrame, count: str) -> DataFrame:
+    """Orders per (member, day); those without a member meet nothing and are left out."""
+    return orders.where("member_no IS NOT NULL").groupBy("member_no", "order_dt").agg(F.count(F.lit(1)).alias(count))
+
+
+def _refund_counts(order_days: DataFrame, refund_days: DataFrame, as_of: date | str, within_days: int) -> DataFrame:
     """Per (member, order day): refunds of the member, and those that hit the day.
 
     A refund hits an order when it comes at most `within_days` after it (or at any
     time before) and not after `as_of`.  Order days, moved to their deadline, and
     refund days are put on one time line per member and the refunds are summed up
     along it, so no order x refund pairs are formed.  Both sides hold one row per
-    calendar day and member.  Orders without a member meet no refund and are left out.
+    calendar day and member: order_days(member_no, order_dt), refund_days(.., refunds).
     """
-    order_days = orders.where("member_no IS NOT NULL").groupBy("member_no", "order_dt").agg(F.count(F.lit(1)).alias("orders"))
-    refund_days = refunds.where("member_no IS NOT NULL").groupBy("member_no", F.col("order_dt").alias("at")).agg(F.count(F.lit(1)).alias("refunds"))
     deadline = F.least(F.date_add("order_dt", within_days), day(as_of))
     marks = order_days.select("member_no", deadline.alias("at"), "order_dt", F.lit(0).cast("bigint").alias("refunds")).unionByName(
-        refund_days.select("member_no", "at", F.lit(None).cast("date").alias("order_dt"), "refunds")
+        refund_days.select("member_no", F.col("order_dt").alias("at"), F.lit(None).cast("date").alias("order_dt"), "refunds")
     )
     so_far = Window.partitionBy("member_no").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     return (
@@ -97,7 +105,7 @@ def refund_flags(
     within_days: int = labels.REFUND_WINDOW_DAYS,
 ) -> DataFrame:
     """Orders with the number of refunds that hit them and whether any does."""
-    counts = _refund_counts(orders, refunds, as_of, within_days)
+    counts = _refund_counts(_days_of(orders, "orders"), _days_of(refunds, "refunds"), as_of, within_days)
     met = left_join_nullable(orders, counts, "member_no", ["order_no"], also=("order_dt",))
     none = F.lit(0).cast("bigint")
     return met.withColumns({"hits": F.coalesce("hits", none), "refunds": F.coalesce("refunds", none)}).withColumn("is_refunded", F.col("hits") > 0)
@@ -127,7 +135,20 @@ def rfm_mall(
         F.sum(rate).alias("rate_sum"),
         F.count(rate).alias("rate_n"),
     )
-    counts = _refund_counts(orders, refunds, as_of, within_days)
+    return mall_profile(src, per_day, _days_of(orders, "orders"), _days_of(refunds, "refunds"), as_of, fan_out, within_days)
+
+
+def mall_profile(
+    src: Sources,
+    per_day: DataFrame,
+    order_days: DataFrame,
+    refund_days: DataFrame,
+    as_of: date | str,
+    fan_out: bool = True,
+    within_days: int = labels.REFUND_WINDOW_DAYS,
+) -> DataFrame:
+    """Mall RFM per member from per_day(member_no, order_dt, n, amt, rate_sum, rate_n) and the days of orders and refunds."""
+    counts = _refund_counts(order_days, refund_days, as_of, within_days)
     if fan_out:
         copies = F.greatest(F.col("refunds"), F.lit(1))
         lost = F.col("hits")

@@ -193,7 +193,8 @@ WHERE cc.event_dt IS NULL OR cc.event_dt <= DATE '{as_of}' GROUP BY up.user_id,
 # --- mall RFM --------------------------------------------------------------------
 
 
-def mall_rfm_ctes(p: str, as_of: str) -> None:
+def mall_rfm_ctes(p: str, as_of: str, known: str = "TRUE") -> None:
+    """known: which refunds the date knows of."""
     CTES[f"{p}_valid"] = f"""
 SELECT o.order_no, o.order_dt, o.member_no, m.wk_id AS user_id, a.join_dt, a.total_accumulate_cash, a.current_cash, a.platform,
   m.gender, m.birth_year, o.commission_rate, o.first_pay_amt, o.order_status_type
@@ -203,7 +204,7 @@ WHERE o.order_status_type IN ({listed(labels.MALL_VALID_STATUSES)})
     CTES[f"{p}_checked"] = f"""
 SELECT v.*, r.order_no AS refund_no,
   coalesce(r.order_dt <= least(v.order_dt + {labels.REFUND_WINDOW_DAYS}, DATE '{as_of}'), FALSE) AS is_refunded
-FROM {p}_valid v LEFT JOIN (SELECT * FROM src_mall_orders WHERE order_status_type IN ({listed(labels.MALL_REFUND_STATUSES)})) r
+FROM {p}_valid v LEFT JOIN (SELECT * FROM src_mall_orders WHERE {known} AND order_status_type IN ({listed(labels.MALL_REFUND_STATUSES)})) r
   ON v.member_no = r.member_no"""
     CTES[f"{p}_once"] = f"""
 SELECT * EXCLUDE (is_refunded, refund_no), bool_or(is_refunded) AS is_refunded FROM {p}_checked GROUP BY ALL"""
@@ -525,13 +526,13 @@ SELECT user_id, gender, age_group, join_group, platform, terms_agree_yn, first_o
 FROM {p}_scored_mall WHERE user_id IS NOT NULL"""
 
 
-def chain(p: str, as_of: str) -> None:
+def chain(p: str, as_of: str, known: str = "TRUE") -> None:
     affiliate_ctes(f"{p}_fl", START, as_of, START, True)
     affiliate_ctes(f"{p}_log", START, as_of, PARTNER_CHURN_START, False)
     CTES[f"{p}_all_named"] = f"SELECT * FROM {p}_fl_all_named"
     activity_cte(p, f"{p}_fl_all", as_of)
     CTES[f"{p}_arfm"] = f"SELECT * FROM {p}_activity WHERE monetary > 0"
-    mall_rfm_ctes(p, as_of)
+    mall_rfm_ctes(p, as_of, known)
     category_ctes(p, as_of)
     CTES[f"{p}_adays"] = f"SELECT DISTINCT user_id, event_dt AS order_dt FROM {p}_log_all"
     CTES[f"{p}_mdays"] = f"""
@@ -992,3 +993,28 @@ FROM s{i}_activity WHERE round(monetary, 6) > 0"""
         for i in range(len(_DATES))
     ),
 )
+
+
+# The rules of the whole chain, applied to each date by itself; no date knows refunds that come after it.
+_CHAIN_DATES = ["2001-07-28", "2001-07-29", "2001-07-30", "2001-07-31", AS_OF]
+_CYCLES = """days_since_last_purchase, current_trailing_term, prev_trailing_term, cycle_stddev, round(modified_zscore, 6) AS modified_zscore, churn_flag,
+  round(survival_prob, 6) AS survival_prob, cycle_length, risk_level"""
+_RANKS = "ranking_1_1, power_1_1, ranking_1_3, ranking_2_1, power_2_1, ranking_2_6"
+for _i, _dt in enumerate(_CHAIN_DATES):
+    chain(f"g{_i}", _dt, f"order_dt <= DATE '{_dt}'")
+
+
+def _chain_rows(p: str, on: str, track: str, rfm: str, power: str, cycles: str) -> str:
+    return f"""SELECT '{on}' AS snapshot_dt, '{track}' AS track, user_id, recency, frequency, round(monetary, 4) AS monetary, {_RANKS}, {_CYCLES}
+FROM (SELECT * FROM {p}_{rfm} WHERE user_id IS NOT NULL) FULL JOIN (SELECT * FROM {p}_{power} WHERE user_id IS NOT NULL) USING (user_id)
+FULL JOIN (SELECT * FROM {p}_{cycles} WHERE user_id IS NOT NULL) USING (user_id)"""
+
+
+oracle(
+    "chain_series",
+    " UNION ALL ".join(
+        _chain_rows(f"g{i}", dt, *track)
+        for i, dt in enumerate(_CHAIN_DATES)
+        for track in (("affiliate", "arfm", "power", "sa_table"), ("mall", "rfm", "mpower", "sm_table"))
+    ),
+)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import fields
+from functools import reduce
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -13,6 +15,7 @@ from patronage.functions import scalars as sc
 from patronage.functions.joins import left_join_nullable
 from patronage.functions.stages import cut, new_path, shared_folder
 from patronage.operators import category, history, profile, revenue, rfm, scoring, segments, study, survival
+from patronage.plans.series import ChainStore, chain_rows
 from patronage.plans.snapshot import TRACKS, Snapshot, Window, run_series
 from patronage.sources import readers
 from patronage.sources.schemas import Sources, history_schema
@@ -23,6 +26,7 @@ PARTNER_CHURN_START = "1996-01-01"
 # Earlier date for the queries that compare two.
 EARLIER = "2001-06-30"
 SERIES = ("2001-07-26", ORDERS_AS_OF)
+CHAIN_DATES = ("2001-07-28", "2001-07-29", "2001-07-30", "2001-07-31", ORDERS_AS_OF)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -854,3 +858,16 @@ def snapshot_series(spark, d):
     members = src.app_members.select("user_id")
     changes = revenue.purchase_changes(src, ORDERS_START, last)
     return present(segments.rfm_series(changes.join(members, "user_id", "left_semi"), first, last), places=4)
+
+
+@query
+def chain_series(spark, d):
+    """RFM, categories and cycles of both channels on each of five dates, from a state that is advanced day by day."""
+    src = _src(spark, d)
+    states = ChainStore(spark, new_path(spark, "chain"), ORDERS_START, PARTNER_CHURN_START)
+    for on in CHAIN_DATES:
+        states.advance(src, on)
+    snaps = [states.snapshot(src, on) for on in CHAIN_DATES]
+    with ThreadPoolExecutor(len(snaps)) as pool:
+        parts = list(pool.map(lambda snap: [chain_rows(snap, track) for track in TRACKS], snaps))
+    return present(reduce(DataFrame.unionByName, [rows for part in parts for rows in part]), monetary=4)

@@ -68,6 +68,12 @@ def _fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a stored folder."""
+    fs, place = _fs(spark, path)
+    fs.delete(place, True)
+
+
 def folders(spark: SparkSession, path: str, key: str, complete: bool = False) -> list[str]:
     """The values of the `key=value` folders under a path, or of those a write has completed."""
     fs, root = _fs(spark, path)
@@ -98,8 +104,7 @@ def write_version(df: DataFrame, path: str, keep: int | None = None) -> str:
     new = f"{path}/version={(before[-1] if before else -1) + 1}"
     df.write.mode("overwrite").parquet(new)
     for old in before[: max(0, len(before) + 1 - keep)] if keep else []:
-        fs, place = _fs(spark, f"{path}/version={old}")
-        fs.delete(place, True)
+        remove(spark, f"{path}/version={old}")
     return new
 
 
