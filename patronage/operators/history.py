@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from patronage.functions.scalars import day
 from patronage.sources.readers import folders, history_versions, write_version
 from patronage.sources.schemas import CATEGORY_SNAPSHOT, score_snapshot, slow_columns
+from patronage.sources.store import BucketedTable
 
 _SUFFIX = {"affiliate": "byshop", "mall": "shop"}
 
@@ -85,6 +86,12 @@ def upsert_history(history: DataFrame, scored: DataFrame, track: str) -> DataFra
     )
 
 
+def upsert_bucketed(history: BucketedTable, scored: DataFrame, track: str, keep: int | None = None) -> list[int]:
+    """`upsert_history` on a bucketed history: only the buckets of the snapshot's users are read and written; gives these."""
+    known = scored.where(F.col("user_id").isNotNull())
+    return history.upsert(known, lambda rows, snap: upsert_history(rows, snap, track), keep)
+
+
 def history_at(history: DataFrame, on: date | str, array: str = "score_history") -> DataFrame:
     """The records of one date, beside the slow attributes."""
     keep = [c for c in history.columns if not c.endswith("_history")]

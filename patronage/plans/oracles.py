@@ -571,6 +571,11 @@ oracle(
     "order_window_scan",
     "SELECT * REPLACE (CAST(event_dt AS VARCHAR) AS event_dt, strftime(event_dttm, '%Y-%m-%d') AS event_dttm) FROM c_fl_win",
 )
+oracle(
+    "order_window_stored",
+    """SELECT * REPLACE (CAST(event_dt AS VARCHAR) AS event_dt, strftime(event_dttm, '%Y-%m-%d') AS event_dttm) FROM c_fl_win
+WHERE event_dt BETWEEN DATE '2001-05-15' AND DATE '2001-07-20'""",
+)
 oracle(
     "order_entry_label",
     f"SELECT event_action, {_ENTRY} AS entry, count(*) AS n, round(sum(price), 2) AS price FROM src_events GROUP BY 1, 2",
@@ -747,6 +752,7 @@ oracle(
   CAST(b.snapshot_dt AS VARCHAR) AS snapshot_dt, b.total_score, b.grade, b.r_data, b.f_data, b.m_data
 FROM both_dates b JOIN latest_slow s ON b.user_id = s.user_id""",
 )
+ORACLES["history_upsert_bucketed"] = ORACLES["history_upsert"]
 oracle(
     "history_pack_affiliate",
     show(

@@ -19,6 +19,7 @@ from patronage.plans.series import ChainStore, chain_rows
 from patronage.plans.snapshot import TRACKS, Snapshot, Window, run_series
 from patronage.sources import readers
 from patronage.sources.schemas import Sources, history_schema
+from patronage.sources.store import BucketedTable, FactTable
 from patronage.sources.star_schema import ORDERS_AS_OF, ORDERS_START, StarSchema
 
 # The partner feed enters the churn input later than the revenue.
@@ -73,6 +74,19 @@ def order_window_scan(spark, d):
     return present(readers.order_window(StarSchema(spark, d).affiliate_events, ORDERS_START, ORDERS_AS_OF))
 
 
+STORED_WINDOW = ("2001-05-15", "2001-07-20")
+
+
+@query
+def order_window_stored(spark, d):
+    """Events stored by month, those of some months written again, and the window read from its months alone."""
+    events = StarSchema(spark, d).affiliate_events
+    facts = FactTable(spark, new_path(spark, "events"), "event_dt", "month")
+    facts.write(events)
+    facts.write(events.where(F.col("event_dt").between(sc.day("2001-06-01"), sc.day("2001-06-30"))))
+    return present(readers.read_orders(facts, *STORED_WINDOW))
+
+
 @query
 def order_entry_label(spark, d):
     events = StarSchema(spark, d).affiliate_events
@@ -631,6 +645,18 @@ def history_upsert(spark, d):
     return present(_records_of(_history(spark, d, "mall", EARLIER, ORDERS_AS_OF, ORDERS_AS_OF)))
 
 
+@query
+def history_upsert_bucketed(spark, d):
+    """The history in buckets: two dates, and the later one again for one user in a hundred, which touches few buckets."""
+    table = BucketedTable(spark, new_path(spark, "history"), history_schema("mall"), "user_id", 256)
+    table.create()
+    scored = _snapshot(spark, d).scored("mall")
+    some = cut(scored.where(F.crc32(F.col("user_id").cast("binary")) % 100 == 0))
+    for snap in (_snapshot(spark, d, EARLIER).scored("mall"), scored, some):
+        history.upsert_bucketed(table, snap, "mall", keep=2)
+    return present(_records_of(table.read()))
+
+
 @query
 def history_upsert_affiliate(spark, d):
     """With the earlier date run again at the end."""

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import fields
 from datetime import date
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -12,6 +14,9 @@ from patronage.functions import labels
 from patronage.functions.scalars import day, first_of
 from patronage.sources.schemas import Sources, history_schema
 
+if TYPE_CHECKING:
+    from patronage.sources.store import FactTable
+
 
 def read_dim(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
@@ -37,9 +42,9 @@ def order_window(events: DataFrame, start: date | str, as_of: date | str) -> Dat
     )
 
 
-def read_orders(spark: SparkSession, path: str, start: date | str, as_of: date | str) -> DataFrame:
-    """Scan of a stored affiliate order table; the window reaches the Parquet scan."""
-    return order_window(spark.read.parquet(path), start, as_of)
+def read_orders(events: FactTable, start: date | str, as_of: date | str) -> DataFrame:
+    """Scan of affiliate order events stored by period: only the folders of the window are read."""
+    return order_window(events.read(start, as_of).drop("period"), start, as_of)
 
 
 def order_status() -> Column:
@@ -57,10 +62,27 @@ def mall_orders_in(
 
 
 def write_stage(df: DataFrame, store: str, name: str) -> DataFrame:
-    """Replace the stage table `name` under `store` and continue from the stored rows."""
-    path = f"{store}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Replace the stage table `name` under `store` and continue from the stored rows.
+
+    The rows are written beside the table, which stays until they are complete.
+    """
+    spark, path = df.sparkSession, f"{store}/{name}"
+    beside = f"{store}/_{uuid.uuid4().hex}"
+    df.write.parquet(f"{beside}/new")
+    fs, place = _fs(spark, path)
+    new, old = (spark._jvm.org.apache.hadoop.fs.Path(f"{beside}/{part}") for part in ("new", "old"))
+    if fs.exists(place):
+        _move(fs, place, old)
+    else:
+        fs.mkdirs(place.getParent())
+    _move(fs, new, place)
+    remove(spark, beside)
+    return spark.read.parquet(path)
+
+
+def _move(fs, place, to) -> None:
+    if not fs.rename(place, to):
+        raise OSError(f"{place} could not be moved to {to}")
 
 
 def _fs(spark: SparkSession, path: str):
