@@ -908,8 +908,8 @@ oracle(
   round(quantile_cont(p, 0.025), 6) AS optimized_low, round(quantile_cont(p, 0.975), 6) AS optimized_high, round(avg(p) - avg(o), 6) AS improvement
 FROM (SELECT rep, corr(a_score, adjusted_ltv) AS o, corr(b_score, adjusted_ltv) AS p
   FROM (SELECT adjusted_ltv, {dot(_START_W)} AS a_score, {dot(_FOUND)} AS b_score,
-      CAST('0x' || substr(md5(g), 1, 8) AS BIGINT) % {_P} AS a, CAST('0x' || substr(md5(g), 9, 8) AS BIGINT) % {_P} AS b
-    FROM (SELECT *, CAST(CAST('0x' || substr(md5(user_id), 1, 8) AS BIGINT) % {_P} % 1024 AS VARCHAR) AS g FROM parts_valued WHERE split = 'test'), found_weights),
+      CAST('0x' || substr(md5(user_id), 1, 8) AS BIGINT) % {_P} AS a, CAST('0x' || substr(md5(user_id), 9, 8) AS BIGINT) % {_P} AS b
+    FROM parts_valued, found_weights WHERE split = 'test'),
     range(1, 1001) r(rep)
   WHERE (a + b * rep) % {_P} < {int(0.8 * _P)} GROUP BY rep)""",
 )

@@ -132,14 +132,20 @@ def test_correlation_from_moments_and_search_limits(spark):
     def part(text, at):
         return int(hashlib.md5(text.encode()).hexdigest()[at : at + 8], 16) % digits
 
-    group = [str(part(u, 0) % study.DRAW_GROUPS) for u in rows.user_id]
     each = [
-        rows[[(part(g, 0) + part(g, 8) * rep) % digits < int(0.8 * digits) for g in group]] for rep in range(1, 51)
+        rows[[(part(u, 0) + part(u, 8) * rep) % digits < int(0.8 * digits) for u in rows.user_id]] for rep in range(1, 51)
     ]
     want = np.quantile([np.corrcoef(part_rows.s, part_rows.adjusted_ltv)[0, 1] for part_rows in each], [0.025, 0.975])
     assert np.allclose([boot.first().original_low, boot.first().original_high], want, atol=1e-9)
 
 
+def test_draws_are_those_of_the_rule():
+    rng, p = np.random.default_rng(1), study._HASH_PRIME
+    a, b = np.r_[rng.integers(0, p, 50), 0, p - 1, p - 1], np.r_[rng.integers(0, p, 50), p - 1, p - 1, 0]
+    got = study.draws(a, b, 1000, 0.8)
+    assert got.tolist() == [[(x + y * rep) % p < int(0.8 * p) for rep in range(1, 1001)] for x, y in zip(a.tolist(), b.tolist(), strict=True)]
+
+
 def test_run_days_checks_its_range():
     assert run_days(D(2025, 1, 30), D(2025, 2, 1), D(2024, 3, 1)) == [D(2025, 1, 30), D(2025, 1, 31), D(2025, 2, 1)]
     with pytest.raises(ValueError):
