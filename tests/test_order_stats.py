@@ -3,6 +3,7 @@ from collections import Counter
 
 from pyspark.sql import Window, functions as F
 
+from patronage.functions import order_stats
 from patronage.functions.order_stats import TileSpec, add_tiles, percentiles
 
 
@@ -64,9 +65,39 @@ def test_percentiles_equal_the_exact_aggregate(spark):
     assert by == {r.g: [round(v, 9) for v in r.x] for r in exact}
 
 
-def test_tiling_moves_no_table_into_one_task(spark):
+def test_tiling_sorts_and_stores_nothing(spark):
     df = rows(spark)
-    plan = add_tiles(df, {"t": TileSpec(F.col("x"), 10)}, "user_id")._jdf.queryExecution().executedPlan().toString()
-    windows = [line for line in plan.splitlines() if "Window [" in line]
-    # Only the counts per block are windowed.
-    assert windows and all("[sum(n#" in line for line in windows) and "ntile" not in plan
+    for out in (add_tiles(df, {"t": TileSpec(F.col("x"), 10)}, "user_id"), percentiles(df, {"x": F.col("x")}, [0.5], "user_id")):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert not any(step in plan for step in ("Window", "Exchange", "Sort", "ntile"))
+
+
+def test_large_and_skewed_keys_are_narrowed(spark, monkeypatch):
+    """Intervals larger than SMALL, one key on a third of the rows, long ids that share their first bytes, infinities."""
+    monkeypatch.setattr(order_stats, "SMALL", 20)
+    rnd = random.Random(4)
+    data = []
+    for i in range(3000):
+        key = 5.0 if i % 3 == 0 else rnd.choice([None, float("inf"), -float("inf"), -0.0, 0.0]) if i % 11 == 0 else rnd.lognormvariate(0, 3)
+        data.append((f"customer-{rnd.random():.17f}-{i:04d}", key))
+    data += [(None, 5.0), ("", 5.0), ("é", 5.0), ("customer-", 5.0)]
+    df = spark.createDataFrame(data, "user_id string, x double").repartition(4).cache()
+    x = F.col("x")
+    got = add_tiles(df, {"up": TileSpec(x, 10), "down": TileSpec(x, 9, descending=True)}, "user_id")
+    want = got.withColumns(
+        {
+            "w_up": F.ntile(10).over(Window.orderBy(F.asc_nulls_first("x"), "user_id")),
+            "w_down": F.ntile(9).over(Window.orderBy(F.desc_nulls_last("x"), "user_id")),
+        }
+    )
+    assert want.where("up != w_up OR down != w_down").collect() == []
+    probs = [0.0, 0.001, 0.333, 0.5, 0.6, 0.999]
+    finite = df.where("abs(x) < 1e300")
+    exact = finite.agg(F.percentile("x", probs).alias("x")).first().x
+    assert [round(v, 9) for v in percentiles(finite, {"x": x}, probs, "user_id").first().x] == [round(v, 9) for v in exact]
+
+
+def test_percentiles_of_nothing(spark):
+    df = rows(spark)
+    assert percentiles(df.where("x > 99"), {"x": F.col("x")}, [0.5]).first().x == [None]
+    assert percentiles(df.where("x > 99"), {"x": F.col("x")}, [0.5], by="g").collect() == []
