@@ -1,40 +1,50 @@
 """Near-duplicate vectors by randomised-rotation binary codes with error bounds.
 
-Vectors of one label are dealt to cells around centres fitted on a bounded sample
-(SAMPLE_PER_CELL vectors a cell); a vector is at home in its nearest cell and visits
-every cell whose border with it is near enough: of two linked vectors with different
-homes, one is within half their greatest distance of the plane between the two centres,
-so it visits the other's home, where the pair meets whatever the number of cells.
-In a cell, the residual of each vector from the centre is rotated at
-random and kept as sign bits with the length and the correction factor that make its
-inner products unbiased.  A pair whose upper confidence bound reaches the threshold
-is recomputed from the original components in double precision.  Rows of one label with
-the same vector form a class first, of which one stands for all and counts with its
-copies, so a large group of copies is never compared with itself.
+Every vector is rotated at random.  Stored are its sign bits with the correction factor
+that makes their inner products unbiased, its rotated entries in bytes, and the keys of
+`bands`: groups of sign bits of further rotations.  Vectors of one label that share the key
+of a band are compared by the stored codes alone: the estimates of their inner product, one
+from either side's bits, and the bound of their error decide which may reach the threshold.
+The original vectors are fetched for these only, and each pair is recomputed in double
+precision in the first band it shares.
+
+A pair is found if it shares a band.  Bits of vectors with cosine c agree with probability
+1 - arccos(c) / pi, so the number of bands follows from MISS, the probability that a pair at
+the threshold shares none (pairs above it are missed more rarely); the length of the keys
+grows with the largest label, so that keys hold few vectors by chance.  Tests measure the
+recall.  Rows of one label with the same vector form a class first, of which one stands for
+all and counts with its copies; keys of any size are compared block by block, and pairs
+never become rows.
 
 Defined cases: vectors that are null, zero or hold null or non-finite components, and
 rows with a null label or id, link with nothing and stand for themselves; vectors of
 different lengths are never compared; fully repeated rows are one vector, of which each
-row carries the result; rows of one id with different vectors share its links; an empty
-table gives no rows; other columns are ignored.
+row carries the result; rows of one id with different vectors share its links, and of
+several ids that tie for a component the least names it; an empty table gives no rows;
+other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from patronage.functions.stages import cut
-from patronage.llm.blocks import block_pairs, star
+from patronage.llm.blocks import block_pairs, star, whole_groups
 from patronage.llm.graph import components
 
-PER_CELL, SAMPLE_PER_CELL, MOST_CELLS = 256, 32, 8192
-SCORES_AT_ONCE = 1 << 22  # of vectors with centres
+MISS = 0.001  # probability that a pair exactly at the threshold shares no band
+LEAST_BITS, CROWD = 10, 3  # bits of a key: at least, and by how many fewer than the largest label's size has
 BLOCK = 1024
+PAIRS_AT_ONCE = 1 << 16
 CONFIDENCE = 4.0  # standard errors of the estimate that the bound allows
+_ROUNDING = 0.01  # of entries kept in bytes
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -46,14 +56,14 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def copy_classes(good: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The usable vectors, and their classes of copies (label, embedding, own, vec_id, weight) with the least id and the number of ids.
+    """The usable vectors, and their numbered classes of copies (label, embedding, own, vec_id, weight, no) with the least id and the number of ids.
 
     An id with several vectors is in no class with others (own is its id, else null).
     """
     several = good.groupBy("vec_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("vec_id", F.col("vec_id").alias("own"))
     rows = cut(good.join(several, "vec_id", "left"), "vectors")
     classes = rows.groupBy("label", "embedding", "own").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("weight"))
-    return rows, cut(classes, "classes")
+    return rows, cut(classes.withColumn("no", F.monotonically_increasing_id()), "classes")
 
 
 def unit(rows: list) -> np.ndarray:
@@ -63,141 +73,188 @@ def unit(rows: list) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def fit_centres(vectors: DataFrame) -> dict[tuple, np.ndarray]:
-    """Unit centres by (label, length), a few rounds of averaging over the sample."""
-    rows = vectors.select("vec_id", "label", "embedding", F.size("embedding").alias("d"))
-    total = vectors.count()
-    cells = min(MOST_CELLS, -(-total // PER_CELL))
-    sample = rows.orderBy(F.xxhash64("vec_id", "embedding")).limit(cells * SAMPLE_PER_CELL).collect()
-    by_key: dict[tuple, list] = {}
-    for r in sample:
-        by_key.setdefault((r["label"], r["d"]), []).append(r["embedding"])
-    out = {}
-    for key, found in by_key.items():
-        x = unit(found)
-        n = max(1, round(cells * len(found) / max(1, len(sample))))
-        c = x[:n].copy()
-        for _ in range(5):
-            near = (x @ c.T).argmax(axis=1)
-            for k in range(len(c)):
-                if (near == k).any():
-                    mean = x[near == k].sum(axis=0)
-                    c[k] = mean / (np.linalg.norm(mean) + 1e-12)
-        out[key] = c
-    return out
-
-
-def visited(x: np.ndarray, centres: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Home of each unit vector, and (vector, cell) of all cells it is in, its home among them."""
-    reach = np.sqrt(max(0.0, 2 - 2 * least)) / 2
-    square = (centres**2).sum(axis=1)
-    homes, rows, cells = [], [], []
-    step = max(1, SCORES_AT_ONCE // len(centres))
-    for lo in range(0, len(x), step):
-        score = x[lo : lo + step] @ centres.T
-        home = score.argmax(axis=1)
-        apart = square[home][:, None] + square[None, :] - 2 * (centres[home] @ centres.T)
-        border = score[np.arange(len(home)), home][:, None] - score
-        near = border <= reach * np.sqrt(np.maximum(apart, 0) + 1e-12) + 1e-9
-        p, q = np.nonzero(near)
-        homes.append(home)
-        rows.append(lo + p)
-        cells.append(q)
-    return np.concatenate(homes), np.concatenate(rows), np.concatenate(cells)
-
-
-def deal(vectors: DataFrame, centres: dict[tuple, np.ndarray], least: float) -> DataFrame:
-    """vec_id, weight, cell, home, raw: one row per vector and cell it is in; a cell is text of label, length and number, home a number."""
-    shared = vectors.sparkSession.sparkContext.broadcast(centres)  # MOST_CELLS vectors and one per further label of the sample
+@lru_cache(maxsize=64)
+def rotation(d: int, number: int) -> np.ndarray:
+    return np.linalg.qr(np.random.default_rng([d, number]).standard_normal((d, d)))[0]
+
+
+def bands(largest: int, least: float) -> tuple[int, int]:
+    """Bits of a key, and number of bands, for labels of at most so many vectors."""
+    bits = max(LEAST_BITS, math.ceil(math.log2(max(2, largest))) - CROWD)
+    agree = (1 - math.acos(min(1.0, max(-1.0, least))) / math.pi) ** bits
+    return bits, 1 if agree >= 1 else math.ceil(math.log(MISS) / math.log1p(-agree))
+
+
+def band_keys(x: np.ndarray, bits: int, n_bands: int) -> np.ndarray:
+    """Keys of unit vectors, (vectors, bands): sign bits of rotations 1, 2, .."""
+    d = x.shape[1]
+    signs = np.concatenate([x @ rotation(d, 1 + k) for k in range(-(-bits * n_bands // d))], axis=1)[:, : bits * n_bands] >= 0
+    return signs.reshape(len(x), n_bands, bits) @ (1 << np.arange(bits))
+
+
+def code(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sign bits (packed), correction factor, entries in bytes and their unit, of unit vectors in rotation 0."""
+    d = x.shape[1]
+    turned = x @ rotation(d, 0)
+    unit_ = np.abs(turned).max(axis=1) / 127
+    return np.packbits(turned >= 0, axis=1), np.abs(turned).sum(axis=1) / np.sqrt(d), np.rint(turned / unit_[:, None]).astype(np.int8), unit_
+
+
+def may_link(signs: np.ndarray, factor: np.ndarray, entries: np.ndarray, a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
+    """Which pairs' upper bound reaches `least`.  signs are -1 and 1, entries the rotated vectors.
+
+    The sign bits' product with a vector, over the factor, estimates the inner product without
+    bias; its error is that of the bits times the vector's part across, which is small for likely pairs.
+    """
+    d = signs.shape[1]
+    scaled = signs / (np.sqrt(d) * factor[:, None])
+    estimate = (np.einsum("pd,pd->p", scaled[a], entries[b]) + np.einsum("pd,pd->p", scaled[b], entries[a])) / 2
+    error = np.sqrt(np.maximum(1 - factor**2, 0) / max(d - 1, 1)) / factor * np.sqrt(max(0.0, 1 - least**2))
+    return estimate >= least - CONFIDENCE * (error[a] + error[b]) / 2 - _ROUNDING
+
+
+def pairs_of(bounds: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows within the groups that begin at the bounds, in slices."""
+    end = np.repeat(bounds[1:], np.diff(bounds))
+    count = end - np.arange(len(end)) - 1
+    total = np.append(0, np.cumsum(count))
+    row = 0
+    while row < len(end):
+        to = max(row + 1, int(np.searchsorted(total, total[row] + PAIRS_AT_ONCE, side="right")) - 1)
+        a = np.repeat(np.arange(row, to), count[row:to])
+        yield a, a + 1 + np.arange(len(a)) - np.repeat(total[row:to] - total[row], count[row:to])
+        row = to
+
+
+def coded(classes: DataFrame, least: float) -> DataFrame:
+    """no, vec_id, weight, grp (a number per label and length), code, factor, entries, unit, keys."""
+    sizes = cut(classes.groupBy("label", F.size("embedding").alias("d")).agg(F.count(F.lit(1)).alias("n")).withColumn("grp", F.monotonically_increasing_id()), "labels")
+    largest = sizes.agg(F.max("n")).first()[0] or 1
+    bits, n_bands = bands(largest, least)
+    schema = "no bigint, vec_id bigint, weight bigint, grp bigint, code binary, factor float, entries binary, unit float, keys array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
         for batch in batches:
-            labels, rows = batch["label"].to_pylist(), batch["embedding"].to_pylist()
-            groups: dict[tuple, list[int]] = {}
-            for k, (label, row) in enumerate(zip(labels, rows, strict=True)):
-                groups.setdefault((label, len(row)), []).append(k)
-            ids, homes, cells, raw = [], [], [], []
-            for (label, d), members in groups.items():
-                c = table.get((label, d))
-                found: list[list[str]] = [[] for _ in members]
-                if c is None:
-                    home, found = np.zeros(len(members), np.int64), [[f"{label}/{d}/0"] for _ in members]
-                else:
-                    home, at, cell = visited(unit([rows[k] for k in members]), c, least)
-                    for p, q in zip(at.tolist(), cell.tolist(), strict=True):
-                        found[p].append(f"{label}/{d}/{q}")
-                ids += members
-                homes += home.tolist()
-                cells += found
-                raw += [np.asarray(rows[k], np.float64).tobytes() for k in members]
-            yield pa.RecordBatch.from_arrays(
-                [batch["vec_id"].take(pa.array(ids, pa.int64())), batch["weight"].take(pa.array(ids, pa.int64())), pa.array(homes, pa.int64()), pa.array(cells, pa.list_(pa.string())), pa.array(raw, pa.binary())],
-                ["vec_id", "weight", "home", "cells", "raw"],
-            )
-
-    dealt = vectors.select("vec_id", "weight", "label", "embedding").mapInArrow(run, "vec_id bigint, weight bigint, home bigint, cells array<string>, raw binary")
-    return dealt.select("vec_id", "weight", "home", F.explode("cells").alias("cell"), "raw")
-
-
-def rotation(d: int) -> np.ndarray:
-    return np.linalg.qr(np.random.default_rng(d).standard_normal((d, d)))[0]
-
-
-def likely_pairs(x: np.ndarray, centre: np.ndarray, a: np.ndarray, b: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of unit vectors whose estimated cosine may reach `least`; a and b are the two sides' rows."""
-    d = x.shape[1]
-    residual = x - centre
-    length = np.linalg.norm(residual, axis=1)
-    turned = (residual / np.maximum(length, 1e-12)[:, None]) @ rotation(d)
-    codes = np.where(turned >= 0, 1.0, -1.0) / np.sqrt(d)
-    factor = (codes * turned).sum(axis=1)  # of the code with its own vector
-    factor = np.maximum(factor, 1e-3)
-    spread = CONFIDENCE * np.sqrt(np.maximum(1 - factor**2, 0) / max(d - 1, 1)) / factor
-    to_centre, norm = x @ centre, centre @ centre
-    estimate = (codes[a] / factor[a][:, None]) @ turned[b].T
-    scale = np.outer(length[a], length[b])
-    bound = scale * np.minimum(estimate + spread[a][:, None], 1) + to_centre[a][:, None] + to_centre[b][None, :] - norm
-    p, q = np.nonzero(bound >= least - 1e-9)
-    return a[p], b[q]
+            lengths = batch["embedding"].value_lengths().to_numpy(zero_copy_only=False)
+            for d in np.unique(lengths).tolist():
+                part = batch.filter(pa.array(lengths == d))
+                for lo in range(0, part.num_rows, BLOCK):
+                    rows = part.slice(lo, BLOCK)
+                    x = unit(rows["embedding"].flatten().to_numpy(zero_copy_only=False).reshape(rows.num_rows, d))
+                    bits_, factor, entries, unit_ = code(x)
+                    keys = band_keys(x, bits, n_bands).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            *(rows[c] for c in ("no", "vec_id", "weight", "grp")),
+                            pa.array([c.tobytes() for c in bits_], pa.binary()),
+                            pa.array(factor.astype(np.float32)),
+                            pa.array([e.tobytes() for e in entries], pa.binary()),
+                            pa.array(unit_.astype(np.float32)),
+                            pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * n_bands, pa.int32()), pa.array(keys.ravel())),
+                        ],
+                        ["no", "vec_id", "weight", "grp", "code", "factor", "entries", "unit", "keys"],
+                    )
+
+    numbered = classes.join(sizes.drop("n"), (classes["label"] == sizes["label"]) & (F.size("embedding") == F.col("d")))
+    return cut(numbered.select("no", "vec_id", "weight", "grp", "embedding").mapInArrow(run, schema), "codes")
+
+
+_BUCKET = ["grp", "band", "key"]
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    """Members (no, grp, band, key, ..) of keys that others have too, sorted so that a task gets whole pieces of work."""
+    sizes = members.groupBy(*_BUCKET).agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    work = block_pairs(members.join(sizes, _BUCKET), F.col("size"), F.col("no"), BLOCK).drop("size")
+    return work.repartition(*_BUCKET, "i", "j").sortWithinPartitions(*_BUCKET, "i", "j")
+
+
+def _work(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, Iterator[tuple[np.ndarray, np.ndarray]]]]:
+    """Rows of whole pieces of work and the pairs to compare in them."""
+    for table, bounds in whole_groups(batches, [*_BUCKET, "i", "j"]):
+        blk, mixed = table["blk"].to_numpy(), table["i"].to_numpy() != table["j"].to_numpy()
+
+        def wanted(bounds=bounds, blk=blk, mixed=mixed):
+            for a, b in pairs_of(bounds):
+                keep = ~mixed[a] | (blk[a] != blk[b])
+                yield a[keep], b[keep]
+
+        yield table, wanted()
+
+
+def likely(codes: DataFrame, least: float) -> DataFrame:
+    """(no, grp, band, key) of vectors that a vector with the same key may be linked with, by the codes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, pairs in _work(batches):
+            size = pc.binary_length(table["entries"]).to_numpy()
+            hit = np.zeros(table.num_rows, bool)
+            factor, unit_ = table["factor"].to_numpy(), table["unit"].to_numpy()
+            raw, bits = table["entries"].to_pylist(), table["code"].to_pylist()
+            # Groups hold one length each, batches may hold several.
+            width = int(size.max())
+            rows = np.zeros((len(raw), width), np.float32)
+            signs = np.zeros((len(raw), width), np.float32)
+            for d in np.unique(size).tolist():
+                at = np.flatnonzero(size == d)
+                rows[at, :d] = np.frombuffer(b"".join(raw[k] for k in at), np.int8).reshape(-1, d) * unit_[at, None]
+                packed = np.frombuffer(b"".join(bits[k] for k in at), np.uint8).reshape(len(at), -1)
+                signs[at, :d] = np.unpackbits(packed, axis=1, count=d).astype(np.float32) * 2 - 1
+            for a, b in pairs:
+                for d in np.unique(size[a]).tolist() if len(a) else ():
+                    own = size[a] == d
+                    p, q = a[own], b[own]
+                    near = may_link(signs[:, :d], factor, rows[:, :d], p, q, least)
+                    hit[p[near]] = hit[q[near]] = True
+            yield pa.RecordBatch.from_arrays([table[c].filter(pa.array(hit)).combine_chunks() for c in ("no", *_BUCKET)], ["no", *_BUCKET])
+
+    members = codes.select("no", "grp", "code", "factor", "entries", "unit", F.posexplode("keys").alias("band", "key"))
+    found = _dealt(members).mapInArrow(run, "no bigint, grp bigint, band int, key int")
+    return cut(found.distinct(), "likely")
+
+
+def linked(members: DataFrame, least: float) -> DataFrame:
+    """(vec_id, links, root): links of each vector in one piece of work, and a vector it is connected with."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, pairs in _work(batches):
+            ids, weight, band = (table[c].to_numpy() for c in ("vec_id", "weight", "band"))
+            lengths = table["embedding"].combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
+            x = np.zeros((len(ids), int(lengths.max())))
+            for d in np.unique(lengths).tolist():
+                at = np.flatnonzero(lengths == d)
+                x[at, :d] = unit(table["embedding"].take(pa.array(at)).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(at), d))
+            keys = np.array(table["keys"].to_pylist(), np.int32)
+            links, one, two = np.zeros(len(ids), np.int64), [], []
+            for a, b in pairs:
+                first = (keys[a] == keys[b]).argmax(axis=1) == band[a]
+                a, b = a[first & (ids[a] != ids[b])], b[first & (ids[a] != ids[b])]
+                near = np.einsum("pd,pd->p", x[a], x[b]) >= least
+                a, b = a[near], b[near]
+                np.add.at(links, a, weight[b])
+                np.add.at(links, b, weight[a])
+                root = star(len(ids), a, b)
+                some = np.unique(np.concatenate([a, b]))
+                one.append(some)
+                two.append(root[some])
+            # Slices of one piece of work are joined by the roots they share.
+            one, two = np.concatenate([[], *one]).astype(np.int64), np.concatenate([[], *two]).astype(np.int64)
+            root, found = star(len(ids), one, two), np.flatnonzero(links)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[found]), pa.array(links[found]), pa.array(ids[root[found]])], ["vec_id", "links", "root"])
+
+    return _dealt(members).mapInArrow(run, "vec_id bigint, links bigint, root bigint")
 
 
 def near_duplicates(vectors: DataFrame, least: float = 0.93) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per input row."""
     rows, classes = copy_classes(usable(vectors))
-    centres = fit_centres(classes)
-    shared = vectors.sparkSession.sparkContext.broadcast(centres)
-    dealt = deal(classes, centres, least)
-    # As many rows as there are cells: MOST_CELLS and one per label and length the sample missed.
-    sizes = dealt.groupBy("cell").agg(F.count(F.lit(1)).alias("size"))
-    work = block_pairs(dealt.join(sizes, "cell"), F.col("size"), F.col("vec_id"), BLOCK)
-
-    def compare(group: pa.Table) -> pa.Table:
-        cell, same = group["cell"][0].as_py(), group["i"][0].as_py() == group["j"][0].as_py()
-        group = group.sort_by("vec_id")
-        ids, blk, weight = (group[c].to_numpy() for c in ("vec_id", "blk", "weight"))
-        homes = group["home"].to_numpy()
-        x = unit(np.frombuffer(b"".join(group["raw"].to_pylist()), np.float64).reshape(len(ids), -1))
-        label, d, k = cell.rsplit("/", 2)
-        table = {f"{a}/{b}": c for (a, b), c in shared.value.items()}
-        centres = table.get(f"{label}/{d}", np.zeros((1, int(d))))
-        home = homes == int(k)
-        low = np.ones(len(ids), bool) if same else blk == blk.min()
-        one, two = np.flatnonzero(low), np.flatnonzero(low if same else ~low)
-        a, b = likely_pairs(x, centres[int(k)], one, two, least)
-        keep = (ids[a] != ids[b]) & (home[a] | home[b]) & ((a < b) | (not same))
-        a, b = a[keep], b[keep]
-        first = _meeting_home(x, homes, a, b, centres) == int(k)
-        a, b = a[first], b[first]
-        exact = np.einsum("pd,pd->p", x[a], x[b]) >= least
-        a, b = a[exact], b[exact]
-        links = np.bincount(a, weight[b], len(ids)) + np.bincount(b, weight[a], len(ids))
-        found = np.flatnonzero(links)
-        root = star(len(ids), a, b)
-        return pa.table({"vec_id": ids[found], "links": links[found].astype(np.int64), "root": ids[root[found]]})
-
-    found = work.select("cell", "i", "j", "blk", "vec_id", "weight", "home", "raw").groupBy("cell", "i", "j").applyInArrow(compare, "vec_id bigint, links bigint, root bigint")
-    found = cut(found, "links")
+    codes = coded(classes, least)
+    members = (
+        likely(codes, least)
+        .join(codes.select("no", "vec_id", "weight", "keys"), "no")
+        .join(classes.select("no", "embedding"), "no")
+    )
+    found = cut(linked(members, least), "links")
     counts = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
     reach = components(found, "vec_id", "root").withColumnRenamed("id", "vec_id")
     known = (
@@ -222,15 +279,3 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93) -> DataFrame:
             F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"),
         )
     )
-
-
-def _meeting_home(x: np.ndarray, homes: np.ndarray, a: np.ndarray, b: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    """The home in which a pair is counted: that of the vector farther from the border, which the other visits if they are linked."""
-    out = np.empty(len(a), np.int64)
-    for lo in range(0, len(a), SCORES_AT_ONCE // 256):
-        p, q = a[lo : lo + SCORES_AT_ONCE // 256], b[lo : lo + SCORES_AT_ONCE // 256]
-        low, high = np.minimum(homes[p], homes[q]), np.maximum(homes[p], homes[q])
-        # Both homes see the same number, bit by bit; the margin of the visits is wider than the one here.
-        side = np.einsum("pd,pd->p", x[p] + x[q], centres[low] - centres[high])
-        out[lo : lo + len(p)] = np.where(side < -1e-12, high, low)
-    return out
