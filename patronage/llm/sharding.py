@@ -1,8 +1,10 @@
 """Sharding by a minimax contiguous partition of groups of equal texts.
 
-Groups are ordered by the digest of their text.  The smallest capacity with which a
-greedy walk needs at most n_shards shards is found by binary search, and the shards are
-cut where that walk cuts.  The walk sees sums over digest prefixes (at most
+Groups too large for an even share of what is left come first and get a shard each,
+largest first; the others follow by the digest of their text and share the shards that
+remain.  For these, the smallest capacity with which a greedy walk needs at most that many
+shards is found by binary search, and of the cuts that keep within it each shard takes the
+one nearest to an even share of the rest.  The walk sees sums over digest prefixes (at most
 16**PREFIX rows on the driver).  A walk that may cut anywhere in a prefix of several
 groups gives a lower bound of the capacity; the prefixes that it cuts, at most one per
 shard, are split further (at most 16**PREFIX more rows, or 16 per shard) until it cuts
@@ -10,8 +12,9 @@ between groups only, so the bound is reached and the result is exact however man
 there are and however large one of them is.  Only DataFrame functions.
 
 Defined cases: a null text counts as the empty text; groups are never split, so a
-group larger than total / n_shards sets the capacity; repeated rows keep a slot each;
-null ids are allowed; an empty table gives no rows; other columns are ignored.
+group larger than an even share is a shard of its own; texts of any length count by their
+bytes; repeated rows and rows without an id keep a slot each; with fewer groups than
+shards, the last shards are empty; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -98,19 +101,59 @@ def split_digits(n_open: int) -> int:
     return digits
 
 
-def shard_cuts(groups: DataFrame, n_shards: int) -> tuple[list[str], int]:
-    """The digest prefix at which each shard after the first begins, and the capacity; groups: (digest, size)."""
+def even_cuts(sizes: np.ndarray, capacity: int, n_shards: int) -> list[int]:
+    """Index of each shard's end, within the capacity and as near to even shares of the rest as it allows."""
+    ends = np.cumsum(sizes)
+    total, n = int(ends[-1]), len(sizes)
+    # The least end of each shard after which the rest fits into the shards that follow.
+    least = [n]
+    for _ in range(n_shards - 1):
+        left = total - (int(ends[least[-1] - 1]) if least[-1] else 0)
+        least.append(int(np.searchsorted(ends, total - left - capacity, side="left")) + 1 if total - left > capacity else 0)
+    least.reverse()
+    cuts, at = [], 0
+    for shard in range(n_shards):
+        before = int(ends[at - 1]) if at else 0
+        most = int(np.searchsorted(ends, before + capacity, side="right"))
+        share = before + (total - before) / (n_shards - shard)
+        near = int(np.searchsorted(ends, share, side="left")) + 1
+        if near > at + 1 and near <= n and share - ends[near - 2] <= ends[near - 1] - share:
+            near -= 1
+        # A shard takes a piece at least while there are any, and leaves one for each that follows.
+        near = min(max(near, at + 1), max(at + 1, n - (n_shards - shard - 1)))
+        at = min(max(near, least[shard]), most)
+        cuts.append(at)
+    return cuts
+
+
+def alone(largest: list[int], total: int, n_shards: int) -> int:
+    """How many of the largest groups (falling sizes) get shards of their own: those of at least an even share of what is left."""
+    count = 0
+    while count < min(len(largest), n_shards - 1) and largest[count] * (n_shards - count) >= total:
+        total -= largest[count]
+        count += 1
+    return count
+
+
+def shard_cuts(groups: DataFrame, n_shards: int) -> tuple[list[str], list[str], int]:
+    """Digests of the groups with shards of their own, the digest prefix at which each shard after the first of the others begins, and the capacity of these; groups: (digest, size)."""
+    # As many rows as there are shards.
+    top = groups.orderBy(F.desc("size"), "digest").limit(n_shards).collect()
+    if not top:
+        return [], [], 0
+    own = alone([r["size"] for r in top], groups.agg(F.sum("size")).first()[0], n_shards)
+    hot = [r["digest"] for r in top[:own]]
+    if own == len(top):
+        return hot, [], 0
+    others, left, largest = (groups.where(~F.col("digest").isin(*hot)) if hot else groups), n_shards - own, top[own]["size"]
 
     def sums(digits: int, within: list[str] | None = None) -> list[Piece]:
-        rows = groups if within is None else groups.where(F.substring("digest", 1, len(within[0])).isin(*within))
+        rows = others if within is None else others.where(F.substring("digest", 1, len(within[0])).isin(*within))
         summed = rows.groupBy(F.substring("digest", 1, digits).alias("p")).agg(F.sum("size").alias("s"), F.count(F.lit(1)).alias("n"))
         return [Piece(r["p"], r["s"], r["n"]) for r in summed.collect()]
 
-    largest = groups.agg(F.max("size")).first()[0]
-    if largest is None:
-        return [], 0
     pieces = sorted(sums(PREFIX), key=lambda p: p.prefix)
-    while open_ := undecided(pieces, n_shards, largest):
+    while open_ := undecided(pieces, left, largest):
         by_length: dict[int, list[str]] = {}
         for k in open_:
             by_length.setdefault(len(pieces[k].prefix), []).append(pieces[k].prefix)
@@ -121,8 +164,9 @@ def shard_cuts(groups: DataFrame, n_shards: int) -> tuple[list[str], int]:
             pieces += sums(length + step, names)
         pieces.sort(key=lambda p: p.prefix)
     sizes = np.array([p.size for p in pieces])
-    capacity = least_capacity(sizes, n_shards)
-    return [pieces[k].prefix for k in walk(np.cumsum(sizes), capacity, n_shards) if k < len(pieces)], capacity
+    capacity = least_capacity(sizes, left)
+    cuts = even_cuts(sizes, capacity, left)
+    return hot, [pieces[k].prefix for k in sorted(set(cuts[:-1])) if k < len(pieces)], capacity
 
 
 def shard(docs: DataFrame, n_shards: int = 16) -> DataFrame:
@@ -134,21 +178,24 @@ def shard(docs: DataFrame, n_shards: int = 16) -> DataFrame:
             (F.octet_length(text) + F.lit(1)).cast("bigint").alias("size"),
             F.crc32(text.cast("binary")).alias("text_crc32"),
             F.md5(text.cast("binary")).alias("digest"),
+            F.monotonically_increasing_id().alias("row"),
         ),
         "digests",
     )
     groups = cut(rows.groupBy("digest").agg(F.sum("size").alias("size")), "groups")
-    begins, _ = shard_cuts(groups, n_shards)
-    number = F.lit(0)
+    hot, begins, _ = shard_cuts(groups, n_shards)
+    number = F.lit(len(hot))
     for begin in begins:
         number = number + (F.col("digest") >= begin).cast("int")
-    bucket = F.pmod(F.xxhash64("doc_id", "digest"), F.lit(SLOT_BUCKETS))
-    placed = rows.withColumn("shard", number).withColumn("bucket", bucket)
+    for k, digest in enumerate(hot):
+        number = F.when(F.col("digest") == digest, k).otherwise(number)
+    # By the stored row, so that neither equal texts nor equal ids share a bucket.
+    placed = rows.withColumn("shard", number).withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(SLOT_BUCKETS)))
     counts = placed.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = W.partitionBy("shard").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     # n_shards * SLOT_BUCKETS rows at most, whatever the input.
     offsets = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    inside = F.row_number().over(W.partitionBy("shard", "bucket").orderBy("doc_id", "digest"))
+    inside = F.row_number().over(W.partitionBy("shard", "bucket").orderBy("row"))
     return (
         placed.withColumn("inside", inside)
         .join(F.broadcast(offsets), ["shard", "bucket"])

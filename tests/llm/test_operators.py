@@ -159,7 +159,13 @@ def test_sharding_is_minimax(docs, corpus, nothing):
     for r in rows:
         sizes[r["digest"]] += r["size"]
         assert shard_of.setdefault(r["digest"], r["shard"]) == r["shard"]
-    order = sorted(sizes)
+    left, total = 6, sum(sizes.values())
+    for g in sorted(sizes, key=lambda g: (-sizes[g], g)):
+        if left == 1 or sizes[g] * left < total:
+            break
+        assert sum(sizes[x] for x in sizes if shard_of[x] == shard_of[g]) == sizes[g] and shard_of[g] == 6 - left
+        left, total = left - 1, total - sizes[g]
+    order = [g for g in sorted(sizes) if shard_of[g] >= 6 - left]
 
     def fits(capacity):
         used, load = 1, 0
@@ -169,14 +175,16 @@ def test_sharding_is_minimax(docs, corpus, nothing):
             if load + sizes[g] > capacity:
                 used, load = used + 1, 0
             load += sizes[g]
-        return used <= 6
+        return used <= left
 
-    best = next(c for c in range(max(sizes.values()), sum(sizes.values()) + 1) if fits(c))
+    best = next(c for c in range(max(sizes[g] for g in order), total + 1) if fits(c))
     loads = Counter()
     for g in order:
         loads[shard_of[g]] += sizes[g]
-    assert max(loads.values()) == best
-    assert [shard_of[g] for g in order] == sorted(shard_of.values())
+    assert max(loads.values()) == best and len(loads) == left
+    assert [shard_of[g] for g in order] == sorted(shard_of[g] for g in order)
+    for g in sizes:
+        loads.setdefault(shard_of[g], 0)
     for s in loads:
         assert sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(sum(r["shard"] == s for r in rows)))
     texts = {r[0]: (r[1] or "").encode() for r in corpus}
@@ -204,6 +212,34 @@ def test_sharding_splits_prefixes_until_exact():
     assert sharding.least_capacity(np.array([p.size for p in pieces]), 7) == exact
 
 
+@pytest.mark.parametrize("share", [0.1, 0.33, 0.5])
+def test_sharding_is_even_beside_a_hot_text(spark, share):
+    """Rows without an id among the copies; all 16 shards are used and the others are near equal."""
+    n = 3000
+    texts = F.when(F.col("id") < int(share * n), F.lit("hot " * 40)).otherwise(F.concat(F.lit("t" * 60), F.col("id").cast("string"), F.repeat(F.lit("x"), (F.col("id") % 50).cast("int") * 4)))
+    docs = spark.range(n).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("doc_id"), texts.alias("text"))
+    rows = sharding.shard(docs).collect()
+    loads, slots = Counter(), defaultdict(list)
+    for r in rows:
+        loads[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    assert len(rows) == n and sorted(loads) == list(range(16))
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    others = [v for k, v in loads.items() if k > 0]
+    assert max(others) / min(others) < 1.1 and loads[0] >= max(others)
+
+
+def test_even_cuts_keep_the_capacity():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        sizes, n_shards = rng.integers(1, rng.choice([3, 50, 1000]), int(rng.integers(1, 60))), int(rng.integers(1, 17))
+        capacity = sharding.least_capacity(sizes, n_shards)
+        cuts = [0, *sharding.even_cuts(sizes, capacity, n_shards)]
+        loads = [int(sizes[a:b].sum()) for a, b in zip(cuts, cuts[1:], strict=False)]
+        assert cuts == sorted(cuts) and cuts[-1] == len(sizes) and max(loads) == capacity
+    assert sharding.alone([50, 30, 10, 5], 100, 4) == 3 and sharding.alone([25, 25, 25, 25], 100, 4) == 3 and sharding.alone([24, 20], 100, 4) == 0
+
+
 def test_mixing_meets_the_shares(spark, nothing):
     rows = spark.range(30000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.when(F.col("id") % 10 < 8, "src0").otherwise("src1").alias("source"))
     out = mixing.mix(rows, {"src0": 0.5})
@@ -320,6 +356,51 @@ def test_embeddings_against_brute_force(spark):
     assert all(got[k]["n_links"] == 0 and got[k]["component_id"] == k for k in range(900, 906))
 
 
+def test_embeddings_recall_on_diffuse_vectors_and_borderline_pairs(spark, monkeypatch):
+    """2,500 vectors of one label, more than 100 keys a band, and 500 pairs just above the threshold."""
+    monkeypatch.setattr(embedding, "BLOCK", 64)
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(2500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for k in range(0, 1000, 2):
+        across = x[k + 1] - (x[k + 1] @ x[k]) * x[k]
+        c = 0.9301 + 0.0001 * (k % 90)
+        x[k + 1] = c * x[k] + np.sqrt(1 - c * c) * across / np.linalg.norm(across)
+    # A large group of near copies that share most keys, larger than a block.
+    x[1000:1300] = x[1000] + rng.normal(size=(300, 64)) * 0.02
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    linked = x @ x.T >= 0.93
+    np.fill_diagonal(linked, False)
+    frame = spark.createDataFrame([(k, row.tolist(), 1, "clash") for k, row in enumerate(x)], "vec_id bigint, embedding array<double>, label int, no string")
+    got = {r["vec_id"]: r for r in embedding.near_duplicates(frame).collect()}
+    found = np.array([got[k]["n_links"] for k in range(len(x))])
+    assert (found <= linked.sum(axis=1)).all()
+    assert found.sum() >= 0.997 * linked.sum()
+    assert (found[1000:1300] == linked[1000:1300].sum(axis=1)).mean() > 0.99
+    assert {got[k]["component_id"] for k in range(1000, 1300)} == {1000}
+
+
+def test_codes_estimate_inner_products_without_bias():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(4000, 48))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = x * 0.8 + 0.6 * rng.normal(size=x.shape) / np.sqrt(48)
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    bits, factor, entries, step = embedding.code(x)
+    signs = np.unpackbits(bits, axis=1, count=48) * 2.0 - 1
+    estimate = np.einsum("pd,pd->p", signs, y @ embedding.rotation(48, 0)) / (np.sqrt(48) * factor)
+    exact = np.einsum("pd,pd->p", x, y)
+    error = np.sqrt((1 - factor**2) / 47) / factor * np.sqrt(1 - exact**2)
+    assert abs((estimate - exact).mean()) < 4 * error.mean() / np.sqrt(4000)
+    assert 0.8 < ((estimate - exact) / error).std() < 1.2
+    assert np.abs(entries * step[:, None] - x @ embedding.rotation(48, 0)).max() < 0.005
+    assert embedding.bands(1000, 0.93)[0] == 10 and embedding.bands(10**6, 0.93)[0] == 17
+
+
+def test_embeddings_of_nothing(spark):
+    assert embedding.near_duplicates(spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int, extra string")).count() == 0
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_queries_match_sql(spark, name):
     sf = "/root/testdata/sf0.001"
