@@ -1,14 +1,19 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
 The network is trained in numpy by backpropagation through time, on the driver, on a
-bounded sample (SAMPLE_DOCS rows, one excerpt of EXCERPT characters each).  Every byte of
-every text gets label probabilities from the state before and after it; a document's
-probabilities are their mean.  Texts are read in chunks of CHUNK bytes, each from a zero
-state, so the work is in proportion to the bytes.  Gates are piecewise linear.
+bounded sample (SAMPLE_DOCS rows, the same number of each label where there are enough,
+one excerpt of EXCERPT characters each, read whole).  Every byte of every text gets label
+probabilities from the state before and after it; a document's probabilities are their
+mean.  Texts are read in stretches of STRIDE bytes that begin at a character, side by side;
+the network runs over WARM bytes more on either side before it counts, so the work is in
+proportion to the bytes and no position is judged without its neighbours.  Gates are
+piecewise linear.
 
 Defined cases: a null text or one without a letter is `und` with score 0; rows with a
-null text or label are not learned from; without any label everything is `und`; repeated
-rows get the same label; an empty table gives no rows; a clashing input column is replaced.
+null text or label are not learned from, nor labels beyond the MOST_LABELS most frequent;
+without any label everything is `und`; texts of any length are read whole; repeated
+rows get the same label, and null ids are ids like any other; an empty table gives no rows;
+a clashing input column is replaced.
 """
 
 from __future__ import annotations
@@ -21,8 +26,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from patronage.llm.features import add_columns, fold
 
-SAMPLE_DOCS, EXCERPT = 4000, 200
-HIDDEN, CHUNK, ROWS = 8, 96, 2048  # ROWS chunks are run side by side
+SAMPLE_DOCS, EXCERPT, MOST_LABELS = 4000, 200, 256
+STRIDE, WARM = 96, 14
+CHUNK = STRIDE + 2 * WARM + 4  # bytes that the network runs over for a stretch; characters have up to 4
+HIDDEN, ROWS = 8, 2048  # ROWS stretches are run side by side
 STEPS, BATCH, RATE = 500, 128, 0.02
 UNDETERMINED = "und"
 
@@ -113,30 +120,47 @@ class Network:
     def pooled(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Mean probabilities of each joined text; (texts, labels)."""
         sizes = np.diff(starts)
-        chunks = -(-sizes // CHUNK)
-        owner = np.repeat(np.arange(len(sizes)), chunks)
-        nth = np.arange(len(owner)) - np.repeat(np.cumsum(chunks) - chunks, chunks)
-        begin = starts[:-1][owner] + nth * CHUNK
-        length = np.minimum(starts[1:][owner] - begin, CHUNK)
+        begin, low, high, end, owner = stretches(data, starts)
         total = np.zeros((len(sizes), len(self.labels)))
         padded = np.concatenate([data, np.full(CHUNK, 0x20, np.uint8)])
         step = np.arange(CHUNK)[:, None]
         for lo in range(0, len(owner), ROWS):
             part = slice(lo, lo + ROWS)
-            inside = step < length[part]
-            text = np.where(inside, padded[begin[part] + step], 0x20).astype(np.uint8)
-            p = (self.probabilities(text) * inside).sum(axis=1)
+            at = begin[part] + step
+            text = np.where(at < end[part], padded[at], 0x20).astype(np.uint8)
+            p = (self.probabilities(text) * ((at >= low[part]) & (at < high[part]))).sum(axis=1)
             for k in range(len(self.labels)):
                 total[:, k] += np.bincount(owner[part], p[k], minlength=len(sizes))
         return total / np.maximum(sizes, 1)[:, None]
 
 
+def stretches(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Per stretch of joined texts: where the network begins, the bounds of what counts, where it ends, and the text."""
+    sizes = np.diff(starts)
+    chunks = -(-sizes // STRIDE)
+    owner = np.repeat(np.arange(len(sizes)), chunks)
+    nth = np.arange(len(owner)) - np.repeat(np.cumsum(chunks) - chunks, chunks)
+    first, last = starts[:-1][owner], starts[1:][owner]
+    low, high = first + nth * STRIDE, np.minimum(first + (nth + 1) * STRIDE, last)
+    begin = np.maximum(low - WARM, first)
+    for _ in range(3):  # back to the first byte of a character
+        begin = begin - ((begin > first) & ((data[begin] & 0xC0) == 0x80)) if len(begin) else begin
+    return begin, low, high, np.minimum(high + WARM, last), owner
+
+
+def pieces(excerpt: bytes) -> list[bytes]:
+    """The whole excerpt in pieces of CHUNK bytes; the last one reaches back, a short excerpt is padded."""
+    starts = range(0, max(1, len(excerpt) - CHUNK + STRIDE), STRIDE)
+    return [excerpt[min(k, max(0, len(excerpt) - CHUNK)) :][:CHUNK].ljust(CHUNK) for k in starts]
+
+
 def train(excerpts: list[bytes], labels: list[str], steps: int = STEPS, seed: int = 3) -> Network:
     """Fit by backpropagation through time with a label at every position; rare labels weigh more."""
     rng = np.random.default_rng(seed)
     names = sorted(set(labels))
-    text = np.stack([np.frombuffer(e[:CHUNK].ljust(CHUNK), np.uint8) for e in excerpts]).T
-    want = np.array([names.index(x) for x in labels])
+    cut_up = [pieces(e) for e in excerpts]
+    text = np.stack([np.frombuffer(p, np.uint8) for own in cut_up for p in own]).T
+    want = np.repeat([names.index(x) for x in labels], [len(own) for own in cut_up])
     weight = (len(want) / (len(names) * np.bincount(want, minlength=len(names))))[want] ** 0.5
     net = Network(names, Direction.new(rng), Direction.new(rng), rng.normal(0, 0.1, (len(names), 2 * HIDDEN + 1)).astype(np.float32))
     params = net.parameters()
@@ -175,18 +199,28 @@ def train_fold(doc_id: Column) -> Column:
 
 
 def learn(docs: DataFrame, use: Column) -> Network | None:
-    """Fit on the SAMPLE_DOCS labelled rows of `use` with the least id hash, an excerpt from a hashed place of each."""
+    """Fit on SAMPLE_DOCS labelled rows of `use`, of each label those with the least hashes; an excerpt from a hashed place of each.
+
+    The labels are counted first, so that a share of each label's rows is chosen by hash that holds
+    twice as many as wanted: what reaches the driver doesn't grow with the table.
+    """
     rows = docs.where(use).where("text IS NOT NULL AND text != '' AND lang IS NOT NULL")
-    place = F.lit(1) + F.pmod(F.xxhash64(F.col("doc_id"), F.lit("place")), F.greatest(F.length("text") - EXCERPT, F.lit(1))).cast("int")
-    picked = (
-        rows.select("doc_id", "lang", F.substring(F.col("text"), place, F.lit(EXCERPT)).alias("excerpt"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "lang", "excerpt")
-        .limit(SAMPLE_DOCS)
-        .collect()
-    )
-    if not picked:
+    found = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LABELS).collect()
+    if not found:
         return None
-    return train([r["excerpt"].encode() for r in picked], [r["lang"] for r in picked])
+    wanted = -(-SAMPLE_DOCS // len(found))
+    place = F.lit(1) + F.pmod(F.xxhash64(F.col("doc_id"), F.lit("place")), F.greatest(F.length("text") - EXCERPT, F.lit(1))).cast("int")
+    excerpts = rows.select("lang", F.substring(F.col("text"), place, F.lit(EXCERPT)).alias("excerpt"), F.xxhash64("doc_id", F.octet_length("text")).alias("draw"))
+    share = F.lit(None).cast("double")
+    for r in found:
+        share = F.when(F.col("lang") == r["lang"], min(1.0, 2 * wanted / r["n"] + 30 / r["n"])).otherwise(share)
+    # The limit holds where many rows share a hash, as copies without an id do.
+    chosen = excerpts.where(F.pmod(F.col("draw"), F.lit(1 << 30)) < share * (1 << 30)).limit(4 * SAMPLE_DOCS).collect()
+    by_label: dict[str, list] = {}
+    for r in chosen:
+        by_label.setdefault(r["lang"], []).append((r["draw"] % (1 << 30), r["excerpt"]))
+    sample = [(text, lang) for lang in sorted(by_label) for _, text in sorted(by_label[lang])[:wanted]]
+    return train([text.encode() for text, _ in sample], [lang for _, lang in sample])
 
 
 def identify(docs: DataFrame, network: Network | None) -> DataFrame:

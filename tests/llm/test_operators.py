@@ -326,6 +326,40 @@ def test_language_gradient_and_labels(spark, docs, nothing):
     assert language.identify(docs, language.learn(nothing, F.lit(True))).where("lang_pred != 'und'").count() == 0
 
 
+def test_language_reads_whole_texts_with_their_neighbours(monkeypatch):
+    rng = np.random.default_rng(2)
+    net = language.Network(["a", "b"], language.Direction.new(rng), language.Direction.new(rng), rng.normal(size=(2, 2 * language.HIDDEN + 1)).astype(np.float32))
+    texts = ["", "x", "é" * 500, "plain words " * 40, "日本語" * 70, "y" * language.STRIDE, "z" * (language.STRIDE + 1)]
+    data, starts = text_bytes(pa.array(texts))
+    begin, low, high, end, owner = language.stretches(data, starts)
+    covered = np.zeros(len(data), int)
+    for a, b in zip(low, high, strict=True):
+        covered[a:b] += 1
+    assert (covered == 1).all() and (end - begin <= language.CHUNK).all() and ((data[begin] & 0xC0) != 0x80).all()
+    # Position by position: the mean over every byte of the probabilities of the stretch it counts in.
+    got = net.pooled(data, starts)
+    for k, text in enumerate(texts):
+        raw, total = text.encode(), np.zeros(2)
+        for i in np.flatnonzero(owner == k):
+            window = data[begin[i] : end[i]].tobytes().ljust(language.CHUNK)
+            p = net.probabilities(np.frombuffer(window, np.uint8)[:, None])[:, :, 0]
+            total += p[:, low[i] - begin[i] : high[i] - begin[i]].sum(axis=1)
+        assert np.allclose(got[k], total / max(1, len(raw)), atol=1e-5)
+    assert b"".join(language.pieces(b"q" * 50)) == b"q" * 50 + b" " * (language.CHUNK - 50)
+    long = bytes(rng.integers(97, 122, 777).astype(np.uint8))
+    assert len(language.pieces(long)) == 8 and language.pieces(long)[-1] == long[-language.CHUNK :] and language.pieces(long)[0] == long[: language.CHUNK]
+
+
+def test_language_samples_rare_labels(spark, monkeypatch):
+    """A label on one row in a thousand is learned, and as many rows reach the driver whatever the size."""
+    monkeypatch.setattr(language, "SAMPLE_DOCS", 200)
+    seen = []
+    monkeypatch.setattr(language, "train", lambda excerpts, labels: seen.append(labels))
+    rows = spark.range(20000).select(F.col("id").alias("doc_id"), F.concat(F.lit("word "), F.col("id").cast("string")).alias("text"), F.when(F.col("id") % 1000 == 0, "rare").otherwise("often").alias("lang"))
+    language.learn(rows, F.lit(True))
+    assert Counter(seen[0]) == {"often": 100, "rare": 20}
+
+
 def test_embeddings_of_a_large_group_of_copies(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=8)
