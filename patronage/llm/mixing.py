@@ -6,7 +6,9 @@ hash of its id, so it does not depend on partitions or reruns; where the id is n
 repeated, the seed is the id, a digest of the row and its number among equal rows, so
 that every row has a draw of its own.  Documents are exploded
 by it and the copies dealt out and sorted by a hash, a uniform global order.
-Only DataFrame functions; nothing but one count per named source reaches the driver.
+A document with more than CHUNK copies is dealt out in chunks of them first, so its copies
+are not one task's work.  Only DataFrame functions; nothing but one count per named source
+reaches the driver, and the distribution functions, one row per named source, are broadcast.
 
 Defined cases: sources without a share of their own, the null source among them, form
 one pool that gets what the named shares leave; a named source without documents gets
@@ -29,6 +31,7 @@ from patronage.functions.stages import cut
 # Target shares of the production mix; every other source shares the rest.
 SHARES: Mapping[str, float] = {"src0": 0.20, "src1": 0.10, "src2": 0.05}
 SEED = 20240607
+CHUNK = 1024  # copies of a document that one task makes
 _HEX = 13  # hex digits of a hash that make a uniform number: 52 bits, exact in a double
 
 
@@ -62,20 +65,16 @@ def repetition_rates(docs: DataFrame, shares: Mapping[str, float]) -> dict[str |
     return {s: (rest if s is None else shares[s]) * total / n for s, n in counts.items()}
 
 
-def repetitions(u: Column, source: Column, rates: Mapping[str | None, float]) -> Column:
-    """Poisson quantile of u at the rate of the row's source."""
-
-    def quantile(rate: float) -> Column:
-        if rate <= 0:
-            return F.lit(0)
-        first, steps = poisson_steps(rate)
-        return F.lit(first) + F.size(F.filter(F.array(*map(F.lit, steps)), lambda c: c <= u))
-
-    out = quantile(rates.get(None, 0.0))
-    for name, rate in rates.items():
-        if name is not None:
-            out = F.when(source == name, quantile(rate)).otherwise(out)
-    return out
+def with_repetitions(docs: DataFrame, u: Column, rates: Mapping[str | None, float]) -> DataFrame:
+    """The documents with n_copies, the Poisson quantile of u at the rate of the row's source."""
+    named = [name for name in rates if name is not None]
+    rows = [(name, *poisson_steps(rate)) for name, rate in rates.items() if rate > 0]
+    # One row per named source and one for the others, each with some 20 times the root of its rate numbers.
+    steps = docs.sparkSession.createDataFrame(rows, "_name string, _first int, _steps array<double>")
+    own = F.when(F.col("source").isin(*named), F.col("source")) if named else F.lit(None).cast("string")
+    met = docs.join(F.broadcast(steps), own.eqNullSafe(F.col("_name")), "left")
+    count = F.col("_first") + F.size(F.filter("_steps", lambda c: c <= u))
+    return met.withColumn("n_copies", F.coalesce(count, F.lit(0))).drop("_name", "_first", "_steps")
 
 
 def seeded(docs: DataFrame) -> DataFrame:
@@ -103,7 +102,13 @@ def mix(docs: DataFrame, shares: Mapping[str, float] = SHARES, seed: int = SEED)
     """The documents with their copies, globally shuffled; adds copy (from 1), n_copies and order_key."""
     rates = repetition_rates(docs, shares)
     docs = docs.drop("copy", "n_copies", "order_key")
-    counted = seeded(docs).withColumn("n_copies", repetitions(uniform("order_key", F.lit(str(seed))), F.col("source"), rates))
-    copies = counted.where("n_copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
+    counted = with_repetitions(seeded(docs), uniform("order_key", F.lit(str(seed))), rates)
+    few = counted.where(F.col("n_copies").between(1, CHUNK)).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
+    chunks = counted.where(F.col("n_copies") > CHUNK).withColumn("_from", F.explode(F.sequence(F.lit(1), F.col("n_copies"), F.lit(CHUNK))))
+    last = F.least(F.col("_from") + F.lit(CHUNK - 1), F.col("n_copies"))
+    # A given number, since rows that are few before they are copied would be merged into one task.
+    spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = chunks.repartition(spread, "order_key", "_from").withColumn("copy", F.explode(F.sequence(F.col("_from"), last))).drop("_from")
+    copies = few.unionByName(many)
     keyed = copies.withColumn("order_key", F.md5(F.concat_ws(":", "order_key", F.col("copy").cast("string"), F.lit(f"order{seed}"))))
     return keyed.select(*docs.columns, "n_copies", "copy", "order_key").repartition("order_key").sortWithinPartitions("order_key", "doc_id")

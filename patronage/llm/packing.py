@@ -6,8 +6,8 @@ their place on the curve, so neighbours in a sequence are alike, and laid end to
 sequences of at most `width` tokens.  A document that doesn't fit is cut at the
 sequence's end; only the last sequence of a partition is shorter.
 
-Defined cases: null and empty texts are documents of the closing id alone; strings that
-look like special tokens are ordinary text; rows of one doc_id are packed separately;
+Defined cases: null and empty texts are documents of the closing id alone; strings of
+added tokens are these tokens; rows of one doc_id are packed separately;
 null ids are allowed; an empty table gives no rows; other columns are ignored.  A task
 holds one Arrow batch and the arrays of _BATCH_BYTES of text (or one document, if that is longer).
 """

@@ -4,11 +4,14 @@ The vocabulary's pre-tokenizer starts a new piece at every white-space byte that
 alone, so a text without two white-space characters in a row can be cut there.  Pieces
 are found and hashed for many texts at once; the ids of a piece are computed once and
 kept in a bounded table.  Texts with doubled or unusual white space are encoded whole.
+Added tokens of the file match wherever their strings stand, before anything else, as the
+public library has it.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from itertools import chain
 
 import numpy as np
@@ -28,15 +31,20 @@ def byte_letters() -> dict[str, int]:
 
 
 def load_encoder(path: str):
-    """The vocabulary of a tokenizer file as an encoder that reads special strings as ordinary text."""
+    """The vocabulary of a tokenizer file as an encoder of ordinary text, and its added tokens."""
     import tiktoken
 
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     letters = byte_letters()
-    special = {t["content"] for t in spec.get("added_tokens", ())}
+    added = spec.get("added_tokens") or []
+    if any(t.get(flag) for t in added for flag in ("single_word", "lstrip", "rstrip")):
+        raise ValueError("added tokens that depend on the text around them")
+    special = {t["content"]: t["id"] for t in added}
+    if any(c.isspace() for token in special for c in token):
+        raise ValueError("added tokens that hold white space")
     ranks = {bytes(letters[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
-    return tiktoken.Encoding("pieces", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("pieces", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), special
 
 
 def unusual_space(data: np.ndarray) -> np.ndarray:
@@ -59,9 +67,22 @@ class Tokenizer:
     """One per task: the encoder and the table of known pieces."""
 
     def __init__(self, path: str):
-        self._encoder = load_encoder(path)
+        self._encoder, self._added = load_encoder(path)
+        # At one place the longest matches.
+        self._find = re.compile("|".join(map(re.escape, sorted(self._added, key=len, reverse=True)))) if self._added else None
         self._forget()
 
+    def _ids_of(self, text: str) -> list[int]:
+        """Ids of a text that no added token crosses the ends of."""
+        ordinary = self._encoder.encode_ordinary
+        if self._find is None or not self._find.search(text):
+            return ordinary(text)
+        out, at = [], 0
+        for match in self._find.finditer(text):
+            out += [*ordinary(text[at : match.start()]), self._added[match.group()]]
+            at = match.end()
+        return out + ordinary(text[at:])
+
     def _forget(self) -> None:
         self._place: dict[int, int] = {}
         self._count = 0
@@ -99,7 +120,7 @@ class Tokenizer:
         long = end - begin > KEPT_BYTES
         keys[long] = np.arange(long.sum(), dtype=np.uint64)  # met once each, not kept
         each, first, back = np.unique(keys, return_index=True, return_inverse=True)
-        known, encode, raw = self._place.get, self._encoder.encode_ordinary, data.tobytes()
+        known, encode, raw = self._place.get, self._ids_of, data.tobytes()
         place = np.array([known(key, -1) for key in each.tolist()], np.int64)
         place[long[first]] = -1
         new = np.flatnonzero(place < 0)

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from patronage.llm import chat, embedding, features, jaccard, language, mixing, packing, quality, sharding, substring
+from patronage.llm import chat, embedding, features, jaccard, language, mixing, packing, quality, sharding, substring, tokens
 from patronage.llm.automaton import SuffixAutomaton
 from patronage.llm.graph import components
 from patronage.llm.queries import ORACLES, QUERIES, tokenizer_file
@@ -146,6 +146,19 @@ def test_packing_round_trip(docs, corpus, nothing):
     assert packing.pack(nothing, tokenizer_file()).count() == 0
 
 
+def test_added_tokens_match_as_in_the_library():
+    from tokenizers import Tokenizer
+
+    library, own = Tokenizer.from_file(tokenizer_file()), tokens.Tokenizer(tokenizer_file())
+    special = "<|endoftext|>"
+    texts = [special, f"a{special}b", f"a {special} b", f"a  {special}  b\n", f"{special}{special}x", f"it'{special}s", f"<|endoftext{special}|>", "<|endoftext |>", f"é{special}\u3000{special} "]
+    rng = random.Random(3)
+    texts += ["".join(rng.choice([special, " ", "  ", "word", "'s", "<|", "|>", "\n"]) for _ in range(12)) for _ in range(200)]
+    ids, first = own.encode(*text_bytes(pa.array(texts)))
+    for k, text in enumerate(texts):
+        assert ids[first[k] : first[k + 1]].tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_hilbert_neighbours_touch():
     grid = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij")).reshape(3, -1)
     path = grid[:, np.argsort(packing.hilbert_key(grid, 3))]
@@ -250,6 +263,16 @@ def test_mixing_meets_the_shares(spark, nothing):
     assert mixing.mix(nothing).count() == 0
 
 
+def test_mixing_deals_a_document_of_many_copies_in_chunks(spark):
+    """One document of a named source among 60,000: some 12,000 copies, numbered without a gap."""
+    rows = spark.range(60000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.when(F.col("id") == 7, "src0").otherwise("rest").alias("source"), F.lit("x").alias("copy"))
+    out = mixing.mix(rows, {"src0": 0.2})
+    (row,) = out.where("doc_id = 7").groupBy("n_copies").agg(F.count("*").alias("n"), F.min("copy").alias("low"), F.max("copy").alias("high"), F.countDistinct("copy").alias("copies")).collect()
+    assert row["n"] == row["n_copies"] == row["high"] == row["copies"] and row["low"] == 1 and abs(row["n"] - 12000) < 600
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and len(plan) < 40000
+
+
 def test_poisson_steps_reach_one():
     for rate in (0.01, 1.0, 30.0, 5000.0):
         first, steps = mixing.poisson_steps(rate)
