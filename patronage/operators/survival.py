@@ -195,6 +195,25 @@ def term_median_mad(base: DataFrame) -> DataFrame:
     )
 
 
+SKETCH_K = 400  # of the quantile sketches: ranks are off by less than SKETCH_ERROR with a probability of 99 %
+SKETCH_ERROR = 0.01
+
+
+def gap_sketches(intervals: DataFrame, k: int = SKETCH_K) -> DataFrame:
+    """(next_order_date, n, sketch): the gaps that end on a day as a quantile sketch, to be stored by day.
+
+    Sketches of days merge, so quantiles of any range of dates need one small row a day.
+    """
+    ended = intervals.where("days_between_orders IS NOT NULL").groupBy("next_order_date")
+    return ended.agg(F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double(F.col("days_between_orders").cast("double"), k).alias("sketch"))
+
+
+def merged_quantiles(sketches: DataFrame, probs: list[float], k: int = SKETCH_K) -> DataFrame:
+    """Number of values and their approximate quantiles, from the sketches of a range of days; one row."""
+    merged = sketches.agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", k).alias("sketch"))
+    return merged.select("n", F.array(*[F.kll_sketch_get_quantile_double("sketch", F.lit(float(p))) for p in probs]).alias("quantiles"))
+
+
 def population(base: DataFrame) -> DataFrame:
     """term_stats and term_median_mad side by side; one row."""
     return term_stats(base).crossJoin(F.broadcast(term_median_mad(base)))

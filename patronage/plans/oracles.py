@@ -687,6 +687,11 @@ oracle(
     "term_median_mad",
     show("(SELECT * FROM c_sa_median, c_sa_mad)", rounded="median_term log_median_term mad log_mad"),
 )
+oracle(
+    "term_median_approx",
+    """SELECT count(*) AS n, count(*) AS counted, TRUE AS within_bound FROM c_sa_gaps
+WHERE days_between_orders IS NOT NULL AND next_order_date BETWEEN DATE '2000-01-01' AND DATE '2000-12-31'""",
+)
 oracle(
     "robust_zscore",
     show("c_sa_robust", rounded="pop_mean modified_zscore", cols="user_id current_trailing_term pop_mean modified_zscore"),
@@ -956,6 +961,25 @@ oracle(
 oracle("grade_counts", "SELECT grade, count(*) AS n FROM c_records GROUP BY grade")
 oracle("score_histogram", "SELECT grade, f_data AS f_bin, count(*) AS n FROM c_records WHERE m_data < 1500000 GROUP BY 1, 2")
 
+CTES["density_value"] = " UNION ALL ".join(
+    f"SELECT grade, '{m}' AS measure, CAST({m} AS DOUBLE) AS v FROM c_records WHERE {m} IS NOT NULL" for m in ("r_data", "f_data", "m_data", "ar_data")
+)
+CTES["density_grid"] = """
+SELECT grade, measure, n, h, lo - 3 * h AS x0, (hi - lo + 6 * h) / 199 AS step
+FROM (SELECT grade, measure, count(*) AS n, stddev_samp(v) * pow(count(*), -0.2) AS h, min(v) AS lo, max(v) AS hi FROM density_value GROUP BY 1, 2) WHERE h > 0"""
+CTES["density_weight"] = """
+SELECT grade, measure, bin, sum(w) AS w FROM (
+  SELECT grade, measure, unnest([floor(t), floor(t) + 1]) AS bin, unnest([1 - (t - floor(t)), t - floor(t)]) AS w
+  FROM (SELECT v.grade, v.measure, (v.v - g.x0) / g.step AS t FROM density_value v JOIN density_grid g ON v.grade = g.grade AND v.measure = g.measure)
+) GROUP BY 1, 2, 3"""
+oracle(
+    "score_density",
+    """SELECT g.grade, g.measure, p.point, round(g.x0 + p.point * g.step, 3) AS x,
+  round(sum(w.w * exp(-pow((p.point - w.bin) * g.step / g.h, 2) / 2)) / (g.n * g.h * sqrt(2 * pi())), 12) AS density
+FROM density_grid g JOIN density_weight w ON w.grade = g.grade AND w.measure = g.measure, range(0, 200) p(point)
+GROUP BY g.grade, g.measure, p.point, g.x0, g.step, g.n, g.h""",
+)
+
 CTES["quintiles"] = """
 SELECT quantile_cont(CAST(recency AS DOUBLE), [0.2, 0.4, 0.6, 0.8]) AS qr, quantile_cont(CAST(frequency AS DOUBLE), [0.2, 0.4, 0.6, 0.8]) AS qf,
   quantile_cont(monetary, [0.2, 0.4, 0.6, 0.8]) AS qm FROM e_arfm"""

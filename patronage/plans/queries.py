@@ -450,6 +450,27 @@ def term_median_mad(spark, d):
     return present(survival.term_median_mad(_analysis(spark, d).base))
 
 
+GAP_RANGE = ("2000-01-01", "2000-12-31")
+
+
+@query
+def term_median_approx(spark, d):
+    """Quantiles of the gaps that ended in a year, from sketches stored by day, and whether their true ranks keep the bound."""
+    gaps = cut(survival.purchase_intervals(_days(spark, d)))
+    stored = FactTable(spark, new_path(spark, "sketches"), "next_order_date", "month")
+    stored.write(survival.gap_sketches(gaps))
+    probs = [0.25, 0.5, 0.9]
+    found = cut(survival.merged_quantiles(stored.read(*GAP_RANGE), probs))
+    gap, at = F.col("days_between_orders"), F.col("quantiles")
+    inside = gaps.where(gap.isNotNull() & F.col("next_order_date").between(*map(sc.day, GAP_RANGE))).crossJoin(F.broadcast(found))
+    ranks = inside.agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("counted"), *[F.count_if(c).alias(f"{side}{i}") for i in range(len(probs)) for side, c in (("below", gap < at[i]), ("upto", gap <= at[i]))])
+    kept = F.lit(True)
+    for i, p in enumerate(probs):
+        error = survival.SKETCH_ERROR * F.col("counted")
+        kept = kept & (F.col(f"below{i}") <= p * F.col("counted") + error) & (F.col(f"upto{i}") >= p * F.col("counted") - error)
+    return present(ranks.select("n", "counted", kept.alias("within_bound")))
+
+
 @query
 def robust_zscore(spark, d):
     a = _analysis(spark, d)
@@ -824,6 +845,13 @@ def score_histogram(spark, d):
     return present(segments.score_histogram(_mall_records(spark, d), below=1_500_000))
 
 
+@query
+def score_density(spark, d):
+    """The curves behind the density charts: recency, frequency, money and money a purchase, by grade."""
+    out = segments.density(_mall_records(spark, d), "grade", ["r_data", "f_data", "m_data", "ar_data"])
+    return present(out, places=3, density=12)
+
+
 def _two_periods(spark, d):
     """Affiliate RFM of two dates from one roll-up, scored against the earlier one's quintiles."""
     src = _src(spark, d)

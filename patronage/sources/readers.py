@@ -19,12 +19,13 @@ if TYPE_CHECKING:
 
 
 def read_dim(spark: SparkSession, path: str) -> DataFrame:
+    """A table as it is stored: a dimension, or facts that a run reads whole."""
     return spark.read.parquet(path)
 
 
 def read_sources(spark: SparkSession, base: str) -> Sources:
     """Every source table as Parquet under `base`, one folder per field of Sources."""
-    return Sources(**{f.name: spark.read.parquet(f"{base}/{f.name}") for f in fields(Sources)})
+    return Sources(**{f.name: read_dim(spark, f"{base}/{f.name}") for f in fields(Sources)})
 
 
 def order_window(events: DataFrame, start: date | str, as_of: date | str) -> DataFrame:

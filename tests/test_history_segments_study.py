@@ -152,3 +152,19 @@ def test_run_days_checks_its_range():
         run_days(D(2024, 1, 1), D(2024, 1, 2), D(2024, 3, 1))
     with pytest.raises(ValueError):
         run_days(D(2025, 1, 2), D(2025, 1, 1), D(2024, 3, 1))
+
+
+def test_density_follows_the_exact_estimate(spark):
+    """Linear binning on 200 points against the sum over all values."""
+    rng = np.random.default_rng(7)
+    values = {"A": np.r_[rng.normal(10, 2, 400), rng.normal(30, 1, 100)], "B": rng.exponential(5, 300), "C": np.array([4.0] * 9), "D": np.array([1.0])}
+    rows = [(g, float(v)) for g, each in values.items() for v in each] + [("A", None)]
+    out = segments.density(spark.createDataFrame(rows, "grade string, v double"), "grade", ["v"]).collect()
+    assert {r.grade for r in out} == {"A", "B"}
+    for grade in "AB":
+        v, got = values[grade], sorted((r.point, r.x, r.density) for r in out if r.grade == grade)
+        x, density = np.array([g[1] for g in got]), np.array([g[2] for g in got])
+        h = v.std(ddof=1) * len(v) ** -0.2
+        exact = np.exp(-(((x[:, None] - v) / h) ** 2) / 2).sum(axis=1) / (len(v) * h * np.sqrt(2 * np.pi))
+        assert len(got) == 200 and np.abs(density - exact).max() < 0.01 * exact.max()
+        assert abs(density.sum() * (x[1] - x[0]) - 1) < 0.01
