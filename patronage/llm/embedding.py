@@ -2,7 +2,7 @@
 
 Every vector is rotated at random.  Stored are its sign bits with the correction factor
 that makes their inner products unbiased, its rotated entries in bytes, and the keys of
-`bands`: groups of sign bits of further rotations.  Vectors of one label that share the key
+`bands`: groups of sign bits along further random directions.  Vectors of one label that share the key
 of a band are compared by the stored codes alone: the estimates of their inner product, one
 from either side's bits, and the bound of their error decide which may reach the threshold.
 The original vectors are fetched for these only, and each pair is recomputed in double
@@ -39,7 +39,7 @@ from patronage.functions.stages import cut
 from patronage.llm.blocks import block_pairs, star, whole_groups
 from patronage.llm.graph import components
 
-MISS = 0.001  # probability that a pair exactly at the threshold shares no band
+MISS = 1e-4  # probability that a pair exactly at the threshold shares no band
 LEAST_BITS, CROWD = 10, 3  # bits of a key: at least, and by how many fewer than the largest label's size has
 BLOCK = 1024
 PAIRS_AT_ONCE = 1 << 16
@@ -73,9 +73,14 @@ def unit(rows: list) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-@lru_cache(maxsize=64)
-def rotation(d: int, number: int) -> np.ndarray:
-    return np.linalg.qr(np.random.default_rng([d, number]).standard_normal((d, d)))[0]
+@lru_cache(maxsize=16)
+def rotation(d: int) -> np.ndarray:
+    return np.linalg.qr(np.random.default_rng(d).standard_normal((d, d)))[0]
+
+
+@lru_cache(maxsize=16)
+def directions(d: int, n: int) -> np.ndarray:
+    return np.random.default_rng([d, n]).standard_normal((d, n))
 
 
 def bands(largest: int, least: float) -> tuple[int, int]:
@@ -86,16 +91,15 @@ def bands(largest: int, least: float) -> tuple[int, int]:
 
 
 def band_keys(x: np.ndarray, bits: int, n_bands: int) -> np.ndarray:
-    """Keys of unit vectors, (vectors, bands): sign bits of rotations 1, 2, .."""
-    d = x.shape[1]
-    signs = np.concatenate([x @ rotation(d, 1 + k) for k in range(-(-bits * n_bands // d))], axis=1)[:, : bits * n_bands] >= 0
+    """Keys of unit vectors, (vectors, bands): sign bits along independent directions."""
+    signs = x @ directions(x.shape[1], bits * n_bands) >= 0
     return signs.reshape(len(x), n_bands, bits) @ (1 << np.arange(bits))
 
 
 def code(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Sign bits (packed), correction factor, entries in bytes and their unit, of unit vectors in rotation 0."""
+    """Sign bits (packed), correction factor, entries in bytes and their unit, of unit vectors in the rotation."""
     d = x.shape[1]
-    turned = x @ rotation(d, 0)
+    turned = x @ rotation(d)
     unit_ = np.abs(turned).max(axis=1) / 127
     return np.packbits(turned >= 0, axis=1), np.abs(turned).sum(axis=1) / np.sqrt(d), np.rint(turned / unit_[:, None]).astype(np.int8), unit_
 

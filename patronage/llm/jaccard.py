@@ -26,6 +26,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Window as W
 
 from patronage.functions.stages import cut
 from patronage.llm.blocks import block_pairs, candidate_pairs, star, whole_groups
@@ -292,3 +293,29 @@ def similar_documents(docs: DataFrame, least: float = LEAST) -> DataFrame:
             F.when(F.col("n") > 0, F.coalesce("n_links", F.lit(0))).otherwise(0).cast("bigint").alias("n_links"),
         )
     )
+
+
+def one_of_each_class(docs: DataFrame, least: float = LEAST) -> DataFrame:
+    """One row, of the least id, of each class of similar texts; a null or repeated id is compared by its text."""
+    unclear = cut(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc_id IS NULL").select("doc_id"), "unclear-ids")
+    if unclear.isEmpty():
+        first = similar_documents(docs, least).where("doc_id = class_id").select("doc_id")
+        return docs.join(first, "doc_id", "left_semi").select(docs.columns)
+    # A row is numbered by the place of its id, null last, and its text, so equal ones are one document.
+    digest = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    texts = cut(docs.select("doc_id", digest.alias("digest")).distinct(), "texts")
+    along = (F.col("doc_id").asc_nulls_last(), F.col("digest").asc())
+    ranged = cut(texts.repartitionByRange(*along).sortWithinPartitions(*along).withColumn("part", F.spark_partition_id()), "ranged-texts")
+    sizes = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    # One row per partition.
+    offsets = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    inside = F.row_number().over(W.partitionBy("part").orderBy(*along))
+    numbers = cut(ranged.withColumn("inside", inside).join(F.broadcast(offsets), "part").select(F.col("doc_id").alias("id"), "digest", (F.col("offset") + F.col("inside")).alias("number")), "numbers")
+    rows = docs.select(F.struct("*").alias("row"), digest.alias("digest"))
+    same = (F.col("row.doc_id").eqNullSafe(F.col("id"))) & (rows["digest"] == numbers["digest"])
+    numbered = cut(rows.join(numbers, same).select("row", "number"), "numbered")
+    classes = similar_documents(numbered.select(F.col("number").alias("doc_id"), "row.text"), least)
+    first = classes.where("doc_id = class_id").select(F.col("doc_id").alias("number")).distinct()
+    one = numbered.join(first, "number", "left_semi").groupBy("number").agg(F.min("row").alias("row"))
+    return one.select("row.*").select(docs.columns)

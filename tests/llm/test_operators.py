@@ -445,12 +445,12 @@ def test_codes_estimate_inner_products_without_bias():
     y /= np.linalg.norm(y, axis=1, keepdims=True)
     bits, factor, entries, step = embedding.code(x)
     signs = np.unpackbits(bits, axis=1, count=48) * 2.0 - 1
-    estimate = np.einsum("pd,pd->p", signs, y @ embedding.rotation(48, 0)) / (np.sqrt(48) * factor)
+    estimate = np.einsum("pd,pd->p", signs, y @ embedding.rotation(48)) / (np.sqrt(48) * factor)
     exact = np.einsum("pd,pd->p", x, y)
     error = np.sqrt((1 - factor**2) / 47) / factor * np.sqrt(1 - exact**2)
     assert abs((estimate - exact).mean()) < 4 * error.mean() / np.sqrt(4000)
     assert 0.8 < ((estimate - exact) / error).std() < 1.2
-    assert np.abs(entries * step[:, None] - x @ embedding.rotation(48, 0)).max() < 0.005
+    assert np.abs(entries * step[:, None] - x @ embedding.rotation(48)).max() < 0.005
     assert embedding.bands(1000, 0.93)[0] == 10 and embedding.bands(10**6, 0.93)[0] == 17
 
 

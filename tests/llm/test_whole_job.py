@@ -47,8 +47,7 @@ def test_mixing_draws_rows_without_a_clear_id_one_by_one(spark):
         assert {r["n_copies"] for r in got} >= {1, 2, 3}
 
 
-def test_embeddings_over_many_cells_against_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(embedding, "PER_CELL", 16)
+def test_embeddings_over_many_keys_against_brute_force(spark):
     rng = np.random.default_rng(12)
     base = rng.normal(size=(1800, 6))
     base /= np.linalg.norm(base, axis=1, keepdims=True)
@@ -59,7 +58,7 @@ def test_embeddings_over_many_cells_against_brute_force(spark, monkeypatch):
     x = np.concatenate([base, cosine * base + np.sqrt(1 - cosine**2) * side])
     rows = [(k, row.tolist(), 1) for k, row in enumerate(x)]
     frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
-    assert len(embedding.fit_centres(embedding.copy_classes(embedding.usable(frame))[1])[1, 6]) >= 200
+    assert 2 ** embedding.bands(len(x), 0.93)[0] >= 200
     got = {r["vec_id"]: r["n_links"] for r in embedding.near_duplicates(frame).collect()}
     linked = x @ x.T >= 0.93
     np.fill_diagonal(linked, False)
