@@ -1,8 +1,13 @@
 """The corpus pipeline: documents through five stages, each stored as Parquet before the next.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return
-the columns of documents.  A row with a null id passes the substring dedup unchanged and has
-a draw of its own in the mix; the Jaccard join compares it like any other.
+the columns of documents, whatever others there are.
+
+Defined cases, as the operators have them: a row with a null id passes the substring dedup
+unchanged and has a draw of its own in the mix; the Jaccard join compares it like any other.
+Null and empty texts fail the base rules, so no stage after the first sees them; texts of any
+length are read whole; of rows that tie as a class's first, and of fully equal rows, one
+stays; an empty table gives an empty table at every stage.
 """
 
 from __future__ import annotations
@@ -10,7 +15,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql import Window as W
 
 from patronage.functions.stages import cut
 from patronage.llm import jaccard, mixing, packing, quality, substring
@@ -27,27 +31,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row, of the least id, of each class of similar texts; a null or repeated id is compared by its text."""
-    unclear = cut(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc_id IS NULL").select("doc_id"), "unclear-ids")
-    if unclear.isEmpty():
-        first = jaccard.similar_documents(docs).where("doc_id = class_id").select("doc_id")
-        return docs.join(first, "doc_id", "left_semi").select(docs.columns)
-    # A row is numbered by the place of its id, null last, and its text, so equal ones are one document.
-    digest = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    texts = cut(docs.select("doc_id", digest.alias("digest")).distinct(), "texts")
-    ranged = cut(texts.repartitionByRange(F.col("doc_id").asc_nulls_last(), "digest").sortWithinPartitions(F.col("doc_id").asc_nulls_last(), "digest").withColumn("part", F.spark_partition_id()), "ranged-texts")
-    sizes = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    # One row per partition.
-    offsets = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    inside = F.row_number().over(W.partitionBy("part").orderBy(F.col("doc_id").asc_nulls_last(), "digest"))
-    numbers = cut(ranged.withColumn("inside", inside).join(F.broadcast(offsets), "part").select(F.col("doc_id").alias("id"), "digest", (F.col("offset") + F.col("inside")).alias("number")), "numbers")
-    rows = docs.select(F.struct("*").alias("row"), digest.alias("digest"))
-    same = (F.col("row.doc_id").eqNullSafe(F.col("id"))) & (rows["digest"] == numbers["digest"])
-    numbered = cut(rows.join(numbers, same).select("row", "number"), "numbered")
-    classes = jaccard.similar_documents(numbered.select(F.col("number").alias("doc_id"), "row.text"))
-    first = classes.where("doc_id = class_id").select(F.col("doc_id").alias("number")).distinct()
-    one = numbered.join(first, "number", "left_semi").groupBy("number").agg(F.min("row").alias("row"))
-    return one.select("row.*").select(docs.columns)
+    return jaccard.one_of_each_class(docs)
 
 
 def substring_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
