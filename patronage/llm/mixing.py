@@ -68,9 +68,16 @@ def repetition_rates(docs: DataFrame, shares: Mapping[str, float]) -> dict[str |
 def with_repetitions(docs: DataFrame, u: Column, rates: Mapping[str | None, float]) -> DataFrame:
     """The documents with n_copies, the Poisson quantile of u at the rate of the row's source."""
     named = [name for name in rates if name is not None]
-    rows = [(name, *poisson_steps(rate)) for name, rate in rates.items() if rate > 0]
-    # One row per named source and one for the others, each with some 20 times the root of its rate numbers.
-    steps = docs.sparkSession.createDataFrame(rows, "_name string, _first int, _steps array<double>")
+    rows = []
+    for name, rate in rates.items():
+        if rate > 0:
+            first, steps = poisson_steps(rate)
+            rows.append(F.struct(F.lit(name).cast("string").alias("_name"), F.lit(first).alias("_first"), F.lit(",".join(map(repr, steps))).alias("_steps")))
+    if not rows:
+        return docs.withColumn("n_copies", F.lit(0))
+    # One row per named source and one for the others, each with some 20 times the root of its rate numbers; stored, not part of later plans.
+    table = docs.sparkSession.range(1).select(F.inline(F.array(*rows)))
+    steps = cut(table.withColumn("_steps", F.split("_steps", ",").cast("array<double>")), "steps")
     own = F.when(F.col("source").isin(*named), F.col("source")) if named else F.lit(None).cast("string")
     met = docs.join(F.broadcast(steps), own.eqNullSafe(F.col("_name")), "left")
     count = F.col("_first") + F.size(F.filter("_steps", lambda c: c <= u))
