@@ -111,7 +111,7 @@ def mix(docs: DataFrame, shares: Mapping[str, float] = SHARES, seed: int = SEED)
     docs = docs.drop("copy", "n_copies", "order_key")
     counted = with_repetitions(seeded(docs), uniform("order_key", F.lit(str(seed))), rates)
     few = counted.where(F.col("n_copies").between(1, CHUNK)).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
-    chunks = counted.where(F.col("n_copies") > CHUNK).withColumn("_from", F.explode(F.sequence(F.lit(1), F.col("n_copies"), F.lit(CHUNK))))
+    chunks = counted.where(F.col("n_copies") > CHUNK).withColumn("_from", F.explode(F.sequence(F.lit(1), F.greatest(F.col("n_copies"), F.lit(1)), F.lit(CHUNK))))
     last = F.least(F.col("_from") + F.lit(CHUNK - 1), F.col("n_copies"))
     # A given number, since rows that are few before they are copied would be merged into one task.
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
