@@ -12,6 +12,11 @@ report, per document, the links found and one connected document (llm.blocks).
 with a similarity of exactly the threshold are missed with a probability of
 (1 - least**BAND) ** (HASHES / BAND), 3e-6 at 0.8, and less above it.
 
+Where classes are wanted without link counts (similar_classes), a large bucket is first
+compared with one block of its members, in proportion to its size.  Only members outside
+the largest component so found are then compared with all others of the bucket, and a
+pair of one component never: what is skipped is known to be connected.
+
 Defined cases: a text of fewer than SHINGLE words has one shingle, all of its words; a
 text without words (null, empty, white space) links with nothing and is its own class;
 fully repeated rows count as copies; rows of one id with different texts are one document
@@ -152,15 +157,16 @@ def _sets(docs: DataFrame) -> DataFrame:
 
 
 def _kept_pairs(group: pa.Table, band: int, same: bool, fewest: list[int], least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a piece of work that meet here first, are near in size and survive the pruning."""
+    """Pairs of a piece of work that meet here first, are not known to be connected, are near in size and survive the pruning."""
     ids, n = group["doc_id"].to_numpy(), group["n"].to_numpy()
+    known = group[_KNOWN].to_numpy() if _KNOWN in group.column_names else ids
     sig = np.frombuffer(b"".join(group["sig"].to_pylist()), np.uint32).reshape(len(ids), HASHES)
     keys = band_keys(sig)[:, :band]
     all_a, all_b = candidate_pairs(group["blk"].to_numpy(), same)
     kept_a, kept_b = [], []
     for lo in range(0, len(all_a), _PAIRS_AT_ONCE):
         a, b = all_a[lo : lo + _PAIRS_AT_ONCE], all_b[lo : lo + _PAIRS_AT_ONCE]
-        near = (ids[a] != ids[b]) & (np.minimum(n[a], n[b]) >= least * np.maximum(n[a], n[b]))
+        near = (known[a] != known[b]) & (np.minimum(n[a], n[b]) >= least * np.maximum(n[a], n[b]))
         a, b = a[near], b[near]
         for k in range(band):
             new = keys[a, k] != keys[b, k]
@@ -202,11 +208,16 @@ def _common(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 _WORK = ["key", "i", "j"]
+_KNOWN = "component"  # optional column: members of one component need no comparison
+
+
+def _fields(work: DataFrame) -> list[str]:
+    return [*_WORK, "band", "blk", "doc_id", "weight", *(c for c in work.columns if c == _KNOWN)]
 
 
 def _survivors(work: DataFrame, least: float) -> DataFrame:
     """The members of each piece of work that have a pair left after pruning."""
-    fewest = least_matches(least)
+    fewest, kept = least_matches(least), _fields(work)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in whole_groups(batches, _WORK):
@@ -217,11 +228,11 @@ def _survivors(work: DataFrame, least: float) -> DataFrame:
                     a, b = _kept_pairs(table.slice(lo, to - lo), int(bands[lo]), i[lo] == j[lo], fewest, least)
                     take.append(lo + np.unique(np.concatenate([a, b])))
             if take:
-                out = table.select([*_WORK, "band", "blk", "doc_id", "weight"]).take(pa.array(np.concatenate(take)))
+                out = table.select(kept).take(pa.array(np.concatenate(take)))
                 yield from out.combine_chunks().to_batches()
 
-    dealt = work.select(*_WORK, "band", "blk", "doc_id", "weight", "n", "sig").repartition(*_WORK).sortWithinPartitions(*_WORK)
-    return dealt.mapInArrow(run, "key bigint, i int, j int, band int, blk int, doc_id bigint, weight bigint")
+    dealt = work.select(*kept, "n", "sig").repartition(*_WORK).sortWithinPartitions(*_WORK)
+    return dealt.mapInArrow(run, work.select(*kept).schema)
 
 
 def _links(work: DataFrame, least: float) -> DataFrame:
@@ -254,12 +265,12 @@ def _links(work: DataFrame, least: float) -> DataFrame:
             if found[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in found], ["doc_id", "links", "root"])
 
-    dealt = work.select(*_WORK, "band", "blk", "doc_id", "weight", "n", "sig", "shingles").repartition(*_WORK).sortWithinPartitions(*_WORK)
+    dealt = work.select(*_fields(work), "n", "sig", "shingles").repartition(*_WORK).sortWithinPartitions(*_WORK)
     return dealt.mapInArrow(run, "doc_id bigint, links bigint, root bigint")
 
 
-def similar_documents(docs: DataFrame, least: float = LEAST) -> DataFrame:
-    """doc_id, class_id (least doc_id reachable by links), n_links (documents linked directly): one row per document."""
+def _buckets(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Signatures of all documents, classes of equal word sequences, their representatives, these by bucket, and the sizes of shared buckets."""
     sigs = cut(_signatures(docs), "signatures")
     classes = cut(
         sigs.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("weight")).where("rep IS NOT NULL"), "classes"
@@ -272,11 +283,21 @@ def similar_documents(docs: DataFrame, least: float = LEAST) -> DataFrame:
     )
     keyed = reps.select("doc_id", "n", "weight", F.posexplode("bands").alias("band", "key"))
     met = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = block_pairs(keyed.join(met, "key"), F.col("size"), F.col("doc_id"), BLOCK)
-    near = cut(_survivors(members.join(reps.select("doc_id", "sig"), "doc_id"), least), "survivors")
+    return sigs, classes, reps, keyed, met
+
+
+def _compared(work: DataFrame, reps: DataFrame, docs: DataFrame, least: float) -> DataFrame:
+    """doc_id, links, root of the members of pieces of work, pruned and then verified; stored."""
+    near = cut(_survivors(work.join(reps.select("doc_id", "sig"), "doc_id"), least), "survivors")
     wanted = near.select("doc_id").distinct()
     sets = _sets(docs.select(F.col("doc_id").cast("bigint"), "text").join(wanted, "doc_id", "left_semi")).distinct()
-    found = cut(_links(near.join(sets, "doc_id"), least), "links")
+    return cut(_links(near.join(sets, "doc_id"), least), "links")
+
+
+def similar_documents(docs: DataFrame, least: float = LEAST) -> DataFrame:
+    """doc_id, class_id (least doc_id reachable by links), n_links (documents linked directly): one row per document."""
+    sigs, classes, reps, keyed, met = _buckets(docs)
+    found = _compared(block_pairs(keyed.join(met, "key"), F.col("size"), F.col("doc_id"), BLOCK), reps, docs, least)
     counts = found.groupBy("doc_id").agg(F.sum("links").alias("links"))
     reach = components(found, "doc_id", "root")
     known = (
@@ -295,11 +316,59 @@ def similar_documents(docs: DataFrame, least: float = LEAST) -> DataFrame:
     )
 
 
+def _open_pairs(members: DataFrame, reach: DataFrame, block: int) -> DataFrame:
+    """Pieces of work on large buckets in which several components are left.
+
+    Members outside a bucket's largest component fill its first blocks, those inside the
+    others, and every pair of blocks that has one of the first is a piece of work.
+    """
+    component = F.coalesce("component", "doc_id")
+    large = members.join(reach, members["doc_id"] == reach["id"], "left").withColumn(_KNOWN, component).drop("id")
+    tops = (
+        large.groupBy("key", _KNOWN)
+        .agg(F.count(F.lit(1)).alias("n_in"))
+        .groupBy("key")
+        .agg(F.max_by(_KNOWN, F.struct("n_in", _KNOWN)).alias("top"), F.max("n_in").alias("inside"), F.sum("n_in").alias("all"))
+        .where("inside < all")
+    )
+    blocks = lambda size: F.ceil(size / F.lit(float(block))).cast("int")
+    left, right = blocks(F.col("all") - F.col("inside")), blocks(F.col("inside"))
+    spread = F.xxhash64("doc_id", F.lit("open"))
+    outside = F.col(_KNOWN) != F.col("top")
+    own = F.when(outside, F.pmod(spread, left)).otherwise(left + F.pmod(spread, right)).cast("int")
+    return (
+        large.join(tops, "key")
+        .withColumn("blk", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.when(outside, left + right).otherwise(left) - 1)))
+        .withColumn("i", F.least("blk", "other"))
+        .withColumn("j", F.greatest("blk", "other"))
+        .drop("other", "top", "inside", "all")
+    )
+
+
+def similar_classes(docs: DataFrame, least: float = LEAST, block: int = BLOCK) -> DataFrame:
+    """doc_id, class_id as similar_documents has them, without counting the links inside a class."""
+    sigs, classes, reps, keyed, met = _buckets(docs)
+    met = cut(met, "buckets")
+    first = block_pairs(keyed.join(met, "key"), F.col("size"), F.col("doc_id"), block).where("i = 0")
+    found = _compared(first, reps, docs, least)
+    large = met.where(F.col("size") > block)
+    if not large.isEmpty():
+        reach = cut(components(found, "doc_id", "root"), "reach")
+        rest = _compared(_open_pairs(keyed.join(large, "key"), reach, block), reps, docs, least)
+        # A document that is already in a component brings it along.
+        found = reach.select(F.col("id").alias("doc_id"), F.col("component").alias("root")).unionByName(rest.select("doc_id", "root"))
+    reach = components(found, "doc_id", "root")
+    known = classes.join(reach, F.col("rep") == reach["id"], "left").select("h1", "h2", F.coalesce("component", "rep").alias("class_id"))
+    with_words = (F.col("n") > 0) & F.col("class_id").isNotNull()
+    return sigs.join(known, ["h1", "h2"], "left").select("doc_id", F.when(with_words, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))
+
+
 def one_of_each_class(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """One row, of the least id, of each class of similar texts; a null or repeated id is compared by its text."""
     unclear = cut(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc_id IS NULL").select("doc_id"), "unclear-ids")
     if unclear.isEmpty():
-        first = similar_documents(docs, least).where("doc_id = class_id").select("doc_id")
+        first = similar_classes(docs, least).where("doc_id = class_id").select("doc_id")
         return docs.join(first, "doc_id", "left_semi").select(docs.columns)
     # A row is numbered by the place of its id, null last, and its text, so equal ones are one document.
     digest = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
@@ -315,7 +384,8 @@ def one_of_each_class(docs: DataFrame, least: float = LEAST) -> DataFrame:
     rows = docs.select(F.struct("*").alias("row"), digest.alias("digest"))
     same = (F.col("row.doc_id").eqNullSafe(F.col("id"))) & (rows["digest"] == numbers["digest"])
     numbered = cut(rows.join(numbers, same).select("row", "number"), "numbered")
-    classes = similar_documents(numbered.select(F.col("number").alias("doc_id"), "row.text"), least)
+    classes = similar_classes(numbered.select(F.col("number").alias("doc_id"), "row.text"), least)
     first = classes.where("doc_id = class_id").select(F.col("doc_id").alias("number")).distinct()
-    one = numbered.join(first, "number", "left_semi").groupBy("number").agg(F.min("row").alias("row"))
+    # Of rows that differ in other columns alone, the least as JSON: maps have no order of their own.
+    one = numbered.join(first, "number", "left_semi").groupBy("number").agg(F.min_by("row", F.to_json("row")).alias("row"))
     return one.select("row.*").select(docs.columns)

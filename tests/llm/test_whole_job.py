@@ -1,9 +1,11 @@
 """Cases in which the corpus operators once did less than the whole job."""
 
+import random
+
 import numpy as np
 from pyspark.sql import functions as F
 
-from patronage.llm import embedding, mixing, sharding
+from patronage.llm import embedding, jaccard, mixing, sharding
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -76,3 +78,40 @@ def test_pipeline_keeps_every_text_of_an_id_and_compares_null_ids(spark, tmp_pat
         got = corpus_pipeline.near_duplicates(spark, frame.repartition(n), str(tmp_path)).collect()
         want = {(1, words[0]), (2, words[1]), (3, words[2]), (None, words[3]), (4, words[4])}
         assert len(got) == len(want) and {(r["doc_id"], r["text"]) for r in got} == want
+
+
+def test_classes_without_link_counts_equal_those_of_all_links(spark):
+    rng = random.Random(5)
+    rows = []
+    for group in range(2):  # chains of near copies, with steps between some that are too long for a link
+        text = [f"g{group}w{k}" for k in range(120)]
+        for k in range(80):
+            for at in rng.sample(range(120), 4 if k % 16 == 15 else 1):
+                text[at] = f"x{rng.random()}"
+            rows.append(" ".join(text))
+    rows += ["", None, "few words", rows[0], rows[0]]
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string").repartition(3)
+    want = {r["doc_id"]: r["class_id"] for r in jaccard.similar_documents(frame).collect()}
+    assert 5 < len(set(want.values())) < 100
+    for block in (2, 5, 768):
+        assert {r["doc_id"]: r["class_id"] for r in jaccard.similar_classes(frame, block=block).collect()} == want
+    assert jaccard.similar_classes(frame.limit(0)).count() == 0
+
+
+def test_open_pairs_grow_with_what_is_outside_the_largest_component(spark):
+    members = spark.range(4000).selectExpr("id AS doc_id", "7L AS key", "4000L AS size")
+    joined = members.select(F.col("doc_id").alias("id"), F.lit(0).cast("bigint").alias("component"))
+    assert jaccard._open_pairs(members, joined, 100).count() == 0
+    work = jaccard._open_pairs(members, joined.where("id % 400 != 3"), 100)
+    rows = work.collect()
+    assert len(rows) <= 10 * 41 + 3990
+    pieces = {(r["i"], r["j"]) for r in rows}
+    assert all(i == 0 for i, _ in pieces)
+    strays = {r["doc_id"] for r in rows if r["blk"] == 0}
+    assert strays == {k for k in range(4000) if k % 400 == 3} and {r["doc_id"] for r in rows} == set(range(4000))
+
+
+def test_one_of_equal_rows_stays_beside_a_map_column(spark):
+    rows = [(1, "a b c d e f", {"k": 1}), (1, "a b c d e f", {"k": 2}), (None, "g h i j k l", None), (None, "g h i j k l", {"k": 0})]
+    got = jaccard.one_of_each_class(spark.createDataFrame(rows, "doc_id bigint, text string, more map<string,int>")).collect()
+    assert sorted(r["text"] for r in got) == ["a b c d e f", "g h i j k l"]
