@@ -24,6 +24,8 @@ _MEDIAN_FILLED = ["current_trailing_term", "m_data", "predicted_survival_time"]
 _UNITS = 320
 _STEPS = (16, 4, 1)
 _HASH_PRIME = 2_147_483_647
+# Starts of the gradient search, its steps and their length.
+STARTS, GRADIENT_STEPS, GRADIENT_STEP = 10, 400, 0.05
 
 
 def preprocess_fill(records: DataFrame, id_col: str = "user_id") -> DataFrame:
@@ -181,6 +183,110 @@ def weight_search(mom: DataFrame, least=labels.STUDY_MIN_WEIGHTS) -> DataFrame:
     )
 
 
+def _bound(value: Column, body) -> Column:
+    """body(value), with value computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _projected(weights: list[Column], least) -> Column:
+    """The nearest weights that sum to 1 and respect the least ones, as an array."""
+    over = [w - float(low) for w, low in zip(weights, least, strict=True)]
+    spare = 1 - float(sum(least))
+
+    def shifted(r: Column) -> Column:
+        total, levels = F.lit(-spare), []
+        for k in range(len(over)):
+            total = total + r["order"][k]
+            levels.append(total / float(k + 1))
+        level = F.greatest(*levels)
+        return _bound(level, lambda x: F.array(*[F.greatest(r["over"][i] - x, F.lit(0.0)) + float(low) for i, low in enumerate(least)]))
+
+    taken = F.array(*over)
+    return _bound(taken, lambda a: _bound(F.struct(a.alias("over"), F.sort_array(a, asc=False).alias("order")), shifted))
+
+
+def _start_weights(first, least) -> Column:
+    """Weights of start `start`: the given ones, then ones drawn from a hash."""
+
+    def draw(i: int) -> Column:
+        name = F.concat(F.col("start").cast("string"), F.lit(f"|{i}"))
+        return F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("double") / float(2**32)
+
+    drawn = [F.when(F.col("start") == 0, F.lit(float(w))).otherwise(draw(i)) for i, w in enumerate(first)]
+    return _projected(drawn, least)
+
+
+def gradient_search(
+    mom: DataFrame,
+    least=labels.STUDY_MIN_WEIGHTS,
+    first=labels.STUDY_START_WEIGHTS,
+    importance=labels.STUDY_IMPORTANCE,
+    starts: int = STARTS,
+    steps: int = GRADIENT_STEPS,
+) -> DataFrame:
+    """Projected gradient ascent of the objective from several starts: start, w0..w5, objective, best.
+
+    Each start takes a fixed number of steps over the 28 moments and reports the best
+    weights it passed; `best` marks the first start with the greatest objective (to 6
+    places).  Without variance of the scores or the value the objective is null and the
+    weights are those of the start.
+    """
+    n = len(SCORES)
+    mom = mom.select(
+        F.array(*[F.array(*[F.col(f"v{min(i, j)}{max(i, j)}") for j in range(n)]) for i in range(n)]).alias("cov"),
+        F.array(*[F.col(f"c{i}") for i in range(n)]).alias("with_value"),
+        F.sqrt("ltv_var").alias("value_dev"),
+    )
+
+    def dot(a, b) -> Column:
+        terms = [a(i) * b(i) for i in range(n)]
+        return sum(terms[1:], terms[0])
+
+    def step(state: Column, _: Column) -> Column:
+        w = [state["w"][i] for i in range(n)]
+        slope = F.array(*[dot(lambda j, i=i: F.col("cov")[i][j], lambda j: w[j]) for i in range(n)])
+
+        def moved(r: Column) -> Column:
+            common, own = dot(lambda i: F.col("with_value")[i], lambda i: w[i]), dot(lambda i: r[i], lambda i: w[i])
+            mean = sum(w[1:], w[0]) / float(n)
+            spread = dot(lambda i: w[i] - mean, lambda i: w[i] - mean) / float(n)
+            bonus = dot(lambda i: w[i], lambda i: F.lit(float(importance[i])))
+            known = (own > 0) & (F.col("value_dev") > 0)
+            scalars = F.struct(
+                common.alias("common"),
+                own.alias("own"),
+                mean.alias("mean"),
+                F.when(known, common / (F.sqrt(own) * F.col("value_dev")) - 0.1 * spread + bonus).alias("objective"),
+            )
+
+            def ahead(x: Column) -> Column:
+                rise = [
+                    (F.col("with_value")[i] - x["common"] * r[i] / x["own"]) / (F.sqrt(x["own"]) * F.col("value_dev"))
+                    - 0.2 * (w[i] - x["mean"]) / float(n)
+                    + float(importance[i])
+                    for i in range(n)
+                ]
+                to = F.when(x["objective"].isNull(), state["w"]).otherwise(_projected([w[i] + GRADIENT_STEP * g for i, g in enumerate(rise)], least))
+                better = x["objective"].isNotNull() & (state["objective"].isNull() | (x["objective"] > state["objective"]))
+                return F.struct(
+                    to.alias("w"),
+                    F.when(better, state["w"]).otherwise(state["best"]).alias("best"),
+                    F.when(better, x["objective"]).otherwise(state["objective"]).alias("objective"),
+                )
+
+            return _bound(scalars, ahead)
+
+        return _bound(slope, moved)
+
+    table = mom.sparkSession.range(0, starts, 1, 1).select(F.col("id").alias("start")).withColumn("w", _start_weights(first, least))
+    empty = F.struct(F.col("w"), F.col("w").alias("best"), F.lit(None).cast("double").alias("objective"))
+    climbed = table.crossJoin(F.broadcast(mom)).withColumn("end", F.aggregate(F.sequence(F.lit(0), F.lit(steps)), empty, step))
+    ends = cut(climbed.select("start", *[F.col("end.best")[i].alias(f"w{i}") for i in range(n)], "end.objective"))
+    # One row per start.
+    top = ends.agg(F.min_by("start", F.struct(F.coalesce(-F.round("objective", 6), F.lit(float("inf"))).alias("o"), "start")).alias("top"))
+    return ends.crossJoin(F.broadcast(top)).withColumn("best", F.col("start") == F.col("top")).drop("top")
+
+
 def weight_compare(mom_by_split: DataFrame, found: DataFrame, start=labels.STUDY_START_WEIGHTS) -> DataFrame:
     """Correlation of the starting and the found weights with the value, per split."""
     original = score_corr([F.lit(float(w)) for w in start])

@@ -901,6 +901,41 @@ oracle(
     f"""SELECT {", ".join(f"round(w{i}, 6) AS w{i}" for i in range(6))}, round(objective, 6) AS objective,
   round((SELECT corr({dot(_FOUND)}, adjusted_ltv) FROM parts_valued, found_weights WHERE split = 'train'), 6) AS correlation FROM found_weights""",
 )
+_LEAST = labels.STUDY_MIN_WEIGHTS
+_DRAWN = [
+    f"CASE WHEN s = 0 THEN {w}::DOUBLE ELSE CAST('0x' || substr(md5(s || '|{i}'), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE END"
+    for i, w in enumerate(labels.STUDY_START_WEIGHTS)
+]
+
+
+def _onto_simplex(keep: str, moved: list[str], source: str) -> str:
+    """Select of `keep` and the projection w0..w5 of the moved weights."""
+    levels = [f"(list_sum(o[1:{k}]) - {1 - sum(_LEAST)}) / {k}" for k in range(1, 7)]
+    weights = [f"greatest(p[{i + 1}] - level, 0) + {low}::DOUBLE AS w{i}" for i, low in enumerate(_LEAST)]
+    return f"""SELECT {keep}, {", ".join(weights)} FROM (SELECT *, greatest({", ".join(levels)}) AS level
+  FROM (SELECT *, list_sort(p, 'DESC') AS o FROM (SELECT *, [{", ".join(f"{m} - {low}::DOUBLE" for m, low in zip(moved, _LEAST))}] AS p FROM {source})))"""
+
+
+_SLOPES = [" + ".join(f"w{j} * v{min(i, j)}{max(i, j)}" for j in range(6)) for i in range(6)]
+_OWN = " + ".join(f"w{i} * ({slope})" for i, slope in enumerate(_SLOPES))
+_RISES = [
+    f"(c{i} - common * ({_SLOPES[i]}) / own) / sqrt(own * lv) - 0.2 * (w{i} - mean) / 6 + {b}" for i, b in enumerate(labels.STUDY_IMPORTANCE)
+]
+CTES["weight_paths"] = f"""
+WITH RECURSIVE path AS (
+  {_onto_simplex("s, 0 AS t", _DRAWN, "range(0, 10) starts(s)")}
+  UNION ALL
+  {_onto_simplex("s, t + 1 AS t", [f"(w{i} + 0.05 * ({g}))" for i, g in enumerate(_RISES)],
+    f"(SELECT *, {' + '.join(f'w{i} * c{i}' for i in range(6))} AS common, {_OWN} AS own, (w0 + w1 + w2 + w3 + w4 + w5) / 6 AS mean FROM path, moment_row WHERE t < 400)")}
+)
+SELECT s AS start, w0, w1, w2, w3, w4, w5, {objective_of(_FOUND)} AS objective FROM path, moment_row"""
+CTES["weight_ends"] = f"""
+SELECT start, {", ".join(f"arg_max(w{i}, objective) AS w{i}" for i in range(6))}, max(objective) AS objective FROM weight_paths GROUP BY start"""
+oracle(
+    "weight_search_starts",
+    f"""SELECT start, {", ".join(f"round(w{i}, 4) AS w{i}" for i in range(6))}, round(objective, 6) AS objective,
+  row_number() OVER (ORDER BY round(objective, 6) DESC, start) = 1 AS best FROM weight_ends""",
+)
 oracle(
     "weight_compare",
     f"""SELECT split, round(corr({dot(_START_W)}, adjusted_ltv), 6) AS original_corr, round(corr({dot(_FOUND)}, adjusted_ltv), 6) AS optimized_corr

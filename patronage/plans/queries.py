@@ -781,6 +781,12 @@ def weight_search(spark, d):
     return present(_found(_valued(spark, d)))
 
 
+@query
+def weight_search_starts(spark, d):
+    train = _valued(spark, d).where(F.col("split") == "train")
+    return present(study.gradient_search(study.moments(train)), 4, objective=6)
+
+
 @query
 def weight_compare(spark, d):
     valued = _valued(spark, d)

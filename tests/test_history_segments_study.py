@@ -125,6 +125,15 @@ def test_correlation_from_moments_and_search_limits(spark):
     assert abs(sum(weights) - 1) < 1e-12 and weights[1] >= 0.2 and weights[2] >= 0.35 and min(weights) >= 0
     start = mom.select(study.objective([F.lit(x / 0.91) for x in w]).alias("o")).first().o
     assert f.objective >= start - 1e-9
+    starts = study.gradient_search(mom).collect()
+    ends = [[r[f"w{i}"] for i in range(6)] for r in starts]
+    assert len(starts) == study.STARTS and sum(r.best for r in starts) == 1
+    assert all(abs(sum(w) - 1) < 1e-9 and w[1] >= 0.2 - 1e-9 and w[2] >= 0.35 - 1e-9 and min(w) >= 0 for w in ends)
+    top = next(r for r in starts if r.best)
+    at_top = mom.select(study.objective([F.lit(top[f"w{i}"]) for i in range(6)]).alias("o")).first().o
+    assert abs(at_top - top.objective) < 1e-9 and top.objective >= f.objective - 1e-9
+    still = study.gradient_search(study.moments(df.withColumn("adjusted_ltv", F.lit(1.0))), starts=2, steps=3).collect()
+    assert all(r.objective is None and abs(sum(r[f"w{i}"] for i in range(6)) - 1) < 1e-9 for r in still) and sum(r.best for r in still) == 1
     boot = study.bootstrap_corr(df, found, replicates=50)
     assert boot.first() == boot.first()
     rows, digits = df.select("user_id", "adjusted_ltv", study.weighted_score(w).alias("s")).toPandas(), study._HASH_PRIME
