@@ -139,7 +139,7 @@ def _rollup(window: str, category: str, sign: int, by_name: bool = False) -> str
 SELECT event_dt, user_id, transaction_id, entry AS event_label, event_action, min(airbridge_device_id) AS airbridge_device_id,
   min(platform) AS platform, {"min(name) AS name," if by_name else ""} min(event_category) AS event_category, sum(revenue) AS revenue
 FROM (
-  SELECT {_GRAIN}{name}, {_ENTRY} AS entry, round(sum(price) * 0.046) * {sign} AS revenue
+  SELECT {_GRAIN}{name}, {_ENTRY} AS entry, round(sum(price) * {labels.COMMISSION_SHARE}) * {sign} AS revenue
   FROM {window} WHERE event_category = '{category}' GROUP BY {_GRAIN}{name}
 ) GROUP BY event_dt, user_id, transaction_id, entry, event_action"""
 
@@ -262,7 +262,7 @@ WHERE k.category1 IS NOT NULL AND trim(k.category1) <> '' AND trim(k.category1)
     CTES[f"{p}_stat1"] = f"""
 SELECT user_id, depth1 AS label, max(event_dt) AS latest_dt, count(DISTINCT event_dt) AS order_count FROM {p}_cat_raw GROUP BY 1, 2"""
     CTES[f"{p}_stat2"] = f"""
-SELECT user_id, concat(depth1, '(', coalesce(nullif(trim(depth2), ''), '없음'), ')') AS label, max(event_dt) AS latest_dt,
+SELECT user_id, concat(depth1, '(', coalesce(nullif(trim(depth2), ''), '{labels.NO_SUBCATEGORY}'), ')') AS label, max(event_dt) AS latest_dt,
   count(DISTINCT event_dt) AS order_count FROM {p}_cat_raw GROUP BY user_id, depth1, depth2"""
     CTES[f"{p}_mcat_raw"] = f"""
 SELECT o.order_dt, o.member_no, o.category_no, b.depth1_category_no, replace(b.depth1_category_name, '/', '-') AS depth1,
@@ -273,7 +273,7 @@ WHERE o.order_dt BETWEEN DATE '{START}' AND DATE '{as_of}'"""
 SELECT member_no, depth1_category_no, max(depth1) AS label, max(order_dt) AS latest_dt, count(DISTINCT order_dt) AS order_count
 FROM {p}_mcat_raw GROUP BY 1, 2"""
     CTES[f"{p}_mstat2"] = f"""
-SELECT member_no, concat(depth1, '(', CASE WHEN depth2 IS NULL OR trim(depth2) = '' THEN '없음' ELSE depth2 END, ')') AS label,
+SELECT member_no, concat(depth1, '(', CASE WHEN depth2 IS NULL OR trim(depth2) = '' THEN '{labels.NO_SUBCATEGORY}' ELSE depth2 END, ')') AS label,
   max(order_dt) AS latest_dt, count(DISTINCT order_dt) AS order_count
 FROM {p}_mcat_raw WHERE depth1 IS NOT NULL AND trim(depth1) <> '' AND trim(depth1) <> 'None' GROUP BY member_no, depth1, depth2"""
     for m, user in (("", "user_id"), ("m", "member_no")):
@@ -611,7 +611,7 @@ _INNER = "CASE WHEN p_size > 40 THEN ' ' WHEN p_size < 5 THEN NULL ELSE p_brand
 oracle(
     "scalar_text",
     f"""SELECT p_partkey, replace(p_type || '/' || p_size, '/', '-') AS cleaned,
-  replace(p_type || '/' || p_size, '/', '-') || '(' || coalesce(nullif(trim({_INNER}), ''), '없음') || ')' AS nested,
+  replace(p_type || '/' || p_size, '/', '-') || '(' || coalesce(nullif(trim({_INNER}), ''), '{labels.NO_SUBCATEGORY}') || ')' AS nested,
   trim('  ' || p_name || ' ') AS trimmed, p_name LIKE 'small%' AS is_small,
   coalesce(trim({_INNER}) NOT IN ('', 'None'), FALSE) AS has_inner FROM part""",
 )
