@@ -2,10 +2,14 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from patronage.functions import labels
+from patronage.functions.scalars import nested_label
 from patronage.operators import category, revenue
 from patronage.plans.snapshot import Snapshot, Window
 from patronage.sources.readers import folders
+from patronage.sources.star_schema import StarSchema
 
 DAY = dt.date(2000, 1, 3)
 
@@ -71,6 +75,50 @@ def test_category_power_deals_days_once_a_level(spark):
     assert (row.ranking_1_1, row.ranking_1_2, row.ranking_1_3) == ("a", "b", None)
 
 
+def test_both_category_levels_read_days_dealt_once(spark):
+    later = dt.date(2000, 1, 4)
+    rows = [("u1", DAY, "a", "x"), ("u1", DAY, "a", "x"), ("u1", later, "a", "y"), ("u1", later, "b", None), ("u2", DAY, "b", " "), (None, DAY, "a", "x")]
+    days = spark.createDataFrame(rows, "user_id string, event_dt date, depth1 string, depth2 string")
+    label = nested_label(F.col("depth1"), F.trim("depth2"))
+    power = category.category_power_of_days(days, "user_id", "event_dt", F.col("depth1"), label, F.col("depth1") != "b", "2000-01-31")
+    assert exchanges(power) == 1
+    second = days.where("depth1 <> 'b'")
+    apart = category.category_power(category.affiliate_depth1(days), category.affiliate_depth2(second), "user_id", "2000-01-31")
+    assert power.columns == apart.columns
+    got = {r.user_id: r for r in power.collect()}
+    assert got == {r.user_id: r for r in apart.collect()}
+    assert (got["u1"].ranking_1_1, got["u1"].ranking_2_2, got["u2"].ranking_2_1) == ("a", "a(y)", None)
+    assert (got[None].ranking_1_1, got[None].ranking_2_1) == ("a", None)
+
+
+def test_events_are_dealt_into_all_parts(spark):
+    # Parts merged by their compressed size would be sorted whole.
+    plan = revenue.net_purchases(events(spark), with_name=True)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
+
+
+def test_stored_orders_give_the_same_fields_without_further_joins(spark, tmp_path):
+    at = dt.datetime(2000, 1, 3, 4, 5, 6)
+    orders = [(1, 7, "F", 9.0, at, "1-URGENT"), (1, 8, "O", 8.0, at, "5-LOW"), (2, 7, "P", 7.0, at, None), (3, None, "O", 6.0, at, "2-HIGH"), (None, 7, "O", 5.0, at, "2-HIGH")]
+    spark.createDataFrame(
+        orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
+    ).write.parquet(f"file://{tmp_path}/orders.parquet")
+    lines = [(1, 5, 3, 2, 4.0, 0.1, "R", "F"), (1, 6, 3, 1, 4.0, 0.2, "N", "O"), (1, 6, 3, 1, 4.0, 0.2, "N", "O"), (2, 6, 4, None, None, None, "A", "O"), (None, 6, 3, 1, 4.0, 0.2, "R", "O"), (9, 6, 3, 1, 4.0, 0.2, "R", "O")]
+    spark.createDataFrame(
+        [(o, p, s, n, 1.0, price, d, 0.0, r, st, at) for o, p, s, n, price, d, r, st in lines],
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+        "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    ).write.parquet(f"file://{tmp_path}/lineitem.parquet")
+    plain, stored = StarSchema(spark, f"file://{tmp_path}"), StarSchema(spark, f"file://{tmp_path}", f"file://{tmp_path}/all")
+    for name, n in (("affiliate_events", 7), ("partner_orders", 5), ("partner_cancels", 2), ("mall_orders", 5)):
+        want, got = getattr(plain, name), getattr(stored, name)
+        assert got.schema.simpleString() == want.schema.simpleString()
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+        assert got.count() == n
+        assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert folders(spark, f"file://{tmp_path}/all/orders_with_lines", "version") == ["0"]
+
+
 def test_dates_share_the_stage_of_mall_orders(spark, tmp_path):
     class Source:
         mall_orders = spark.createDataFrame(
