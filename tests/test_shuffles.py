@@ -8,7 +8,7 @@ from patronage.functions import labels
 from patronage.functions.scalars import nested_label
 from patronage.operators import category, revenue
 from patronage.plans.snapshot import Snapshot, Window
-from patronage.sources.readers import folders
+from patronage.sources.readers import folders, order_window
 from patronage.sources.star_schema import StarSchema
 
 DAY = dt.date(2000, 1, 3)
@@ -135,3 +135,26 @@ def test_dates_share_the_stage_of_mall_orders(spark, tmp_path):
         assert snap.orders().mall_orders.count() == 1
         assert not (tmp_path / as_of / "orders_mall").exists()
     assert folders(spark, f"file://{tmp_path}/all/orders_mall", "version") == ["0"]
+
+
+def test_events_of_stored_orders_are_dealt_by_order(spark, tmp_path):
+    day, cols = dt.datetime(1995, 1, 3), "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
+    orders = [(1, 7, "F", 9.0, day, "1-URGENT"), (1, 7, "F", 9.0, day, "1-URGENT"), (2, 8, "O", 8.0, day, "2-HIGH"), (3, None, "O", 6.0, day, "2-HIGH"), (None, 7, "O", 5.0, day, "2-HIGH")]
+    spark.createDataFrame(orders, cols).write.parquet(f"file://{tmp_path}/orders.parquet")
+    lines = [(1, 5, 3, 1, 4000.0, 0.1, "N", "F"), (1, 6, 3, 2, 1000.0, 0.1, "R", "F"), (2, 6, 4, 1, 3000.0, None, "A", "O"), (2, 6, None, 2, None, 0.1, "N", None), (3, 6, 3, 1, 4.0, 0.2, "N", "O")]
+    spark.createDataFrame(
+        [(o, p, s, n, 1.0, price, d, 0.0, r, st, day + dt.timedelta(hours=5)) for o, p, s, n, price, d, r, st in lines],
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+        "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    ).write.parquet(f"file://{tmp_path}/lineitem.parquet")
+    plain, stored = StarSchema(spark, f"file://{tmp_path}"), StarSchema(spark, f"file://{tmp_path}", f"file://{tmp_path}/all")
+    assert plain.dealt_events is None
+    assert stored.dealt_events.schema.simpleString() == plain.affiliate_events.schema.simpleString()
+    assert sorted(map(repr, stored.dealt_events.collect())) == sorted(map(repr, plain.affiliate_events.collect()))
+    window = ("1995-01-01", "1995-02-01")
+    direct = revenue.net_purchases(order_window(stored.dealt_events, *window), with_name=True, dealt=True)
+    plan = direct._jdf.queryExecution().executedPlan().toString()
+    assert exchanges(direct) == 1 and plan.index("Generate inline") < plan.index("REPARTITION_BY_NUM")  # taken apart after it
+    facts = [sorted(map(repr, revenue.purchase_facts(src, *window).collect())) for src in (plain, stored)]
+    assert facts[0] == facts[1] and len(facts[0]) > 3
+    assert dict(stored.orders_with_lines.dtypes)["lines"].endswith("l_shipdate:date>>")
