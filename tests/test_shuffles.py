@@ -158,3 +158,28 @@ def test_events_of_stored_orders_are_dealt_by_order(spark, tmp_path):
     facts = [sorted(map(repr, revenue.purchase_facts(src, *window).collect())) for src in (plain, stored)]
     assert facts[0] == facts[1] and len(facts[0]) > 3
     assert dict(stored.orders_with_lines.dtypes)["lines"].endswith("l_shipdate:date>>")
+
+
+def test_events_of_stored_orders_move_keys_as_numbers(spark, tmp_path):
+    day = dt.datetime(1995, 1, 3)
+    # One transaction of one user in two rows of different days, another user's with the same number, and keys that are null.
+    orders = [(1, 7, day, "1-URGENT"), (1, 7, day + dt.timedelta(days=1), "1-URGENT"), (1, 8, day, "2-HIGH"), (2, None, day, "2-HIGH"), (None, 7, day, "2-HIGH")]
+    spark.createDataFrame(
+        [(o, c, "F", 9.0, at, p) for o, c, at, p in orders],
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    ).write.parquet(f"file://{tmp_path}/orders.parquet")
+    spark.createDataFrame(
+        [(1, 5, 3, 1, 1.0, 4000.0, 0.1, 0.0, "N", "F", day), (1, 6, 4, 2, 1.0, 1000.0, 0.1, 0.0, "R", "F", day), (2, 6, 3, 1, 1.0, 9000.0, 0.1, 0.0, "N", "O", day)],
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+        "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    ).write.parquet(f"file://{tmp_path}/lineitem.parquet")
+    plain, stored = StarSchema(spark, f"file://{tmp_path}"), StarSchema(spark, f"file://{tmp_path}", f"file://{tmp_path}/all")
+    window = ("1995-01-01", "1995-02-01")
+    net = [
+        revenue.net_purchases(order_window(events, *window), with_name=True, dealt=dealt)
+        for events, dealt in ((plain.affiliate_events, False), (stored.dealt_events, True))
+    ]
+    plan = net[1]._jdf.queryExecution().executedPlan().toString()
+    assert exchanges(net[1]) == 1 and "Exchange hashpartitioning(cast(o_custkey" in plan
+    rows = [sorted(map(repr, n.collect())) for n in net]
+    assert rows[0] == rows[1] and len(rows[0]) == 5  # both orders of a transaction meet both its refunds
