@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from patronage.functions import labels
 from patronage.operators import category, revenue, rfm, survival
-from patronage.plans.snapshot import TRACKS, SharedStages, Snapshot, Window, scored_side_by_side
+from patronage.plans.snapshot import TRACKS, SharedStages, Snapshot, Window, run_series, scored_side_by_side
+from patronage.sources.readers import folders
 from patronage.sources.schemas import Sources
 
 START, EARLY, LATE, CHURN = "2000-01-01", "2000-01-25", "2000-03-10", "2000-01-08"
@@ -95,6 +96,15 @@ def test_shared_stages_give_each_date_its_own_rows(spark, src, tmp_path):
         Snapshot(src, Window(START, START, "2000-02-01"), common=shared)
 
 
+def test_the_days_of_a_loop_share_stages(spark, src, tmp_path):
+    last = dt.date.fromisoformat(EARLY)
+    paths = [f"file://{tmp_path}/{name}" for name in ("history", "stages")]
+    run_series(src, FIRST, last - dt.timedelta(days=1), last, *paths, partner_churn_start=CHURN)
+    for track in TRACKS:
+        assert folders(spark, f"{paths[0]}/{track}", "snapshot_dt") == ["2000-01-24", EARLY]
+    assert [p.name for p in (tmp_path / "stages" / "shared").iterdir() if p.name.startswith("purchases_")] == [f"purchases_affiliate-{EARLY}"]
+
+
 def test_first_time_buyers_are_counted_in_the_pass_for_the_latest_day(spark):
     rows = [("a", FIRST), ("b", FIRST), ("b", FIRST + dt.timedelta(days=2)), (None, FIRST), (None, FIRST + dt.timedelta(days=3))]
     buyers = survival.first_time_buyers(spark.createDataFrame(rows, "user_id string, order_dt date"), "2000-01-10")
