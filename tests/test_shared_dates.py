@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from patronage.functions import labels
 from patronage.operators import category, revenue, rfm, survival
+from patronage.plans import series
 from patronage.plans.snapshot import TRACKS, SharedStages, Snapshot, Window, run_series, scored_side_by_side
 from patronage.sources.readers import folders
 from patronage.sources.schemas import Sources
@@ -105,6 +106,35 @@ def test_the_days_of_a_loop_share_stages(spark, src, tmp_path):
     assert [p.name for p in (tmp_path / "stages" / "shared").iterdir() if p.name.startswith("purchases_")] == [f"purchases_affiliate-{EARLY}"]
 
 
+def test_states_are_parts_of_the_keys_their_days_touch(spark, src, tmp_path, monkeypatch):
+    """A later day writes the rows of its keys alone; states written whole after some parts are the same."""
+    dates, stores = ["2000-01-25", "2000-01-27", "2000-02-03"], {}
+    for name, most, keep in (("parts", 8, None), ("whole", 2, 1)):
+        monkeypatch.setattr(series, "MOST_PARTS", most)
+        stores[name] = series.ChainStore(spark, f"file://{tmp_path}/{name}", START, CHURN)
+        for on in dates:
+            stores[name].advance(src, on, keep)
+    parts, whole = stores["parts"], stores["whole"]
+    assert parts.parts(dates[-1]) == dates and whole.parts(dates[-1]) == dates[-1:]
+    for place in ("state", "parts"):
+        assert folders(spark, f"file://{tmp_path}/whole/{place}", "upto") == dates[-1:]
+
+    def rows(table):
+        return rounded(table.select(*[F.array_sort(c) if t.startswith("array") else F.col(c) for c, t in table.dtypes if c != "change"]))
+
+    for name in series.TABLES:
+        assert rows(parts.table(name, dates[-1])) == rows(whole.table(name, dates[-1])) != []
+        written = [spark.read.parquet(f"file://{tmp_path}/parts/parts/upto={d}/{name}").count() for d in dates]
+        assert 0 < written[1] < written[0]
+        at = parts.table_at(name, dates)
+        for d in dates:
+            assert rows(at.where(F.col("snapshot_dt") == F.lit(d).cast("date")).drop("snapshot_dt")) == rows(parts.table(name, d))
+    snap, alone = parts.snapshots(src, dates)[1], parts.snapshot(src, dates[1])
+    for part in (Snapshot.rfm, Snapshot.category_power):
+        got, want = (getattr(s, part.__name__)("mall") for s in (snap, alone))
+        assert rounded(got) == rounded(want) != []
+
+
 def test_first_time_buyers_are_counted_in_the_pass_for_the_latest_day(spark):
     rows = [("a", FIRST), ("b", FIRST), ("b", FIRST + dt.timedelta(days=2)), (None, FIRST), (None, FIRST + dt.timedelta(days=3))]
     buyers = survival.first_time_buyers(spark.createDataFrame(rows, "user_id string, order_dt date"), "2000-01-10")
